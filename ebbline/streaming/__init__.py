@@ -1,0 +1 @@
+"""The covered query surface is batch only, so there are no streaming operators."""
