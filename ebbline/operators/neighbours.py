@@ -22,11 +22,14 @@ def _squared(differences: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, (d * d for d in differences))
 
 
-def _pivot_distances(features: Sequence[str], pivots: Sequence[Sequence[float]]) -> list[Column]:
-    return [
-        F.sqrt(_squared([F.col(f"`{name}`") - x for name, x in zip(features, pivot)]))
-        for pivot in pivots
-    ]
+def _distances(features: Sequence[str], pivots: Sequence[Sequence[float]]) -> Column:
+    """Array of the distances to each pivot."""
+    return F.array(
+        *(
+            F.sqrt(_squared([F.col(f"`{name}`") - x for name, x in zip(features, pivot)]))
+            for pivot in pivots
+        )
+    )
 
 
 def knn_classify(
@@ -43,35 +46,32 @@ def knn_classify(
 
     Equal distances go to the smaller training key, tied votes to label 0. Of identical training
     points only the k smallest keys can matter and only they are kept; identical test points are
-    looked up once.
+    looked up once. Training rows with a null feature are left out, such test rows get null.
     """
     names = list(features)
     numbers = [F.col(f"`{c}`").cast("double").alias(c) for c in names]
+    rows = train.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"), *numbers)
+    # A fixed number of rows, spread by hash; any choice of pivots gives the same neighbours.
+    chosen = rows.dropna().orderBy(row_hash("_id"), "_id").limit(pivots).select(*names)
+    centres = sorted({tuple(row) for row in chosen.collect()})
+    if not centres:
+        raise ValueError("no training rows")
+
+    numbered = F.array(*map(F.lit, range(len(centres))))
+    nearest = F.array_min(
+        F.zip_with("_dist", numbered, lambda d, i: F.struct(d.alias("d"), i.alias("cell")))
+    )
     same_point = Window.partitionBy(*(f"`{c}`" for c in names)).orderBy("_id")
-    points = materialize(
-        train.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"), *numbers)
+    placed = materialize(
+        rows.dropna()
         .withColumn("_copy", F.row_number().over(same_point))
         .filter(F.col("_copy") <= k)
-        .drop("_copy"),
+        .withColumn("_dist", _distances(names, centres))
+        .withColumn("_near", nearest)
+        .withColumns({"_cell": F.col("_near.cell"), "_d": F.col("_near.d")})
+        .drop("_copy", "_dist", "_near"),
         "knn-points",
     )
-    # A fixed number of rows, spread by hash.
-    chosen = points.orderBy(row_hash("_id"), "_id").limit(pivots).select(*names).distinct()
-    centres = [list(row) for row in chosen.collect()]
-    if not centres:
-        raise ValueError("no training rows")
-
-    nearest = F.least(
-        *(
-            F.struct(d.alias("d"), F.lit(i).alias("cell"))
-            for i, d in enumerate(_pivot_distances(names, centres))
-        )
-    ) if len(centres) > 1 else F.struct(
-        _pivot_distances(names, centres)[0].alias("d"), F.lit(0).alias("cell")
-    )
-    placed = points.withColumn("_near", nearest).select(
-        "*", F.col("_near.cell").alias("_cell"), F.col("_near.d").alias("_d")
-    ).drop("_near")
     inner = Window.partitionBy("_cell").orderBy("_d")
     reach = (
         placed.select("_cell", "_d")
@@ -81,31 +81,45 @@ def knn_classify(
         .agg(F.max("_d").alias("kth"), F.count("*").alias("n"))
     )
     outer = placed.groupBy("_cell").agg(F.max("_d").alias("far"))
-    # One row per pivot.
-    cells = {row._cell: row for row in reach.join(outer, "_cell").collect()}
-    width = {c: (row.far / rings) or 1.0 for c, row in cells.items()}
-
-    ring = F.floor(F.col("_d") / _by_cell(width))
-    candidates = placed.withColumn("_ring", ring).drop("_d")
-
-    distances = _pivot_distances(names, centres)
-    bounds = [distances[c] + row.kth for c, row in cells.items() if row.n == k]
-    radius = (F.least(*bounds, F.lit(float("inf"))) if bounds else F.lit(float("inf"))) * (1 + SLACK)
-    queries = test.select(*numbers).distinct().withColumn("_radius", radius + SLACK)
-    lookups = []
-    for c, row in cells.items():
-        low = F.greatest(distances[c] - F.col("_radius"), F.lit(0.0))
-        high = F.least(distances[c] + F.col("_radius"), F.lit(row.far))
-        reached = F.sequence(F.floor(low / width[c]), F.floor(high / width[c]))
-        lookup = F.struct(F.lit(c).alias("_cell"), reached.alias("_rings"))
-        lookups.append(F.when(low <= row.far, lookup))
+    # One row per pivot: farthest point, ring width, and the k-th nearest if there is one.
+    cells = sorted(reach.join(outer, "_cell").collect(), key=lambda row: row._cell)
+    widths = {row._cell: (row.far / rings) or 1.0 for row in cells}
+    facts = F.array(
+        *(
+            F.struct(
+                F.lit(row._cell).alias("cell"),
+                F.lit(row.far).alias("far"),
+                F.lit(widths[row._cell]).alias("width"),
+                F.lit(row.kth if row.n == k else None).cast("double").alias("kth"),
+            )
+            for row in cells
+        )
+    )
+    width = F.create_map(*(F.lit(x) for item in widths.items() for x in item))
+    candidates = placed.withColumn("_ring", F.floor(F.col("_d") / width[F.col("_cell")])).drop("_d")
+
+    # A query's k nearest lie within the distance to some pivot plus that pivot's k-th distance.
+    bound = F.array_min(F.zip_with("_dist", facts, lambda d, cell: d + cell["kth"]))
+    radius = F.coalesce(bound, F.lit(float("inf"))) * (1 + SLACK) + SLACK
+    queries = (
+        test.select(*numbers)
+        .distinct()
+        .withColumn("_dist", _distances(names, [centres[row._cell] for row in cells]))
+        .withColumn("_radius", radius)
+    )
+    reached = F.arrays_zip(F.col("_dist").alias("d"), facts.alias("cell"))
+    d, cell = F.col("_visit.d"), F.col("_visit.cell")
+    low = F.greatest(d - F.col("_radius"), F.lit(0.0))
+    high = F.least(d + F.col("_radius"), cell["far"])
+    reached_rings = F.sequence(F.floor(low / cell["width"]), F.floor(high / cell["width"]))
     visits = (
-        queries.withColumn("_visit", F.explode(F.array_compact(F.array(*lookups))))
-        .withColumn("_ring", F.explode("_visit._rings"))
+        queries.withColumn("_visit", F.explode(reached))
+        .filter(low <= cell["far"])
+        .withColumn("_ring", F.explode(reached_rings))
         .select(
             *(F.col(f"`{c}`").alias(f"q_{i}") for i, c in enumerate(names)),
             "_radius",
-            F.col("_visit._cell").alias("_cell"),
+            cell["cell"].alias("_cell"),
             "_ring",
         )
     )
@@ -123,11 +137,3 @@ def knn_classify(
     )
     asked = test.select(key, *(n.alias(f"q_{i}") for i, n in enumerate(numbers)))
     return asked.join(votes, point, "left").select(key, "prediction")
-
-
-def _by_cell(width: dict[int, float]) -> Column:
-    return reduce(
-        lambda rest, item: F.when(F.col("_cell") == item[0], item[1]).otherwise(rest),
-        width.items(),
-        F.lit(None).cast("double"),
-    )

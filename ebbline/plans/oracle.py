@@ -110,7 +110,8 @@ def _oracle(name: str, body: str, head: str = LOG) -> None:
 _oracle("scan_json", f"SELECT {', '.join(LOG_COLUMNS)} FROM user_log")
 _oracle(
     "scan_csv",
-    "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in LOG_COLUMNS) + " FROM user_log",
+    # An empty CSV field reads as null.
+    "SELECT " + ", ".join(f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in LOG_COLUMNS) + " FROM user_log",
 )
 _oracle(
     "load_feature_file",
@@ -491,7 +492,7 @@ _oracle("page_interactions", f'SELECT userId, count(*) AS "count" FROM log WHERE
 def _histogram(column: str, table: str, value: str) -> str:
     return f"""SELECT {_text(column)} AS "column", b AS bin, round(low + b * width, 6) AS bin_start,
     round(low + b * width + width, 6) AS bin_end,
-    (SELECT count(*) FROM {table} WHERE least(CAST(floor(({value} - low) / width) AS BIGINT), 9) = b) AS "count"
+    (SELECT count(*) FROM {table} WHERE {value} IS NOT NULL AND least(CAST(floor(({value} - low) / width) AS BIGINT), 9) = b) AS "count"
     FROM (SELECT CASE WHEN min({value}) = max({value}) THEN min({value}) - 0.5
                  ELSE CAST(min({value}) AS DOUBLE) END AS low,
           CASE WHEN min({value}) = max({value}) THEN 1.0 ELSE CAST(max({value}) - min({value}) AS DOUBLE) END

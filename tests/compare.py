@@ -1,6 +1,7 @@
 """Order-insensitive comparison of a Spark result with an SQL result."""
 
 import math
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -47,9 +48,8 @@ def differences(df, connection, sql: str) -> list[str]:
     if len(expected) != len(actual):
         found.append(f"rows {len(actual)} != {len(expected)}")
     if expected != actual:
-        missing = [r for r in expected if r not in set(actual)][:3]
-        extra = [r for r in actual if r not in set(expected)][:3]
-        found.append(f"values differ: spark has {extra}, sql has {missing}")
+        missing, extra = Counter(expected) - Counter(actual), Counter(actual) - Counter(expected)
+        found.append(f"values differ: spark has {list(extra)[:3]}, sql has {list(missing)[:3]}")
     if not actual:
         found.append("empty result")
     return found
