@@ -123,32 +123,35 @@ def distinct_agents(log: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def page_share(log: DataFrame) -> DataFrame:
-    """Visits by churned and other users for pages both groups visited."""
+def page_counts(log: DataFrame) -> DataFrame:
+    """Visits per (page, cancel_flag)."""
     counts = _user_counts(log, {"page": F.col("page")}, F.lit(True))
+    return counts.groupBy("page", "cancel_flag").agg(F.sum("n").alias("n"))
+
+
+def page_share(counts: DataFrame) -> DataFrame:
+    """Visits by churned and other users for pages both groups visited."""
     churned = F.col("cancel_flag") == 1
     pages = counts.groupBy("page").agg(
         F.sum(F.when(churned, F.col("n"))).alias("cancelled"),
         F.sum(F.when(~churned, F.col("n"))).alias("not_cancelled"),
     )
-    total = F.col("cancelled") + F.col("not_cancelled")
-    return pages.dropna(subset=["cancelled", "not_cancelled"]).withColumns(
-        {"total": total, "percentage_from_cancelled": F.col("cancelled") / total}
-    )
+    return _with_share(pages.dropna(subset=["cancelled", "not_cancelled"]))
+
+
+def page_share_join(counts: DataFrame) -> DataFrame:
+    """``page_share`` as an inner join of the two groups' page counts."""
 
+    def side(flag: int, name: str) -> DataFrame:
+        return counts.filter(F.col("cancel_flag") == flag).select("page", F.col("n").alias(name))
 
-def page_share_join(log_with_flag: DataFrame) -> DataFrame:
-    """``page_share`` of a flagged log as an inner join of the two groups' page counts."""
+    return _with_share(side(1, "cancelled").join(side(0, "not_cancelled"), "page"))
 
-    def counts(flag: int, name: str) -> DataFrame:
-        rows = log_with_flag.filter(F.col("cancel_flag") == flag)
-        return rows.groupBy("page").agg(F.count("*").alias(name))
 
+def _with_share(pages: DataFrame) -> DataFrame:
     total = F.col("cancelled") + F.col("not_cancelled")
-    return (
-        counts(1, "cancelled")
-        .join(counts(0, "not_cancelled"), "page")
-        .withColumns({"total": total, "percentage_from_cancelled": F.col("cancelled") / total})
+    return pages.withColumns(
+        {"total": total, "percentage_from_cancelled": F.col("cancelled") / total}
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbline.operators.scalars import with_scalar
+
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_1, column_2, r) for every ordered pair; null where a column is constant.
@@ -19,20 +21,21 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     not cancel. Reads ``df`` twice, so pass a written table.
     """
     names = list(columns)
-    moments = df.agg(
-        F.struct(
-            *(F.avg(f"`{c}`").alias(f"mean_{i}") for i, c in enumerate(names)),
-            *(F.stddev_pop(f"`{c}`").alias(f"std_{i}") for i, c in enumerate(names)),
-        ).alias("moments")
-    ).scalar()
+    known = with_scalar(
+        df,
+        "_moments",
+        df,
+        *(F.avg(f"`{c}`").alias(f"mean_{i}") for i, c in enumerate(names)),
+        *(F.stddev_pop(f"`{c}`").alias(f"std_{i}") for i, c in enumerate(names)),
+    )
     cells = []
     for i, c in enumerate(names):
-        value, std = F.col(f"`{c}`").cast("double"), moments.getField(f"std_{i}")
-        shifted = F.try_divide(value - moments.getField(f"mean_{i}"), std)
+        value, std = F.col(f"`{c}`").cast("double"), F.col("_moments")[f"std_{i}"]
+        shifted = F.try_divide(value - F.col("_moments")[f"mean_{i}"], std)
         cells.append(F.coalesce(shifted, F.lit(0.0)).alias(f"x_{i}"))
     squares = [F.col(f"x_{i}") * F.col(f"x_{i}") for i in range(len(names))]
     present = [F.col(f"`{c}`").isNotNull().cast("double") for c in names]
-    rows = df.select(*cells, *(p.alias(f"m_{i}") for i, p in enumerate(present))).select(
+    rows = known.select(*cells, *(p.alias(f"m_{i}") for i, p in enumerate(present))).select(
         "*", *(s.alias(f"s_{i}") for i, s in enumerate(squares))
     )
     order = [f"{part}_{i}" for part in "xms" for i in range(len(names))]

@@ -22,6 +22,7 @@ from ebbline.schema import (
     POSITIVE_PAGES,
     USER,
 )
+from ebbline.sources.scratch import materialize
 
 DAY_MS = 86400000
 NO_DAY = -(2**40)
@@ -193,11 +194,12 @@ def event_gaps(log: DataFrame, event_key: str, unit: int = 10000, slice_ms: int
     ``event_key`` order with gap 0.
     """
     session = [USER, "sessionId"]
-    instants = (
+    instants = materialize(
         log.filter(F.col("ts").isNotNull())
         .groupBy(*session, "ts")
         .agg(F.min(event_key).alias("_first"))
-        .withColumn("_slice", F.floor(F.col("ts") / slice_ms))
+        .withColumn("_slice", F.floor(F.col("ts") / slice_ms)),
+        "instants",
     )
     in_slice = Window.partitionBy(*session, "_slice").orderBy("ts")
     slices = instants.groupBy(*session, "_slice").agg(F.max("ts").alias("_last"))

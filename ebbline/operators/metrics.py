@@ -133,16 +133,16 @@ def validation_report(
     entropy = F.when((rate == 0) | (rate == 1), 0.0).otherwise(
         rate * F.log(rate) + (1 - rate) * F.log(1 - rate)
     )
-    auc = F.try_divide(F.col("roc"), F.col("positives") * F.col("negatives"))
-    # Both sides are one-row totals, joined on their row number.
-    joined = plain.withColumn("_row", F.lit(1)).join(areas.withColumn("_row", F.lit(1)), "_row")
+    joined = plain.withColumn("areas", areas.select(F.struct("*").alias("areas")).scalar())
+    positives = F.col("areas.positives")
+    auc = F.try_divide(F.col("areas.roc"), positives * F.col("areas.negatives"))
     report = joined.select(
         "n",
         "MSE",
         F.sqrt("MSE").alias("RMSE"),
         "LogLoss",
         auc.alias("AUC"),
-        F.try_divide(F.col("pr"), F.col("positives")).alias("AUCPR"),
+        F.try_divide(F.col("areas.pr"), positives).alias("AUCPR"),
         (2 * auc - 1).alias("Gini"),
         (-2 * n * entropy).alias("null_deviance"),
         (2 * n * F.col("LogLoss")).alias("residual_deviance"),

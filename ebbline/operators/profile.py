@@ -161,22 +161,25 @@ def feature_skew(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def outlier_counts(df: DataFrame, columns: Sequence[str], threshold: float = 3.0) -> DataFrame:
     """Rows more than ``threshold`` sample deviations off the mean, for columns with > 2 values."""
     cells = _long(df, columns)
-    # One row per column of the table.
-    stats = (
-        cells.groupBy("column")
-        .agg(
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.count_distinct("value").alias("d"),
-        )
-        .filter("d > 2")
-        .drop("d")
+    value = F.col("value")
+    stats = cells.groupBy("column").agg(
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("low"),
+        F.max(value).alias("high"),
     )
-    z = F.abs(F.try_divide(F.col("value") - F.col("mean"), F.col("std")))
+    z = F.abs(F.try_divide(value - F.col("mean"), F.col("std")))
+    # One row per column of the table. A value between the extremes makes it more than two.
     return (
         cells.join(F.broadcast(stats), "column")
         .groupBy("column")
-        .agg(F.count_if(z > threshold).alias("outliers"), F.count("*").alias("total_samples"))
+        .agg(
+            F.count_if(z > threshold).alias("outliers"),
+            F.count("*").alias("total_samples"),
+            F.max((value > F.col("low")) & (value < F.col("high"))).alias("_varied"),
+        )
+        .filter("_varied")
+        .drop("_varied")
         .orderBy(F.desc("outliers"), "column")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ebbline.functions import soft_clip
 from ebbline.operators.profile import quantiles
 from ebbline.operators.ranking import running_totals
+from ebbline.operators.scalars import with_scalar, with_varied
 
 
 def discover_categories(df: DataFrame, column: str, at_most: int = 1000) -> list[str]:
@@ -29,14 +30,6 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> DataFrame
     return df.withColumns(flags).drop(*categories)
 
 
-def _bounds(df: DataFrame, columns: Sequence[str], lower: float, upper: float) -> Column:
-    """Scalar map from column name to its (low, high) quantiles."""
-    table = quantiles(df, columns, {"low": lower, "high": upper})
-    entry = F.struct("column", F.struct("low", "high"))
-    # One entry per column of the table.
-    return table.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-
-
 def winsorize(
     df: DataFrame,
     columns: Sequence[str],
@@ -48,14 +41,17 @@ def winsorize(
 
     Reads ``df`` twice, so pass a written table.
     """
-    bounds = _bounds(df, columns, lower, upper)
+    table = quantiles(df, columns, {"low": lower, "high": upper})
+    # One entry per column of the table.
+    entry = F.struct("column", F.struct("low", "high"))
+    bounds = F.map_from_entries(F.collect_list(entry)).alias("bounds")
 
     def clip(name: str) -> Column:
-        value = F.col(f"`{name}`").cast("double")
-        low, high = bounds[name]["low"], bounds[name]["high"]
-        return F.when(value.isNotNull(), F.least(F.greatest(value, low), high))
+        value, bound = F.col(f"`{name}`").cast("double"), F.col("_clip")["bounds"][name]
+        return F.when(value.isNotNull(), F.least(F.greatest(value, bound["low"]), bound["high"]))
 
-    return df.withColumns({f"{c}{suffix}": clip(c) for c in columns})
+    bounded = with_scalar(df, "_clip", table, bounds)
+    return bounded.withColumns({f"{c}{suffix}": clip(c) for c in columns}).drop("_clip")
 
 
 def log_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -74,17 +70,14 @@ def winsorize_log(
 def log_and_clip(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``{column}_clipped`` and ``{column}_log`` for every column; columns already named ``*_log``
     with more than two values also get ``{column}_logClip``, clipped without another log."""
-    logged = log_columns(winsorize(df, columns), columns)
     already = [c for c in columns if c.endswith("_log")]
     if not already:
-        return logged
-    kinds = df.agg(
-        F.struct(*(F.count_distinct(f"`{c}`").alias(c) for c in already)).alias("kinds")
-    ).scalar()
+        return log_columns(winsorize(df, columns), columns)
+    logged = log_columns(winsorize(with_varied(df, already), columns), columns)
     clipped = {
-        f"{c}_logClip": F.when(kinds.getField(c) > 2, F.col(f"`{c}_clipped`")) for c in already
+        f"{c}_logClip": F.when(F.col("_varied")[c], F.col(f"`{c}_clipped`")) for c in already
     }
-    return logged.withColumns(clipped)
+    return logged.withColumns(clipped).drop("_varied")
 
 
 def soft_clip_columns(df: DataFrame, columns: Sequence[str], threshold: float = 3.0) -> DataFrame:
@@ -95,40 +88,41 @@ def minmax_scale(
     df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, constant: float = 0.5
 ) -> DataFrame:
     """Scale to [0, 1] by the range in ``fit_on`` (default ``df``); constants become ``constant``."""
-    fitted = df if fit_on is None else fit_on
-    ends = fitted.agg(
-        F.struct(
-            *(F.min(f"`{c}`").cast("double").alias(f"low_{c}") for c in columns),
-            *(F.max(f"`{c}`").cast("double").alias(f"high_{c}") for c in columns),
-        ).alias("ends")
-    ).scalar()
+    fitted = with_scalar(
+        df,
+        "_ends",
+        df if fit_on is None else fit_on,
+        *(F.min(f"`{c}`").cast("double").alias(f"low_{c}") for c in columns),
+        *(F.max(f"`{c}`").cast("double").alias(f"high_{c}") for c in columns),
+    )
 
     def scaled(name: str) -> Column:
-        low, high = ends.getField(f"low_{name}"), ends.getField(f"high_{name}")
+        low, high = F.col("_ends")[f"low_{name}"], F.col("_ends")[f"high_{name}"]
         value = F.col(f"`{name}`").cast("double")
         ratio = F.coalesce(F.try_divide(value - low, high - low), F.lit(constant))
         return F.when(value.isNotNull(), ratio)
 
-    return df.withColumns({f"{c}_scaled": scaled(c) for c in columns})
+    return fitted.withColumns({f"{c}_scaled": scaled(c) for c in columns}).drop("_ends")
 
 
 def standard_scale(df: DataFrame, columns: Sequence[str], sample: bool = False) -> DataFrame:
     """Zero mean, unit deviation (population unless ``sample``); constants become 0."""
     spread = F.stddev_samp if sample else F.stddev_pop
-    moments = df.agg(
-        F.struct(
-            *(F.avg(f"`{c}`").alias(f"mean_{c}") for c in columns),
-            *(spread(f"`{c}`").alias(f"std_{c}") for c in columns),
-        ).alias("moments")
-    ).scalar()
+    fitted = with_scalar(
+        df,
+        "_moments",
+        df,
+        *(F.avg(f"`{c}`").alias(f"mean_{c}") for c in columns),
+        *(spread(f"`{c}`").alias(f"std_{c}") for c in columns),
+    )
 
     def scaled(name: str) -> Column:
         value = F.col(f"`{name}`").cast("double")
-        mean, std = moments.getField(f"mean_{name}"), moments.getField(f"std_{name}")
+        mean, std = F.col("_moments")[f"mean_{name}"], F.col("_moments")[f"std_{name}"]
         ratio = F.coalesce(F.try_divide(value - mean, std), F.lit(0.0))
         return F.when(value.isNotNull(), ratio)
 
-    return df.withColumns({f"{c}_scaled": scaled(c) for c in columns})
+    return fitted.withColumns({f"{c}_scaled": scaled(c) for c in columns}).drop("_moments")
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:

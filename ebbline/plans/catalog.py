@@ -419,13 +419,13 @@ def distinct_agents(spark, sf_dir):
 
 @query
 def page_share(spark, sf_dir):
-    return _round(b.page_share(_raw(spark, sf_dir)))
+    return _round(b.page_share(b.page_counts(_raw(spark, sf_dir))))
 
 
 @query
 def page_share_join(spark, sf_dir):
-    flagged = clean.flag_cancelled_users(_raw(spark, sf_dir).select(USER, "page"))
-    return _round(b.page_share_join(flagged))
+    counts = materialize(b.page_counts(_raw(spark, sf_dir)), "page-counts")
+    return _round(b.page_share_join(counts))
 
 
 @query
@@ -639,7 +639,8 @@ def train_test_split(spark, sf_dir):
 
 @query
 def stratified_folds(spark, sf_dir):
-    return transform.stratified_folds(f.churn_label(_log(spark, sf_dir)), USER)
+    labels = materialize(f.churn_label(_log(spark, sf_dir)), "labels")
+    return transform.stratified_folds(labels, USER)
 
 
 @query

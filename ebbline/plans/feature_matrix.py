@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.operators import features as f
+from ebbline.operators.scalars import with_varied
 from ebbline.schema import (
     BROWSER_FAMILIES,
     CHURN_PAGES,
@@ -121,20 +122,14 @@ def log_features(
 ) -> DataFrame:
     """``log1p`` of each column that has more than two distinct values.
 
-    Null is no value, except in columns named in ``null_counts``. Reads ``df`` twice, so pass a
-    written table. The columns become doubles.
+    Null is no value, except in columns named in ``null_counts``. Reads ``df`` several times, so
+    pass a written table. The columns become doubles.
     """
-
-    def kinds_of(c):
-        kinds = F.count_distinct(f"`{c}`")
-        return kinds + F.max(F.col(f"`{c}`").isNull().cast("int")) if c in null_counts else kinds
-
-    kinds = df.agg(F.struct(*(kinds_of(c).alias(c) for c in columns)).alias("kinds")).scalar()
-    return df.withColumns(
-        {
-            c: F.when(kinds.getField(c) > 2, F.log1p(F.col(f"`{c}`"))).otherwise(
-                F.col(f"`{c}`").cast("double")
-            )
-            for c in columns
-        }
-    )
+    varied = with_varied(df, columns, "_varied", null_counts)
+    logged = {
+        c: F.when(F.col("_varied")[c], F.log1p(F.col(f"`{c}`"))).otherwise(
+            F.col(f"`{c}`").cast("double")
+        )
+        for c in columns
+    }
+    return varied.withColumns(logged).drop("_varied")
