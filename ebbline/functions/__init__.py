@@ -1,4 +1,5 @@
 from ebbline.functions.columns import (
+    agent_text,
     browser_family,
     day_name,
     device_family,
@@ -14,6 +15,7 @@ from ebbline.functions.columns import (
 )
 
 __all__ = [
+    "agent_text",
     "browser_family",
     "day_name",
     "device_family",

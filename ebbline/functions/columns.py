@@ -75,8 +75,12 @@ def state_of(location: Column) -> Column:
     return F.right(location, F.lit(2))
 
 
-def _family(agent: Column, marks) -> Column:
-    text = F.translate(agent, "\\", "")
+def agent_text(agent: Column) -> Column:
+    """User-agent string without backslashes, the input of the family functions."""
+    return F.replace(agent, F.lit("\\"), F.lit(""))
+
+
+def _family(text: Column, marks) -> Column:
     family = F.lit("Other")
     for name, required in reversed(marks):
         found = text.contains(required[0])
@@ -86,14 +90,14 @@ def _family(agent: Column, marks) -> Column:
     return family
 
 
-def device_family(agent: Column) -> Column:
+def device_family(text: Column) -> Column:
     """Operating-system family; null, blank and unknown agents are ``Other``."""
-    return _family(agent, DEVICE_MARKS)
+    return _family(text, DEVICE_MARKS)
 
 
-def browser_family(agent: Column) -> Column:
+def browser_family(text: Column) -> Column:
     """Browser family; null, blank and unknown agents are ``Other``."""
-    return _family(agent, BROWSER_MARKS)
+    return _family(text, BROWSER_MARKS)
 
 
 def soft_clip(column: Column, threshold: float = 3.0) -> Column:

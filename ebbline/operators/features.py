@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.functions import browser_family, device_family, flag_in, level_flag
+from ebbline.functions import agent_text, browser_family, device_family, flag_in, level_flag
 from ebbline.schema import (
     BROWSER_FAMILIES,
     CHURN_PAGES,
@@ -130,11 +130,11 @@ def discover_pages(log: DataFrame, excluded: Iterable[str] = PIVOT_EXCLUDED_PAGE
 
 
 def with_agent_families(log: DataFrame) -> DataFrame:
-    return log.withColumns(
-        {
-            "device": device_family(F.col("userAgent")),
-            "browser": browser_family(F.col("userAgent")),
-        }
+    """Add ``device`` and ``browser``; the text is cleaned once, in a step of its own."""
+    text = F.col("_agent")
+    families = {"device": device_family(text), "browser": browser_family(text)}
+    return (
+        log.withColumn("_agent", agent_text(F.col("userAgent"))).withColumns(families).drop("_agent")
     )
 
 

@@ -77,33 +77,29 @@ def feature_matrix(
         raise ValueError(f"unknown mode {mode!r}")
     page = F.col("page")
     # Distinct counts shuffle one row per distinct pair. They are aggregated apart from the wide
-    # row of counters, which would ride on each of those rows; both sides end up partitioned by
-    # user, so joining them moves nothing.
+    # row of counters, which would ride on each of those rows, and agent strings are parsed once
+    # per user and string. Every part ends up partitioned by user and reads its own columns of the
+    # log, so joining them moves nothing.
     distincts = log.groupBy(USER).agg(
         F.round(f._daily_listens()).alias("avg_daily_listens"),
         F.count_distinct("artist").alias("distinct_artist"),
         F.count_distinct("sessionId").alias("unique_sessions"),
     )
-    counters = (
-        f.with_agent_families(log)
-        .groupBy(USER)
-        .agg(
-            f._ever(label_pages).alias("label"),
-            F.count("artist").alias("song_counts"),
-            f._latest_level_flag().alias("level_flag"),
-            f._page_hits(positive_pages).alias("pos_interactions"),
-            f._page_hits(NEGATIVE_PAGES).alias("neg_interactions"),
-            F.count_if(~page.isin(list(PIVOT_EXCLUDED_PAGES))).alias("_pages"),
-            *(F.count_if(page == name).alias(name) for name in pages),
-            *(flag.alias(name) for name, flag in f.agent_flags(devices, browsers).items()),
-            f._tenure_days().alias("days_since_registration"),
-        )
+    counters = log.groupBy(USER).agg(
+        f._ever(label_pages).alias("label"),
+        F.count("artist").alias("song_counts"),
+        f._latest_level_flag().alias("level_flag"),
+        f._page_hits(positive_pages).alias("pos_interactions"),
+        f._page_hits(NEGATIVE_PAGES).alias("neg_interactions"),
+        F.count_if(~page.isin(list(PIVOT_EXCLUDED_PAGES))).alias("_pages"),
+        *(F.count_if(page == name).alias(name) for name in pages),
+        f._tenure_days().alias("days_since_registration"),
     )
     agents = list(f.agent_flags(devices, browsers))
     first, last = ["song_counts", "avg_daily_listens"], ["distinct_artist", "days_since_registration"]
     usage = ["level_flag", "pos_interactions", "neg_interactions"]
     order = [USER, "label", *first, *usage, *pages, *agents, *last, "unique_sessions"]
-    matrix = counters.join(distincts, USER)
+    matrix = counters.join(distincts, USER).join(f.user_agents(log, devices, browsers), USER)
     visited = F.col("_pages") > 0
     matrix = matrix.withColumns({name: F.when(visited, F.col(f"`{name}`")) for name in pages})
     matrix = matrix.select(*(F.col(f"`{name}`") for name in order))

@@ -1,7 +1,6 @@
 """User-activity log derived from the ``events`` table (rules in FIXTURES.md section 3)."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # User-agent strings by ``k % 6``.
 USER_AGENTS = (
@@ -21,50 +20,44 @@ FIRST_REGISTRATION = 1696118400000
 DAY_MS = 86400000
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
+def _pick(values: tuple[str, ...], index: str) -> str:
     """``values[index]``, null past the end."""
-    return F.get(F.array(*map(F.lit, values)), index.cast("int"))
+    listed = ", ".join(f"'{value}'" for value in values)
+    return f"get(array({listed}), CAST({index} AS INT))"
 
 
 def sample_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived log, one row per event; a pure projection, so scans stay pruned."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id",
         "user_id",
         "event_type",
         "value",
         # Wall-clock micros, whatever the session time zone is.
-        F.unix_micros(
-            F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
-        ).alias("us"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
+        "unix_micros(from_utc_timestamp(CAST(ts AS TIMESTAMP), current_timezone())) AS us",
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
     )
-    kind, user, k = F.col("event_type"), F.col("user_id"), F.col("k")
-    blank = user % 29 == 0
-    page = (
-        F.when(kind == "view", "NextSong")
-        .when(kind == "click", _pick(CLICK_PAGES, k % 5))
-        .when(kind == "error", F.when(k % 2 == 0, "Error").otherwise("Help"))
-        .when(kind == "purchase", _pick(PURCHASE_PAGES, k % 4))
-        .otherwise(
-            F.when(F.col("value") > 200, "Cancellation Confirmation")
-            .when(F.col("value") > 180, "Cancel")
-            .otherwise("Settings")
-        )
-    )
-    location = F.concat(
-        F.lit("City"), (user % 7).cast("string"), F.lit(", "), _pick(STATES, (user + k % 2) % 4)
-    )
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.when(blank, "").otherwise(user.cast("string")).alias("userId"),
-        F.expr("us div 1000").alias("ts"),
-        page.alias("page"),
-        F.when(kind == "view", F.concat(F.lit("artist_"), k.cast("string"))).alias("artist"),
-        F.when(k % 3 == 0, "free").otherwise("paid").alias("level"),
-        F.when(~blank, F.when(user % 2 == 0, "F").otherwise("M")).alias("gender"),
-        F.when(k != 0, location).alias("location"),
-        F.when(~blank, F.lit(FIRST_REGISTRATION) + (user % 100) * DAY_MS).alias("registration"),
-        F.expr("us div 86400000000").alias("sessionId"),
-        _pick(USER_AGENTS, k % 6).alias("userAgent"),
+        "CASE WHEN user_id % 29 = 0 THEN '' ELSE CAST(user_id AS STRING) END AS userId",
+        "us div 1000 AS ts",
+        f"""CASE event_type
+            WHEN 'view' THEN 'NextSong'
+            WHEN 'click' THEN {_pick(CLICK_PAGES, "k % 5")}
+            WHEN 'error' THEN CASE WHEN k % 2 = 0 THEN 'Error' ELSE 'Help' END
+            WHEN 'purchase' THEN {_pick(PURCHASE_PAGES, "k % 4")}
+            ELSE CASE WHEN value > 200 THEN 'Cancellation Confirmation'
+                      WHEN value > 180 THEN 'Cancel' ELSE 'Settings' END
+        END AS page""",
+        "CASE WHEN event_type = 'view' THEN concat('artist_', k) END AS artist",
+        "CASE WHEN k % 3 = 0 THEN 'free' ELSE 'paid' END AS level",
+        """CASE WHEN user_id % 29 <> 0 THEN CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END
+        END AS gender""",
+        f"""CASE WHEN k <> 0
+            THEN concat('City', user_id % 7, ', ', {_pick(STATES, "(user_id + k % 2) % 4")})
+        END AS location""",
+        f"""CASE WHEN user_id % 29 <> 0
+            THEN {FIRST_REGISTRATION} + (user_id % 100) * {DAY_MS} END AS registration""",
+        "us div 86400000000 AS sessionId",
+        f"{_pick(USER_AGENTS, 'k % 6')} AS userAgent",
     )
