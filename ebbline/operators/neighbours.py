@@ -22,13 +22,10 @@ def _squared(differences: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, (d * d for d in differences))
 
 
-def _distances(features: Sequence[str], pivots: Sequence[Sequence[float]]) -> Column:
-    """Array of the distances to each pivot."""
+def _distances(point: str, pivots: Sequence[Sequence[float]]) -> Column:
+    """Array of the distances from an array column to each pivot."""
     return F.array(
-        *(
-            F.sqrt(_squared([F.col(f"`{name}`") - x for name, x in zip(features, pivot)]))
-            for pivot in pivots
-        )
+        *(F.sqrt(_squared([F.get(point, F.lit(i)) - x for i, x in enumerate(pivot)])) for pivot in pivots)
     )
 
 
@@ -48,12 +45,16 @@ def knn_classify(
     points only the k smallest keys can matter and only they are kept; identical test points are
     looked up once. Training rows with a null feature are left out, such test rows get null.
     """
-    names = list(features)
-    numbers = [F.col(f"`{c}`").cast("double").alias(c) for c in names]
-    rows = train.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"), *numbers)
+    # A point is one array column: the optimizer tracks every renaming of columns an expression
+    # uses, which a column per feature would multiply.
+    point = F.array(*(F.col(f"`{c}`").cast("double") for c in features))
+    complete = ~F.exists(point, lambda x: x.isNull())
+    rows = train.filter(complete).select(
+        F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"), point.alias("_x")
+    )
     # A fixed number of rows, spread by hash; any choice of pivots gives the same neighbours.
-    chosen = rows.dropna().orderBy(row_hash("_id"), "_id").limit(pivots).select(*names)
-    centres = sorted({tuple(row) for row in chosen.collect()})
+    chosen = rows.orderBy(row_hash("_id"), "_id").limit(pivots).select("_x")
+    centres = sorted({tuple(row._x) for row in chosen.collect()})
     if not centres:
         raise ValueError("no training rows")
 
@@ -61,12 +62,11 @@ def knn_classify(
     nearest = F.array_min(
         F.zip_with("_dist", numbered, lambda d, i: F.struct(d.alias("d"), i.alias("cell")))
     )
-    same_point = Window.partitionBy(*(f"`{c}`" for c in names)).orderBy("_id")
+    same_point = Window.partitionBy("_x").orderBy("_id")
     placed = materialize(
-        rows.dropna()
-        .withColumn("_copy", F.row_number().over(same_point))
+        rows.withColumn("_copy", F.row_number().over(same_point))
         .filter(F.col("_copy") <= k)
-        .withColumn("_dist", _distances(names, centres))
+        .withColumn("_dist", _distances("_x", centres))
         .withColumn("_near", nearest)
         .withColumns({"_cell": F.col("_near.cell"), "_d": F.col("_near.d")})
         .drop("_copy", "_dist", "_near"),
@@ -102,9 +102,10 @@ def knn_classify(
     bound = F.array_min(F.zip_with("_dist", facts, lambda d, cell: d + cell["kth"]))
     radius = F.coalesce(bound, F.lit(float("inf"))) * (1 + SLACK) + SLACK
     queries = (
-        test.select(*numbers)
+        test.filter(complete)
+        .select(point.alias("_q"))
         .distinct()
-        .withColumn("_dist", _distances(names, [centres[row._cell] for row in cells]))
+        .withColumn("_dist", _distances("_q", [centres[row._cell] for row in cells]))
         .withColumn("_radius", radius)
     )
     reached = F.arrays_zip(F.col("_dist").alias("d"), facts.alias("cell"))
@@ -116,24 +117,17 @@ def knn_classify(
         queries.withColumn("_visit", F.explode(reached))
         .filter(low <= cell["far"])
         .withColumn("_ring", F.explode(reached_rings))
-        .select(
-            *(F.col(f"`{c}`").alias(f"q_{i}") for i, c in enumerate(names)),
-            "_radius",
-            cell["cell"].alias("_cell"),
-            "_ring",
-        )
+        .select("_q", "_radius", cell["cell"].alias("_cell"), "_ring")
     )
-    square = _squared([F.col(f"`{c}`") - F.col(f"q_{i}") for i, c in enumerate(names)])
-    point = [f"q_{i}" for i in range(len(names))]
-    closest = Window.partitionBy(*point).orderBy("_square", "_id")
+    square = _squared([F.get("_x", F.lit(i)) - F.get("_q", F.lit(i)) for i in range(len(features))])
+    closest = Window.partitionBy("_q").orderBy("_square", "_id")
     votes = (
         visits.join(candidates, ["_cell", "_ring"])
         .withColumn("_square", square)
         .filter(F.sqrt("_square") <= F.col("_radius"))
         .withColumn("_i", F.row_number().over(closest))
         .filter(F.col("_i") <= k)
-        .groupBy(*point)
+        .groupBy("_q")
         .agg((2 * F.sum("_label") > F.count("*")).cast("int").alias("prediction"))
     )
-    asked = test.select(key, *(n.alias(f"q_{i}") for i, n in enumerate(numbers)))
-    return asked.join(votes, point, "left").select(key, "prediction")
+    return test.select(key, point.alias("_q")).join(votes, "_q", "left").select(key, "prediction")

@@ -369,8 +369,9 @@ def winsorize_log(spark, sf_dir):
 
 @query
 def log_and_clip(spark, sf_dir):
-    features = _features(spark, sf_dir).select(USER, "song_counts", F.col("label").alias("label_log"))
-    return _round(transform.log_and_clip(features, ["song_counts", "label_log"]))
+    already = F.col("unique_sessions").alias("sessions_log")
+    features = _features(spark, sf_dir).select(USER, "song_counts", already)
+    return _round(transform.log_and_clip(features, ["song_counts", "sessions_log"]))
 
 
 # Churn breakdowns
@@ -700,7 +701,8 @@ def knn_classify(spark, sf_dir):
 @query
 def assemble(spark, sf_dir):
     rows = transform.assemble(fm.user_features(_log(spark, sf_dir)), FEATURES)
-    return rows.select(USER, t.vector_to_array("features").alias("features"))
+    vector = t.vector_to_array("features")
+    return rows.select(USER, *(vector[i].alias(name) for i, name in enumerate(FEATURES)))
 
 
 @query
@@ -834,12 +836,21 @@ def train_naive_bayes(spark, sf_dir):
 @query
 def leaderboard(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    models = {
-        "LogisticRegression": t.balanced_logistic,
-        "DecisionTreeClassifier": t.decision_tree,
-        "Gaussian_Naive_Bayes": t.naive_bayes,
+    small = {
+        "RandomForestClassifier": lambda train: t.random_forest(train, trees=10, depth=5),
+        "GradientBoostingClassifier": lambda train: t.boosted_trees(train, rounds=3),
+        "AdaBoostClassifier": lambda train: t.adaboost(train, rounds=3),
     }
-    return t.leaderboard(models, prepared)
+    return t.leaderboard(t.MODEL_PLAN | small, prepared)
+
+
+@query
+def model_validation(spark, sf_dir):
+    """Validation report of a fitted model on the test side."""
+    prepared = _prepared(spark, sf_dir)
+    scored = t.predictions(t.balanced_logistic(prepared.train), prepared.test)
+    scored = materialize(scored, "scored")
+    return _round(metrics.validation_report(scored, predictors=len(prepared.features)))
 
 
 @query

@@ -365,10 +365,10 @@ _oracle(
 )
 _oracle(
     "log_and_clip",
-    f"""SELECT userId, song_counts, label AS label_log,
-    {_clipped("song_counts")} AS song_counts_clipped, {_clipped("label")} AS label_log_clipped,
-    round(ln(1 + song_counts), 6) AS song_counts_log, round(ln(1 + label), 6) AS label_log_log,
-    CAST(NULL AS DOUBLE) AS "label_log_logClip" FROM uf""",
+    f"""SELECT userId, song_counts, unique_sessions AS sessions_log,
+    {_clipped("song_counts")} AS song_counts_clipped, {_clipped("unique_sessions")} AS sessions_log_clipped,
+    round(ln(1 + song_counts), 6) AS song_counts_log, round(ln(1 + unique_sessions), 6) AS sessions_log_log,
+    {_clipped("unique_sessions")} AS "sessions_log_logClip" FROM uf""",
     UF,
 )
 
@@ -777,9 +777,9 @@ _oracle(
 )
 _oracle(
     "assemble",
-    "SELECT userId, ["
-    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0)" for c in FEATURES)
-    + "] AS features FROM uf",
+    "SELECT userId, "
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in FEATURES)
+    + " FROM uf",
     UF,
 )
 _oracle(

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.operators.metrics import score_metrics
+from ebbline.operators.neighbours import knn_classify
 from ebbline.operators.transform import assemble, stratified_folds, train_test_split
 from ebbline.schema import USER
 from ebbline.sources.scratch import materialize
@@ -312,12 +313,38 @@ def adaboost(
     return BoostedModel(trees, weights)
 
 
+class NeighbourModel:
+    """Looks up the nearest training rows when asked for predictions."""
+
+    def __init__(self, train: DataFrame, k: int):
+        self.train, self.k = train, k
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        size = self.train.select(F.size(vector_to_array("scaled_features"))).first()[0]
+        names = [f"x{i}" for i in range(size)]
+
+        def spread(rows: DataFrame) -> DataFrame:
+            vector = rows.select(USER, "label", vector_to_array("scaled_features").alias("v"))
+            return vector.select(USER, "label", *(F.col("v")[i].alias(n) for i, n in enumerate(names)))
+
+        found = knn_classify(
+            spread(self.train), spread(df), names, USER, k=self.k, pivots=8, rings=16
+        )
+        votes = found.select(USER, F.col("prediction").cast("double").alias("prediction"))
+        return df.join(votes, USER)
+
+
+def nearest_neighbours(train: DataFrame, k: int = 5) -> NeighbourModel:
+    return NeighbourModel(train, k)
+
+
 # The model plan that is ranked by AUC.
 MODEL_PLAN: dict[str, Callable] = {
     "LogisticRegression": balanced_logistic,
     "RandomForestClassifier": random_forest,
     "GradientBoostingClassifier": boosted_trees,
     "SupportVectorClassifier": linear_svc,
+    "KNeighborsClassifier": nearest_neighbours,
     "DecisionTreeClassifier": decision_tree,
     "AdaBoostClassifier": adaboost,
     "BaggingClassifier": bagging,

@@ -40,6 +40,7 @@ def test_random_split_option(spark):
         t.balanced_logistic,
         t.linear_svc,
         t.naive_bayes,
+        t.nearest_neighbours,
         t.decision_tree,
         t.bagging,
         lambda train: t.random_forest(train, trees=5, depth=5),
