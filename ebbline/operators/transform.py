@@ -166,8 +166,9 @@ def stratified_folds(
 ) -> DataFrame:
     """Fold numbers that spread each label evenly: rank by key hash within the label, modulo folds.
 
-    Keys that share a hash are ordered inside one small group; ranks across groups come from
-    bucketed running totals, not from a window over a whole label.
+    ``key`` is unique. Keys that share a hash are ordered inside one small group; ranks across
+    groups come from bucketed running totals, not from a window over a whole label. Reads ``df``
+    more than once, so pass a written table.
     """
     hashed = df.withColumn("_hash", row_hash(key))
     per_hash = hashed.groupBy(label, "_hash").agg(F.count("*").alias("_n"))
