@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import merge_replay
+from ebbline.llm import merge_replay, token_files
 from ebbline.llm import token_counts as counts
 from ebbline.llm.common import table
+from ebbline.sources import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,10 @@ def op3_token_counts(spark, sf_dir):
 def op8_byte_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return merge_replay.digests(table(spark, sf_dir, "documents"), ranks)
+
+
+@query
+def op4_token_files(spark, sf_dir):
+    path = scratch_path(spark, "llm-tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return token_files.digests(spark.read.parquet(path))
