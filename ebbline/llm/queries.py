@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbline.llm import merge_replay, token_files
+from ebbline.llm import merge_replay, site_lines, token_files, toxicity
 from ebbline.llm import token_counts as counts
 from ebbline.llm.common import table
 from ebbline.sources import scratch_path
@@ -37,3 +38,40 @@ def op4_token_files(spark, sf_dir):
     path = scratch_path(spark, "llm-tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return token_files.digests(spark.read.parquet(path))
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    scored = documents.select("doc_id", toxicity.held_out().alias("held_out"), toxicity.score(documents, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op10_site_lines(spark, sf_dir):
+    kept = site_lines.page_boilerplate(table(spark, sf_dir, "pages"))
+    return kept.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op10_site_lines"] = r"""
+WITH lines AS (
+  SELECT page_id, nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#:]+)', 1), '') AS host,
+    list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'),
+      '(?i)</?(a|b|i|em|strong|span)(\s[^>]*)?>', '', 'g'), '<[^>]*>', chr(10), 'g'), chr(10)),
+      lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS lines
+  FROM pages
+), totals AS (SELECT host, count(*) AS pages FROM lines GROUP BY host),
+often AS (
+  SELECT host, line FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM lines WHERE host IS NOT NULL)
+  JOIN totals USING (host) GROUP BY host, line, pages HAVING count(*) >= 5 AND count(*) > 0.1 * pages
+), marks AS (SELECT host, list(line) AS bad FROM often GROUP BY host),
+kept AS (
+  SELECT page_id, l.host, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(bad, []), x)) AS rest
+  FROM lines l LEFT JOIN marks m ON l.host = m.host
+)
+SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(rest))::BIGINT AS n_dropped,
+  sha256(array_to_string(rest, chr(10))) AS kept_sha256
+FROM kept
+"""
