@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import merge_replay, site_lines, token_files, toxicity
+from ebbline.llm import forest_join, merge_replay, site_lines, token_files, toxicity
 from ebbline.llm import token_counts as counts
 from ebbline.llm.common import table
 from ebbline.sources import scratch_path
@@ -75,3 +75,8 @@ SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(rest))::B
   sha256(array_to_string(rest, chr(10))) AS kept_sha256
 FROM kept
 """
+
+
+@query
+def op9_ngram_join(spark, sf_dir):
+    return forest_join.similarity_classes(table(spark, sf_dir, "documents"))
