@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import forest_join, merge_replay, site_lines, token_files, toxicity
+from ebbline.llm import forest_join, merge_replay, paragraphs, site_lines, token_files, toxicity
 from ebbline.llm import token_counts as counts
 from ebbline.llm.common import table
 from ebbline.sources import scratch_path
@@ -80,3 +80,9 @@ FROM kept
 @query
 def op9_ngram_join(spark, sf_dir):
     return forest_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_paragraph_dedup(spark, sf_dir):
+    found = paragraphs.removals(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "removed", "first_docs", F.sha2("kept", 256).alias("kept_sha256"))
