@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import forest_join, merge_replay, paragraphs, site_lines, token_files, toxicity
+from ebbline.llm import decontaminate, forest_join, merge_replay, paragraphs, site_lines, token_files, toxicity
 from ebbline.llm import token_counts as counts
 from ebbline.llm.common import table
 from ebbline.sources import scratch_path
@@ -86,3 +86,38 @@ def op9_ngram_join(spark, sf_dir):
 def op2_paragraph_dedup(spark, sf_dir):
     found = paragraphs.removals(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", "removed", "first_docs", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op1_decontamination(spark, sf_dir):
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"))
+
+
+# Every window of an item's length in every document, aligned by shared shingles.
+ORACLES["op1_decontamination"] = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), items AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
+), item_shingles AS (
+  SELECT item_id, len(w) AS n, i, array_to_string(w[i:i + 4], ' ') AS s
+  FROM items, unnest(range(1, len(w) - 3)) AS r(i) WHERE len(w) >= 7
+), doc_shingles AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s, len(w) AS len FROM words, unnest(range(1, len(w) - 3)) AS r(i)
+), weights AS (SELECT s, 1.0::DOUBLE / count(DISTINCT item_id) AS weight FROM item_shingles GROUP BY s),
+item_counts AS (SELECT item_id, n, s, count(*) AS c, any_value(weight) AS weight FROM item_shingles JOIN weights USING (s) GROUP BY 1, 2, 3),
+whole AS (SELECT item_id, sum(c * weight) AS whole FROM item_counts GROUP BY item_id),
+starts AS (
+  SELECT DISTINCT doc_id, item_id, n, d.i - t.i AS pos FROM doc_shingles d JOIN item_shingles t USING (s)
+), windows AS (
+  SELECT a.doc_id, a.item_id, a.pos, d.s, count(*) AS m
+  FROM starts a JOIN doc_shingles d ON d.doc_id = a.doc_id AND d.i - 1 >= a.pos AND d.i + 4 <= a.pos + a.n
+  GROUP BY 1, 2, 3, 4
+), scored AS (
+  SELECT doc_id, item_id, pos, sum(coalesce(c.weight * least(c.c, m), 0)) AS both_, sum(coalesce(c.weight, 1) * m) AS window_
+  FROM windows LEFT JOIN item_counts c USING (item_id, s) GROUP BY 1, 2, 3
+)
+SELECT doc_id, item_id, round(max(both_ / (whole + window_ - both_)), 6) AS similarity
+FROM scored JOIN whole USING (item_id) GROUP BY doc_id, item_id HAVING max(both_ / (whole + window_ - both_)) >= 0.8 - 1e-9
+"""
