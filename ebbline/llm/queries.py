@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import decontaminate, forest_join, merge_replay, paragraphs, site_lines, token_files, toxicity
+from ebbline.llm import decontaminate, forest_join, merge_replay, paragraphs, projection_dedup, site_lines, token_files, toxicity
 from ebbline.llm import token_counts as counts
 from ebbline.llm.common import table
 from ebbline.sources import scratch_path
@@ -121,3 +121,8 @@ starts AS (
 SELECT doc_id, item_id, round(max(both_ / (whole + window_ - both_)), 6) AS similarity
 FROM scored JOIN whole USING (item_id) GROUP BY doc_id, item_id HAVING max(both_ / (whole + window_ - both_)) >= 0.8 - 1e-9
 """
+
+
+@query
+def op6_projection_dedup(spark, sf_dir):
+    return projection_dedup.near_vectors(table(spark, sf_dir, "embeddings"))

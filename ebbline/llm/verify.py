@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import ship, written
@@ -15,6 +15,10 @@ from ebbline.llm.components import components
 
 #: Shingles that one side of a compared pair of blocks holds, about.
 BLOCK_SHINGLES = 500_000
+#: A pair of blocks, and what its comparison gives.
+GROUP = ("component", "s1", "b1", "s2", "b2")
+LINKS = "node long, n long, other long, link boolean"
+NO_LINKS = pd.DataFrame({"node": [], "n": [], "other": [], "link": []})
 
 
 def candidate_components(keys: DataFrame) -> DataFrame:
@@ -29,6 +33,38 @@ def candidate_components(keys: DataFrame) -> DataFrame:
     return components(links)
 
 
+def links_frame(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray, node: np.ndarray, weight: np.ndarray) -> pd.DataFrame:
+    """The result of one group: per linked node the weight of its partners, and links that keep the linked connected.
+
+    ``linked`` holds rows against columns, both indices into ``node``; equal ``rows`` and ``columns`` mean one block.
+    """
+    inside = rows is columns
+    partners = linked @ weight[columns]
+    counts = pd.DataFrame(
+        {
+            "node": node[rows] if inside else np.concatenate([node[rows], node[columns]]),
+            "n": partners if inside else np.concatenate([partners, linked.T @ weight[rows]]),
+        }
+    )
+    counts = counts[counts.n > 0].assign(other=np.int64(0), link=False)
+    # Each round hangs every row under its smallest linked label; rows and columns share labels until none changes.
+    label_r, label_c = rows.copy(), columns.copy()
+    while linked.any():
+        new_c = np.minimum(label_c, np.where(linked, label_r[:, None], len(node)).min(axis=0))
+        if inside:
+            label_r = np.minimum(label_r, new_c)
+        new_r = np.minimum(label_r, np.where(linked, new_c[None, :], len(node)).min(axis=1))
+        if inside:
+            new_c = new_r
+        if (new_r == label_r).all() and (new_c == label_c).all():
+            break
+        label_r, label_c = new_r, new_c
+    labels, members = np.concatenate([label_r, label_c]), np.concatenate([rows, columns])
+    hung = labels != members
+    forest = pd.DataFrame({"node": node[members[hung]], "n": np.int64(0), "other": node[labels[hung]], "link": True})
+    return pd.concat([counts, forest.drop_duplicates()], ignore_index=True)
+
+
 def block_links(blocks: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links of similarity ``threshold`` or more between the two sides of a pair of blocks, or inside one block.
 
@@ -45,12 +81,13 @@ def block_links(blocks: pd.DataFrame, threshold: float) -> pd.DataFrame:
     shared = np.zeros(len(flat), bool)
     if len(flat) > 1:
         same = flat[1:] == flat[:-1]
-        shared[1:], shared[:-1] = same, shared[:-1] | same
         shared[1:] |= same
+        shared[:-1] |= same
     flat, owner = flat[shared], owner[shared]
     column = np.cumsum(np.diff(flat, prepend=flat[:1]) != 0) if len(flat) else np.zeros(0, np.int64)
     inside = (side == 0).all()
-    rows, columns = (np.flatnonzero(side == 0), np.flatnonzero(side == (0 if inside else 1)))
+    rows = np.flatnonzero(side == 0)
+    columns = rows if inside else np.flatnonzero(side == 1)
     common = np.zeros((len(rows), len(columns)), np.float32)
     place = np.zeros(len(sets), np.int64)
     place[rows] = np.arange(len(rows))
@@ -68,30 +105,46 @@ def block_links(blocks: pd.DataFrame, threshold: float) -> pd.DataFrame:
     linked = common >= np.ceil(threshold * union - 1e-6)
     if inside:
         np.fill_diagonal(linked, False)
-    counts = pd.DataFrame(
-        {
-            "node": np.concatenate([node[rows], node[columns]]) if not inside else node[rows],
-            "n": np.concatenate([linked @ weight[columns], linked.T @ weight[rows]]) if not inside else linked @ weight[columns],
-        }
+    return links_frame(linked, rows, columns, node, weight)
+
+
+def comparable(blocks: pd.DataFrame) -> bool:
+    """Whether both blocks of a group have rows."""
+    one = (blocks.s1.iat[0], blocks.b1.iat[0]) == (blocks.s2.iat[0], blocks.b2.iat[0])
+    return len(blocks) > 1 and (one or blocks.side.nunique() > 1)
+
+
+def paired_blocks(members: DataFrame, amount: Column, per_block: int) -> DataFrame:
+    """``members`` once for each pair of blocks they take part in: ``GROUP`` names the pair, ``side`` 0 or 1 the block.
+
+    Rows of a ``component`` can only match those whose ``size`` differs by one at most. A size class is cut by a
+    hash of the node into blocks that hold about ``per_block`` of ``amount`` each.
+    """
+    blocks = members.groupBy("component", "size").agg(F.sum(amount).alias("all"))
+    blocks = blocks.select("component", F.struct("size", F.ceil(F.col("all") / per_block).alias("n")).alias("of"))
+    blocks = blocks.groupBy(F.col("component").alias("c")).agg(F.map_from_entries(F.collect_list("of")).alias("blocks_of"))
+    placed = members.join(blocks, F.col("component") == F.col("c"))
+    own, size = F.col("block"), F.col("size")
+
+    def count(size):
+        return F.coalesce(F.try_element_at("blocks_of", size), F.lit(0)).cast("int")
+
+    def many(n):
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def pair(side, s1, b1, s2, b2):
+        return F.struct(F.lit(side).alias("side"), s1.alias("s1"), b1.alias("b1"), s2.alias("s2"), b2.alias("b2"))
+
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.greatest(count(size), F.lit(1))).cast("int"))
+    groups = F.concat(
+        F.transform(
+            many(count(size)),
+            lambda j: F.when(j >= own, pair(0, size, own, size, j)).otherwise(pair(1, size, j, size, own)),
+        ),
+        F.transform(many(count(size + 1)), lambda j: pair(0, size, own, size + 1, j)),
+        F.transform(many(count(size - 1)), lambda j: pair(1, size - 1, j, size, own)),
     )
-    counts = counts[counts.n > 0].assign(other=np.int64(0), link=False)
-    # Each round hangs every row under its smallest linked label; rows and columns share labels until none changes.
-    label_r, label_c = rows.copy(), columns.copy()
-    if linked.any():
-        while True:
-            new_c = np.minimum(label_c, np.where(linked, label_r[:, None], len(sets)).min(axis=0))
-            if inside:
-                label_r = new_c.copy()
-            new_r = np.minimum(label_r, np.where(linked, new_c[None, :], len(sets)).min(axis=1))
-            stable = (new_r == label_r).all() and (new_c == label_c).all()
-            label_r, label_c = new_r, (new_r.copy() if inside else new_c)
-            if stable:
-                break
-    labels = np.concatenate([label_r, label_c])
-    members = np.concatenate([rows, columns])
-    hung = labels != members
-    forest = pd.DataFrame({"node": node[members[hung]], "n": np.int64(0), "other": node[labels[hung]], "link": True})
-    return pd.concat([counts, forest.drop_duplicates()], ignore_index=True)
+    return placed.withColumn("group", F.explode(groups)).select(*members.columns, "group.*")
 
 
 def verified_links(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -107,32 +160,12 @@ def verified_links(members: DataFrame, threshold: float) -> tuple[DataFrame, Dat
     members = written(
         members.withColumn("size", F.floor(F.log("n_shingles") / -math.log(threshold)).cast("int")), "candidates"
     )
-    blocks = members.groupBy("component", "size").agg(F.sum("n_shingles").alias("all"))
-    blocks = blocks.select("component", F.struct("size", F.ceil(F.col("all") / BLOCK_SHINGLES).alias("n")).alias("of"))
-    blocks = blocks.groupBy(F.col("component").alias("c")).agg(F.map_from_entries(F.collect_list("of")).alias("n"))
-    placed = members.join(blocks, F.col("component") == F.col("c"))
-    count = lambda size: F.coalesce(F.try_element_at("n", size), F.lit(0)).cast("int")
-    many = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    own, size = F.col("block"), F.col("size")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.greatest(count(size), F.lit(1))).cast("int"))
-
-    def pair(side, s1, b1, s2, b2):
-        return F.struct(F.lit(side).alias("side"), s1.alias("s1"), b1.alias("b1"), s2.alias("s2"), b2.alias("b2"))
-
-    groups = F.concat(
-        F.transform(many(count(size)), lambda j: F.when(j >= own, pair(0, size, own, size, j)).otherwise(pair(1, size, j, size, own))),
-        F.transform(many(count(size + 1)), lambda j: pair(0, size, own, size + 1, j)),
-        F.transform(many(count(size - 1)), lambda j: pair(1, size - 1, j, size, own)),
-    )
-    placed = placed.withColumn("group", F.explode(groups))
-    placed = placed.select("component", "group.*", "node", "weight", "shingles")
+    placed = paired_blocks(members, F.col("n_shingles"), BLOCK_SHINGLES).select(*GROUP, "side", "node", "weight", "shingles")
 
     def run(blocks: pd.DataFrame) -> pd.DataFrame:
-        if len(blocks) < 2 or (blocks.s1.iat[0], blocks.b1.iat[0]) != (blocks.s2.iat[0], blocks.b2.iat[0]) and blocks.side.nunique() < 2:
-            return pd.DataFrame({"node": [], "n": [], "other": [], "link": []})
-        return block_links(blocks, threshold)
+        return block_links(blocks, threshold) if comparable(blocks) else NO_LINKS
 
-    found = placed.groupBy("component", "s1", "b1", "s2", "b2").applyInPandas(run, "node long, n long, other long, link boolean")
+    found = placed.groupBy(*GROUP).applyInPandas(run, LINKS)
     found = written(found, "links")
     counts = found.where("not link").groupBy("node").agg(F.sum("n").alias("n_links"))
     return counts, found.where("link").select(F.col("node").alias("a"), F.col("other").alias("b"))
