@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import decontaminate, forest_join, merge_replay, paragraphs, projection_dedup, site_lines, token_files, toxicity
+from ebbline.llm import decontaminate, forest_join, merge_replay, paragraphs, projection_dedup, site_lines, suffix_dedup, token_files, toxicity
 from ebbline.llm import token_counts as counts
 from ebbline.llm.common import table
 from ebbline.sources import scratch_path
@@ -126,3 +126,9 @@ FROM scored JOIN whole USING (item_id) GROUP BY doc_id, item_id HAVING max(both_
 @query
 def op6_projection_dedup(spark, sf_dir):
     return projection_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    found = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

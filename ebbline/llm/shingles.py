@@ -15,13 +15,13 @@ _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX[0]
     x = (x ^ (x >> np.uint64(27))) * _MIX[1]
     return x ^ (x >> np.uint64(31))
 
 
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(n, base, np.uint64)
@@ -38,9 +38,9 @@ def word_hashes(texts: Sequence[str]) -> list[np.ndarray]:
     inside = _WORD[data]
     step = np.diff(inside.view(np.int8), prepend=np.int8(0))
     starts, stops = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    power, inverse = _powers_to(len(data) + 1)
+    power, inverse = powers_to(len(data) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1])])
-    hashes = _mixed((total[stops] - total[starts]) * inverse[starts] + (stops - starts).astype(np.uint64))
+    hashes = mixed((total[stops] - total[starts]) * inverse[starts] + (stops - starts).astype(np.uint64))
     ends = np.cumsum([len(e) + 1 for e in encoded])
     return np.split(hashes, np.searchsorted(starts, ends[:-1])) if len(encoded) else []
 
@@ -53,13 +53,13 @@ def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     total = np.zeros(len(words) - width + 1, np.uint64)
     for k in range(width):
         total = total * _BASE + words[k : len(words) - width + 1 + k]
-    return np.unique(_mixed(total + np.uint64(width)))
+    return np.unique(mixed(total + np.uint64(width)))
 
 
 def set_hash(shingle_set: np.ndarray) -> int:
     """One signed 64-bit number for a set of shingles."""
-    total = _mixed(shingle_set).sum(dtype=np.uint64) + np.uint64(len(shingle_set)) * _BASE
-    return int(_mixed(np.array([total]))[0].view(np.int64))
+    total = mixed(shingle_set).sum(dtype=np.uint64) + np.uint64(len(shingle_set)) * _BASE
+    return int(mixed(np.array([total]))[0].view(np.int64))
 
 
 def min_hashes(shingle_set: np.ndarray, n: int, seed: int = 1) -> np.ndarray:
