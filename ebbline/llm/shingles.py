@@ -58,8 +58,8 @@ def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
 
 def set_hash(shingle_set: np.ndarray) -> int:
     """One signed 64-bit number for a set of shingles."""
-    total = mixed(shingle_set).sum(dtype=np.uint64) + np.uint64(len(shingle_set)) * _BASE
-    return int(mixed(np.array([total]))[0].view(np.int64))
+    total = int(mixed(shingle_set).sum(dtype=np.uint64)) + len(shingle_set) * int(_BASE)
+    return int(mixed(np.array([total % (1 << 64)], np.uint64))[0].view(np.int64))
 
 
 def min_hashes(shingle_set: np.ndarray, n: int, seed: int = 1) -> np.ndarray:
