@@ -111,10 +111,16 @@ def candidates(documents: DataFrame, items: DataFrame) -> DataFrame | None:
     return probes.join(index, near).select("doc", "item", start.alias("start")).distinct()
 
 
-def shingles(words: Column, n: Column) -> Column:
-    """Runs of ``WIDTH`` words, all words where there are fewer."""
-    last = F.greatest(n - WIDTH, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(words, i + 1, WIDTH), " "))
+def shingles(words: Column) -> Column:
+    """Hashes of all runs of ``WIDTH`` words; none where there are fewer."""
+    last = F.size(words) - WIDTH
+    runs = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, WIDTH)))
+    return F.when(last >= 0, runs).otherwise(F.array().cast("array<long>"))
+
+
+def once(value: Column) -> Column:
+    """``value`` as a generated column: it is computed once per row however often it is used."""
+    return F.explode(F.array(value))
 
 
 def leaks(
@@ -150,20 +156,31 @@ def leaks(
     around = F.explode(F.sequence(F.col("start") - 1, F.col("start") + 1)).alias("at")
     found = written(found.select(F.col("doc").alias("of_doc"), "item", around).distinct(), "leak-candidates")
 
-    counted = items.select("item", F.size("words").alias("n"), F.explode(shingles(F.col("words"), F.size("words"))).alias("shingle"))
+    counted = items.select("item", F.size("words").alias("n"), F.explode(shingles(F.col("words"))).alias("shingle"))
     counted = counted.groupBy("item", "n", "shingle").agg(F.count("*").alias("c"))
     weight = counted.groupBy(F.col("shingle").alias("s")).agg((1 / F.count("*")).alias("weight"))
     counted = counted.join(weight, F.col("shingle") == F.col("s")).select("item", "n", "shingle", "c", "weight")
     counted = written(counted, "item-shingles")
-    whole = counted.groupBy(F.col("item").alias("of_item")).agg(F.max("n").alias("n"), F.sum(F.col("weight") * F.col("c")).alias("whole"))
-
-    placed = found.join(small(written(whole, "item-weights")), F.col("item") == F.col("of_item"))
-    placed = small(written(placed.select("of_doc", "item", "at", "n", "whole"), "placed"))
-    rows = documents.join(placed, F.col("doc") == F.col("of_doc")).withColumn("words", words_of("text"))
-    low, high = F.greatest("at", F.lit(0)), F.least(F.col("at") + F.col("n"), F.size("words"))
-    rows = rows.where(high > low).select("doc", "item", "at", "whole", F.slice("words", low + 1, high - low).alias("words"))
-    rows = rows.withColumn("row", F.xxhash64("words"))
-    rows = rows.select("doc", "item", "at", "row", "whole", F.explode(shingles(F.col("words"), F.size("words"))).alias("shingle"))
+    mass = F.col("weight") * F.col("c")
+    whole = counted.groupBy(F.col("item").alias("of_item")).agg(
+        F.max("n").alias("n"), F.sum(mass).alias("whole"), F.map_from_entries(F.collect_list(F.struct("shingle", mass))).alias("masses")
+    )
+    whole = small(written(whole, "item-weights"))
+
+    places = found.groupBy("of_doc").agg(F.collect_list(F.struct("item", "at")).alias("places"))
+    places = small(written(places, "places"))
+    rows = documents.join(places, F.col("doc") == F.col("of_doc"))
+    rows = rows.select("doc", F.xxhash64("text").alias("row"), "places", once(words_of("text")).alias("words"))
+    rows = rows.select("doc", "row", "places", F.size("words").alias("size"), once(shingles(F.col("words"))).alias("all"))
+    rows = rows.select("doc", "row", "size", "all", F.explode("places").alias("place"))
+    rows = rows.join(whole, F.col("place.item") == F.col("of_item"))
+    low, high = F.greatest("place.at", F.lit(0)), F.least(F.col("place.at") + F.col("n"), F.col("size"))
+    window = F.slice("all", low + 1, F.greatest(high - low - (WIDTH - 1), F.lit(0)))
+    rows = rows.select("doc", "row", F.col("of_item").alias("item"), "place.at", "whole", "masses", once(window).alias("window"))
+    # What the window can share at most: the item's whole mass of every shingle that it has at all.
+    most = F.aggregate(F.array_intersect("window", F.map_keys("masses")), F.lit(0.0), lambda t, s: t + F.element_at("masses", s))
+    rows = rows.where(most >= (threshold - 1e-9) * F.col("whole"))
+    rows = rows.select("doc", "item", "at", "row", "whole", F.explode("window").alias("shingle"))
     rows = rows.groupBy("doc", "item", "at", "row", "whole", "shingle").agg(F.count("*").alias("m"))
     own = small(counted.select(F.col("item").alias("of_item"), F.col("shingle").alias("s"), "c", "weight"))
     rows = rows.join(own, (F.col("item") == F.col("of_item")) & (F.col("shingle") == F.col("s")), "left")
