@@ -46,6 +46,7 @@ def flag_cancelled_users(
 ) -> DataFrame:
     """Every row of a user who ever reached one of ``pages`` gets flag 1.
 
+    Rows without a user match nothing and pass by the join, which would hash them all to one partition.
     One row per flagged user is joined back, so no window gathers a whole user in one task: the
     join is broadcast when the flagged side is measured small, and otherwise adaptive execution
     splits the partitions of heavy users.
@@ -56,7 +57,10 @@ def flag_cancelled_users(
         .distinct()
         .withColumn(flag, F.lit(1))
     )
-    return log.join(flagged, USER, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
+    known = log.filter(F.col(USER).isNotNull()).join(flagged, USER, "left")
+    known = known.withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
+    unknown = log.filter(F.col(USER).isNull()).withColumn(flag, F.lit(0))
+    return known.unionByName(unknown.select(*known.columns))
 
 
 def zero_fill(feature: DataFrame, users: DataFrame, fill=0) -> DataFrame:

@@ -206,12 +206,13 @@ def event_gaps(log: DataFrame, event_key: str, unit: int = 10000, slice_ms: int
     across = Window.partitionBy(*session).orderBy("_slice")
     heads = slices.withColumn("_before", F.lag("_last").over(across)).drop("_last")
     previous = F.coalesce(F.lag("ts").over(in_slice), F.col("_before"))
-    gaps = instants.join(heads, [*session, "_slice"]).select(
-        *session, "ts", "_first", (F.col("ts") - previous).alias("_gap")
-    )
+    # Null users and sessions are groups of their own, as in a window.
+    heads = heads.select(*(F.col(c).alias(f"_h_{c}") for c in (*session, "_slice")), "_before")
+    own = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in session] + [F.col("_slice") == F.col("_h__slice")]
+    gaps = instants.join(heads, own).select(*session, "ts", "_first", (F.col("ts") - previous).alias("_gap"))
     keyed = log.select(event_key, *session, "ts")
     same = [keyed[c].eqNullSafe(gaps[c]) for c in (*session, "ts")]
-    gap = F.when(F.col(event_key) == F.col("_first"), F.col("_gap")).otherwise(F.lit(0))
+    gap = F.when(F.col(event_key).eqNullSafe(F.col("_first")), F.col("_gap")).otherwise(F.lit(0))
     return keyed.join(gaps, same, "left").select(
         *(keyed[c] for c in keyed.columns),
         F.when(keyed["ts"].isNotNull(), gap / unit).alias("session_duration"),

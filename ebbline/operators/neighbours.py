@@ -1,32 +1,67 @@
-"""Exact k-nearest-neighbour classification without comparing every pair.
+"""Exact k-nearest-neighbour classification in blocks.
 
-Training points are assigned to the nearest of a few pivots and placed in rings by distance to it.
-The triangle inequality gives each query a radius that is sure to hold its k nearest points, and
-from that the rings it has to look into, so candidates come from an equi-join on (cell, ring).
+Every query is compared with every training point: in many dimensions no exact method avoids most of that, so the
+cost is queries times training points. Both sides are cut into blocks of bounded size, one group per pair of blocks
+computes its distances as arrays, and only the k nearest per query and block leave a group. Rows moved are queries
+times training blocks plus training points times query blocks; results are at most queries x blocks x k.
 """
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.operators.transform import row_hash
 from ebbline.sources.scratch import materialize
 
-# Bounds are widened by this share so that rounding never excludes a point on the edge.
-SLACK = 1e-9
+#: Rows of either side in one group.
+BLOCK_ROWS = 2048
 
 
-def _squared(differences: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, (d * d for d in differences))
+def block_neighbours(
+    train: DataFrame, test: DataFrame, k: int, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """``(_n, _square, _id, _label)``: for each query and block of ``train(_id, _label, _x)`` its k nearest points.
 
+    ``test(_n, _q)`` are the queries. Equal distances go to the smaller id.
+    """
+    blocks = [-(-side.count() // block_rows) or 1 for side in (train, test)]
+    own_train = F.pmod(F.xxhash64("_id", "_x"), F.lit(blocks[0])).cast("int")
+    own_test = F.pmod(F.xxhash64("_n"), F.lit(blocks[1])).cast("int")
+    every = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in blocks]
+    points = train.select(own_train.alias("_t"), every[1].alias("_u"), "_id", "_label", "_x")
+    queries = test.select(every[0].alias("_t"), own_test.alias("_u"), "_n", "_q")
+    kinds = dict(train.dtypes)
 
-def _distances(point: str, pivots: Sequence[Sequence[float]]) -> Column:
-    """Array of the distances from an array column to each pivot."""
-    return F.array(
-        *(F.sqrt(_squared([F.get(point, F.lit(i)) - x for i, x in enumerate(pivot)])) for pivot in pivots)
-    )
+    def nearest(points, queries):
+        import numpy as np
+
+        if not len(points) or not len(queries):
+            return pd.DataFrame({"_n": [], "_square": [], "_id": [], "_label": []})
+        points = points.sort_values("_id", kind="stable", ignore_index=True)
+        x, out = np.stack(points["_x"].to_list()), []
+        for low in range(0, len(queries), 256):
+            part = queries.iloc[low : low + 256]
+            q = np.stack(part["_q"].to_list())
+            square = np.zeros((len(q), len(x)))
+            for i in range(x.shape[1]):
+                square += (x[None, :, i] - q[:, i, None]) ** 2
+            order = np.argsort(square, axis=1, kind="stable")[:, :k]
+            found = points.iloc[order.ravel()]
+            out.append(
+                pd.DataFrame(
+                    {
+                        "_n": np.repeat(part["_n"].to_numpy(), order.shape[1]),
+                        "_square": np.take_along_axis(square, order, axis=1).ravel(),
+                        "_id": found["_id"].to_numpy(),
+                        "_label": found["_label"].to_numpy(),
+                    }
+                )
+            )
+        return pd.concat(out)
+
+    pair = points.groupBy("_t", "_u").cogroup(queries.groupBy("_t", "_u"))
+    return pair.applyInPandas(nearest, f"_n long, _square double, _id {kinds['_id']}, _label int")
 
 
 def knn_classify(
@@ -36,8 +71,7 @@ def knn_classify(
     key: str,
     label: str = "label",
     k: int = 5,
-    pivots: int = 16,
-    rings: int = 64,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(key, prediction) for each test row: majority of the k nearest training rows.
 
@@ -45,89 +79,27 @@ def knn_classify(
     points only the k smallest keys can matter and only they are kept; identical test points are
     looked up once. Training rows with a null feature are left out, such test rows get null.
     """
-    # A point is one array column: the optimizer tracks every renaming of columns an expression
-    # uses, which a column per feature would multiply.
     point = F.array(*(F.col(f"`{c}`").cast("double") for c in features))
     complete = ~F.exists(point, lambda x: x.isNull())
     rows = train.filter(complete).select(
         F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"), point.alias("_x")
     )
-    # A fixed number of rows, spread by hash; any choice of pivots gives the same neighbours.
-    chosen = rows.orderBy(row_hash("_id"), "_id").limit(pivots).select("_x")
-    centres = sorted({tuple(row._x) for row in chosen.collect()})
-    if not centres:
-        raise ValueError("no training rows")
-
-    numbered = F.array(*map(F.lit, range(len(centres))))
-    nearest = F.array_min(
-        F.zip_with("_dist", numbered, lambda d, i: F.struct(d.alias("d"), i.alias("cell")))
-    )
     same_point = Window.partitionBy("_x").orderBy("_id")
     placed = materialize(
-        rows.withColumn("_copy", F.row_number().over(same_point))
-        .filter(F.col("_copy") <= k)
-        .withColumn("_dist", _distances("_x", centres))
-        .withColumn("_near", nearest)
-        .withColumns({"_cell": F.col("_near.cell"), "_d": F.col("_near.d")})
-        .drop("_copy", "_dist", "_near"),
+        rows.withColumn("_copy", F.row_number().over(same_point)).filter(F.col("_copy") <= k).drop("_copy"),
         "knn-points",
     )
-    inner = Window.partitionBy("_cell").orderBy("_d")
-    reach = (
-        placed.select("_cell", "_d")
-        .withColumn("_i", F.row_number().over(inner))
-        .filter(F.col("_i") <= k)
-        .groupBy("_cell")
-        .agg(F.max("_d").alias("kth"), F.count("*").alias("n"))
-    )
-    outer = placed.groupBy("_cell").agg(F.max("_d").alias("far"))
-    # One row per pivot: farthest point, ring width, and the k-th nearest if there is one.
-    cells = sorted(reach.join(outer, "_cell").collect(), key=lambda row: row._cell)
-    widths = {row._cell: (row.far / rings) or 1.0 for row in cells}
-    facts = F.array(
-        *(
-            F.struct(
-                F.lit(row._cell).alias("cell"),
-                F.lit(row.far).alias("far"),
-                F.lit(widths[row._cell]).alias("width"),
-                F.lit(row.kth if row.n == k else None).cast("double").alias("kth"),
-            )
-            for row in cells
-        )
-    )
-    width = F.create_map(*(F.lit(x) for item in widths.items() for x in item))
-    candidates = placed.withColumn("_ring", F.floor(F.col("_d") / width[F.col("_cell")])).drop("_d")
-
-    # A query's k nearest lie within the distance to some pivot plus that pivot's k-th distance.
-    bound = F.array_min(F.zip_with("_dist", facts, lambda d, cell: d + cell["kth"]))
-    radius = F.coalesce(bound, F.lit(float("inf"))) * (1 + SLACK) + SLACK
-    queries = (
-        test.filter(complete)
-        .select(point.alias("_q"))
-        .distinct()
-        .withColumn("_dist", _distances("_q", [centres[row._cell] for row in cells]))
-        .withColumn("_radius", radius)
-    )
-    reached = F.arrays_zip(F.col("_dist").alias("d"), facts.alias("cell"))
-    d, cell = F.col("_visit.d"), F.col("_visit.cell")
-    low = F.greatest(d - F.col("_radius"), F.lit(0.0))
-    high = F.least(d + F.col("_radius"), cell["far"])
-    reached_rings = F.sequence(F.floor(low / cell["width"]), F.floor(high / cell["width"]))
-    visits = (
-        queries.withColumn("_visit", F.explode(reached))
-        .filter(low <= cell["far"])
-        .withColumn("_ring", F.explode(reached_rings))
-        .select("_q", "_radius", cell["cell"].alias("_cell"), "_ring")
-    )
-    square = _squared([F.get("_x", F.lit(i)) - F.get("_q", F.lit(i)) for i in range(len(features))])
-    closest = Window.partitionBy("_q").orderBy("_square", "_id")
+    if placed.isEmpty():
+        raise ValueError("no training rows")
+    queries = test.filter(complete).select(point.alias("_q")).distinct()
+    queries = materialize(queries.withColumn("_n", F.monotonically_increasing_id()), "knn-queries")
+    closest = Window.partitionBy("_n").orderBy("_square", "_id")
     votes = (
-        visits.join(candidates, ["_cell", "_ring"])
-        .withColumn("_square", square)
-        .filter(F.sqrt("_square") <= F.col("_radius"))
+        block_neighbours(placed, queries, k, block_rows)
         .withColumn("_i", F.row_number().over(closest))
         .filter(F.col("_i") <= k)
-        .groupBy("_q")
+        .groupBy("_n")
         .agg((2 * F.sum("_label") > F.count("*")).cast("int").alias("prediction"))
     )
-    return test.select(key, point.alias("_q")).join(votes, "_q", "left").select(key, "prediction")
+    found = queries.join(votes, "_n").select("_q", "prediction")
+    return test.select(key, point.alias("_q")).join(found, "_q", "left").select(key, "prediction")

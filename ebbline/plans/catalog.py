@@ -264,6 +264,19 @@ def event_gaps(spark, sf_dir):
     return _round(f.event_gaps(_log(spark, sf_dir), "event_id"))
 
 
+@query
+def event_gaps_raw(spark, sf_dir):
+    """Gaps in the log before cleaning: rows without a user form sessions of their own."""
+    return _round(f.event_gaps(_raw(spark, sf_dir), "event_id"))
+
+
+@query
+def model_features(spark, sf_dir):
+    """Columns of the unlogged matrix that models take by default."""
+    names = t.select_features(fm.feature_matrix(_log(spark, sf_dir)))
+    return spark.createDataFrame([(n,) for n in names if n not in (USER, "label")], "feature string")
+
+
 @query
 def core_features(spark, sf_dir):
     return fm.core_features(_log(spark, sf_dir))
@@ -286,7 +299,13 @@ def features_outer(spark, sf_dir):
 
 @query
 def feature_matrix(spark, sf_dir):
-    return fm.feature_matrix(_log(spark, sf_dir)).dropDuplicates()
+    return fm.feature_matrix(_log(spark, sf_dir))
+
+
+@query
+def drop_duplicates(spark, sf_dir):
+    """Distinct whole rows of a part of the log that repeats many of them."""
+    return _raw(spark, sf_dir).select(USER, "sessionId", "level", "location", "page").dropDuplicates()
 
 
 @query

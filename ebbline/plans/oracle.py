@@ -252,6 +252,16 @@ _oracle(
     "SELECT event_id, userId, sessionId, ts, round(session_duration, 6) AS session_duration FROM gaps",
     f"{LOG}, {GAPS}",
 )
+_oracle(
+    "event_gaps_raw",
+    "SELECT event_id, userId, sessionId, ts, round(session_duration, 6) AS session_duration FROM gaps",
+    f"{LOG}, {GAPS.replace('FROM log)', 'FROM raw)')}",
+)
+_oracle(
+    "drop_duplicates",
+    "SELECT DISTINCT userId, sessionId, level, location, page FROM raw",
+    LOG,
+)
 _oracle(
     "between_session_gaps",
     """, starts AS (SELECT userId, sessionId, min(ts) AS start FROM log GROUP BY ALL),
@@ -648,7 +658,10 @@ _oracle(
 )
 _oracle(
     "dq_state_totals",
-    "SELECT state, total_count AS users_before, total_count AS users_after, true AS matches FROM churn",
+    """SELECT state, b.users_before, a.users_after, b.users_before IS NOT DISTINCT FROM a.users_after AS matches
+    FROM (SELECT state, CAST(sum("count") AS BIGINT) AS users_before FROM states GROUP BY state) b
+    FULL JOIN (SELECT right(location, 2) AS state, count(*) AS users_after FROM latest WHERE location IS NOT NULL GROUP BY 1) a
+    USING (state)""",
     STATE,
 )
 _oracle(
@@ -786,9 +799,10 @@ _oracle(
     "covariance_matrix",
     " UNION ALL ".join(
         f"""SELECT '{a}' AS column_1, '{b}' AS column_2,
-        round(covar_samp(coalesce({a}, 0), coalesce({b}, 0)), 6) AS covariance FROM uf"""
+        round(CASE WHEN stddev_pop({a}) = 0 OR stddev_pop({b}) = 0 THEN 0.0 ELSE corr({a}, {b}) END
+          * count(*) / (count(*) - 1.0), 6) AS covariance FROM distinct_rows"""
         for a in FEATURES
         for b in FEATURES
     ),
-    UF,
+    UF + ", distinct_rows AS (SELECT DISTINCT " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in FEATURES) + " FROM uf)",
 )

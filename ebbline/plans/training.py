@@ -26,6 +26,7 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ebbline.operators.metrics import score_metrics
 from ebbline.operators.neighbours import knn_classify
@@ -94,9 +95,14 @@ PLANS = {
 
 
 def select_features(df: DataFrame, wanted: Sequence[str] | None = None) -> list[str]:
-    """Wanted columns the table has, warning about the others; by default every double and int."""
+    """Wanted columns the table has, warning about the others; by default every numeric column, with a warning for
+    each column that is not."""
     if wanted is None:
-        return [name for name, kind in df.dtypes if kind in ("double", "int")]
+        numeric = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+        for name in df.columns:
+            if name not in numeric:
+                LOG.warning("column %s is not numeric and is no feature", name)
+        return numeric
     for name in wanted:
         if name not in df.columns:
             LOG.warning("column %s is not in the table and cannot be used", name)
@@ -108,6 +114,7 @@ class Prepared:
     train: DataFrame
     test: DataFrame
     features: list[str]
+    key: str = USER
 
 
 def prepare(
@@ -135,6 +142,7 @@ def prepare(
         materialize(scaler.transform(train), "train-scaled"),
         materialize(scaler.transform(test), "test-scaled"),
         names,
+        key,
     )
 
 
@@ -327,9 +335,7 @@ class NeighbourModel:
             vector = rows.select(USER, "label", vector_to_array("scaled_features").alias("v"))
             return vector.select(USER, "label", *(F.col("v")[i].alias(n) for i, n in enumerate(names)))
 
-        found = knn_classify(
-            spread(self.train), spread(df), names, USER, k=self.k, pivots=8, rings=16
-        )
+        found = knn_classify(spread(self.train), spread(df), names, USER, k=self.k)
         votes = found.select(USER, F.col("prediction").cast("double").alias("prediction"))
         return df.join(votes, USER)
 
@@ -389,10 +395,15 @@ def pca_variance(df: DataFrame, columns: Sequence[str], k: int | None = None) ->
 
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_1, column_2, covariance), nulls as 0; sample covariance."""
-    vectors = assemble(df, columns).select("features")
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "features")).computeCovariance()
-    values = matrix.toArray()
+    """(column_1, column_2, covariance) of the standardized columns of the distinct rows, nulls as 0.
+
+    Columns are divided by their population deviation, the covariance is the sample one, so that the diagonal is
+    n / (n - 1)."""
+    vectors = materialize(assemble(df.select(*columns).na.fill(0).distinct(), columns).select("features"), "vectors")
+    scaler = StandardScaler(inputCol="features", outputCol="x", withMean=True).fit(vectors)
+    scaled = MLUtils.convertVectorColumnsFromML(scaler.transform(vectors).select("x"), "x")
+    n = vectors.count()
+    values = RowMatrix(scaled).computeCovariance().toArray() * (n / max(n - 1, 1))
     rows = [
         (a, b, float(values[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
     ]

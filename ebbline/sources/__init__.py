@@ -1,10 +1,11 @@
 from ebbline.sources.readers import jdbc_options, load_features, read_csv, read_jdbc, read_json
 from ebbline.sources.sample_log import sample_log
-from ebbline.sources.scratch import materialize, scratch_path
+from ebbline.sources.scratch import drop_scratch, materialize, scratch_path
 from ebbline.sources.writers import append_csv, export, register_view
 
 __all__ = [
     "append_csv",
+    "drop_scratch",
     "export",
     "jdbc_options",
     "load_features",

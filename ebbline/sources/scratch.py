@@ -1,5 +1,6 @@
 """Scratch tables in the shared folder the cluster names in ``spark.checkpoint.dir``."""
 
+import re
 import tempfile
 import uuid
 
@@ -14,10 +15,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         _local_root = root = _local_root or tempfile.mkdtemp(prefix="ebbline-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/ebbline-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all scratch tables of this application; results that still read them fail afterwards."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root
+    if root:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/ebbline-{spark.sparkContext.applicationId}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

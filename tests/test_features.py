@@ -203,3 +203,22 @@ def test_log_first_scope_logs_one_column_per_group(spark):
     assert every["4"].Home == pytest.approx(1.791759, abs=1e-6)
     assert first["4"].song_counts == pytest.approx(2.397895, abs=1e-6)
     assert every["4"].level_flag == 0.0
+
+
+def test_event_gaps_with_null_users_and_sessions(spark):
+    rows = [(1, "a", None, 0), (2, "a", None, 20_000), (3, None, 7, 0), (4, None, 7, 70_000), (5, None, None, 5), (6, "a", 7, None)]
+    log = spark.createDataFrame(rows, "event_id long, userId string, sessionId long, ts long")
+    got = {r.event_id: r.session_duration for r in f.event_gaps(log, "event_id").collect()}
+    assert got == {1: None, 2: 2.0, 3: None, 4: 7.0, 5: None, 6: None}
+
+
+def test_flags_of_rows_without_a_user(spark):
+    rows = [("a", "Cancellation Confirmation"), ("a", "Home"), (None, "Cancellation Confirmation"), ("b", "Home")]
+    log = spark.createDataFrame(rows, "userId string, page string")
+    got = clean.flag_cancelled_users(log)
+    assert sorted((r.userId or "", r.page, r.cancel_flag) for r in got.collect()) == [
+        ("", "Cancellation Confirmation", 0),
+        ("a", "Cancellation Confirmation", 1),
+        ("a", "Home", 1),
+        ("b", "Home", 0),
+    ]

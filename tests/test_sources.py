@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline.schema import EVENT_LOG_SCHEMA
+from ebbline.sources import scratch
 from ebbline.sources import (
     append_csv,
     export,
@@ -78,3 +79,14 @@ def test_scratch_tables(spark):
     df = materialize(spark.range(10).withColumn("x", F.rand()))
     assert df.collect() == df.collect()
     assert "FileScan" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_drop_scratch(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        kept = scratch.materialize(spark.range(3), "t")
+        assert kept.count() == 3 and any(tmp_path.iterdir())
+        scratch.drop_scratch(spark)
+        assert not any(tmp_path.iterdir())
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")

@@ -208,7 +208,7 @@ def test_knn_equals_brute_force(spark, seed):
     train, test = points(120, "t"), points(40, "q")
     schema = "k string, label int, a double, b double"
     got = neighbours.knn_classify(
-        spark.createDataFrame(train, schema), spark.createDataFrame(test, schema), ["a", "b"], "k", pivots=5, rings=4
+        spark.createDataFrame(train, schema), spark.createDataFrame(test, schema), ["a", "b"], "k", block_rows=16
     )
 
     def vote(q):
@@ -218,6 +218,18 @@ def test_knn_equals_brute_force(spark, seed):
     assert {r.k: r.prediction for r in got.collect()} == {q[0]: vote(q) for q in test}
 
 
+def test_knn_rows_leaving_a_block_are_bounded(spark):
+    """In 40 dimensions, with one point far off: at most k rows per query and training block."""
+    rng = random.Random(5)
+    point = [[rng.random() for _ in range(40)] for _ in range(300)] + [[1e6] * 40]
+    train = spark.createDataFrame([(f"t{i:03}", i % 2, x) for i, x in enumerate(point)], "_id string, _label int, _x array<double>")
+    test = spark.createDataFrame([(i, x) for i, x in enumerate(point[:50])], "_n long, _q array<double>")
+    found = neighbours.block_neighbours(train, test, 3, block_rows=64)
+    assert 50 * 3 <= found.count() <= 50 * 5 * 3
+    nearest = {r._n: r._id for r in found.where("_square = 0").collect()}
+    assert nearest == {i: f"t{i:03}" for i in range(50)}
+
+
 def test_knn_with_fewer_rows_than_neighbours(spark):
     schema = "k string, label int, a double"
     train = spark.createDataFrame([("a", 1, 0.0), ("b", 0, 9.0), ("c", 1, 9.0)], schema)

@@ -115,3 +115,9 @@ def test_pca_ratios_sum_to_one(spark):
     ratios = [r.ratio for r in t.pca_variance(df, ["a", "b", "c"]).orderBy("component").collect()]
     assert sum(ratios) == pytest.approx(1.0) and ratios == sorted(ratios, reverse=True)
     assert t.pca_variance(df, ["a", "b", "c"], k=2).count() == 2
+
+
+def test_default_features_are_all_numeric_columns(spark, caplog):
+    df = spark.createDataFrame([("a", 1, 2, 3.0, 4.0)], "userId string, label int, n long, x double, y float")
+    assert t.select_features(df) == ["label", "n", "x", "y"]
+    assert "userId" in caplog.text
