@@ -81,12 +81,8 @@ def test_scratch_tables(spark):
     assert "FileScan" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_drop_scratch(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        kept = scratch.materialize(spark.range(3), "t")
-        assert kept.count() == 3 and any(tmp_path.iterdir())
-        scratch.drop_scratch(spark)
-        assert not any(tmp_path.iterdir())
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_drop_scratch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: str(tmp_path / "own"))
+    assert scratch.materialize(spark.range(3), "t").count() == 3 and any(tmp_path.iterdir())
+    scratch.drop_scratch(spark)
+    assert not any(tmp_path.iterdir())
