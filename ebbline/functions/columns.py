@@ -20,11 +20,13 @@ DEVICE_MARKS = (
     ("iOS", ("iPod",)),
     ("Mac OS X", ("Mac OS X",)),
     ("Android", ("Android",)),
+    ("Chrome OS", ("CrOS",)),
     ("Ubuntu", ("Ubuntu",)),
     ("Linux", ("Linux",)),
 )
 BROWSER_MARKS = (
     ("Firefox iOS", ("FxiOS/",)),
+    ("Firefox Mobile", ("Android", "Firefox/")),
     ("Firefox", ("Firefox/",)),
     ("Google", ("GSA/",)),
     ("Edge", ("Edge/",)),
@@ -33,6 +35,7 @@ BROWSER_MARKS = (
     ("Opera", ("Opera",)),
     ("Chromium", ("Chromium/",)),
     ("Chrome Mobile iOS", ("CriOS/",)),
+    ("Chrome Mobile", ("Android", "Chrome/")),
     ("Chrome", ("Chrome/",)),
     ("IE", ("MSIE ",)),
     ("IE", ("Trident/",)),

@@ -9,6 +9,7 @@ from ebbline.functions import flag_in
 from ebbline.operators.ranking import running_totals
 from ebbline.schema import CHURN_PAGES, USER
 
+# Columns that the cleaned log keeps.
 KEEP_COLUMNS = ("userId", "artist", "ts", "page", "level", "location")
 
 

@@ -117,15 +117,17 @@ def page_pivot(
     )
 
 
-def discover_pages(log: DataFrame, excluded: Iterable[str] = PIVOT_EXCLUDED_PAGES) -> list[str]:
+def discover_pages(
+    log: DataFrame, excluded: Iterable[str] = PIVOT_EXCLUDED_PAGES, at_most: int | None = None
+) -> list[str]:
     """Sorted page names in the log, for ``page_pivot`` over a log with unknown pages.
 
-    Page names become columns, so more than 10000 of them is an error.
+    Page names become columns; more than ``at_most`` of them, if given, is an error, never a cut.
     """
     names = log.filter(~F.col("page").isin(list(excluded))).select("page").distinct()
-    found = [row.page for row in names.limit(10001).collect()]
-    if len(found) > 10000:
-        raise ValueError("more than 10000 distinct pages cannot become columns")
+    found = [row.page for row in (names if at_most is None else names.limit(at_most + 1)).collect()]
+    if at_most is not None and len(found) > at_most:
+        raise ValueError(f"more than {at_most} distinct pages")
     return sorted(found)
 
 
@@ -159,6 +161,13 @@ def user_agents(
     return _per_user(pairs, **agent_flags(devices, browsers))
 
 
+def user_agents_discovered(log: DataFrame) -> DataFrame:
+    """``user_agents`` with a flag for every family that occurs in the log, so no user is left without one."""
+    pairs = with_agent_families(log.select(USER, "userAgent").distinct())
+    found = pairs.agg(F.collect_set("device").alias("device"), F.collect_set("browser").alias("browser")).first()
+    return _per_user(pairs, **agent_flags(sorted(found.device), sorted(found.browser)))
+
+
 def session_gaps(log: DataFrame, unit: int = 10000, zero_filled: bool = False) -> DataFrame:
     """Mean gap between a user's consecutive events within sessions, in ``unit`` milliseconds.
 

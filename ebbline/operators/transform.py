@@ -12,10 +12,11 @@ from ebbline.operators.ranking import running_totals
 from ebbline.operators.scalars import with_scalar, with_varied
 
 
-def discover_categories(df: DataFrame, column: str, at_most: int = 1000) -> list[str]:
-    """Sorted values of ``column``; more than ``at_most`` of them is an error, not a cut."""
-    found = [row[0] for row in df.select(column).distinct().limit(at_most + 1).collect()]
-    if len(found) > at_most:
+def discover_categories(df: DataFrame, column: str, at_most: int | None = None) -> list[str]:
+    """Sorted values of ``column``; more than ``at_most`` of them, if given, is an error, never a cut."""
+    values = df.select(column).distinct()
+    found = [row[0] for row in (values if at_most is None else values.limit(at_most + 1)).collect()]
+    if at_most is not None and len(found) > at_most:
         raise ValueError(f"{column!r} has more than {at_most} values")
     return sorted(value for value in found if value is not None)
 

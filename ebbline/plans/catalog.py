@@ -358,6 +358,24 @@ def one_hot(spark, sf_dir):
     return transform.one_hot(log, encoded)
 
 
+@query
+def one_hot_discovered(spark, sf_dir):
+    """One-hot over the values that the log holds."""
+    log = f.with_agent_families(sample_log(spark, sf_dir)).select("event_id", "device", "level")
+    return transform.one_hot(log, {c: transform.discover_categories(log, c) for c in ("device", "level")})
+
+
+@query
+def user_agents_discovered(spark, sf_dir):
+    return f.user_agents_discovered(_log(spark, sf_dir))
+
+
+@query
+def page_pivot_discovered(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    return f.page_pivot(log, f.discover_pages(log))
+
+
 @query
 def registration_age(spark, sf_dir):
     log = b.registration_age(sample_log(spark, sf_dir))

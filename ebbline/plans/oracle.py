@@ -3,7 +3,6 @@
 from itertools import combinations
 
 from ebbline import schema
-from ebbline.functions.columns import BROWSER_MARKS, DEVICE_MARKS
 from ebbline.plans.catalog import FEATURES, KNN_FEATURES, LOG_COLUMNS, POSITIONS
 from ebbline.sources.sample_log import (
     CLICK_PAGES,
@@ -221,15 +220,17 @@ _oracle("service_change_pivot", EXIT_PIVOT)
 _oracle("service_change_ranked", f'SELECT * FROM ({EXIT_PIVOT}) WHERE "Submit Downgrade" = 1')
 
 
-def _family(marks) -> str:
-    cases = " ".join(
-        "WHEN " + " AND ".join(f"contains(userAgent, {_text(m)})" for m in needed) + f" THEN {_text(name)}"
-        for name, needed in marks
-    )
-    return f"CASE {cases} ELSE 'Other' END"
+# Families of the log's agent strings, in their order, read from the strings by hand.
+AGENT_DEVICES = ("Windows", "Mac OS X", "Ubuntu", "iOS", "Windows")
+AGENT_BROWSERS = ("Chrome", "Safari", "Firefox", "Mobile Safari", "IE")
+
+
+def _family(names) -> str:
+    cases = " ".join(f"WHEN {_text(agent)} THEN {_text(name)}" for agent, name in zip(USER_AGENTS, names, strict=True))
+    return f"CASE userAgent {cases} ELSE 'Other' END"
 
 
-DEVICE, BROWSER = _family(DEVICE_MARKS), _family(BROWSER_MARKS)
+DEVICE, BROWSER = _family(AGENT_DEVICES), _family(AGENT_BROWSERS)
 AGENT_FLAGS = {
     f"{kind}_{family}": f"max(CAST({sql} = {_text(family)} AS INTEGER))"
     for kind, sql, families in (
@@ -239,6 +240,21 @@ AGENT_FLAGS = {
     for family in families
 }
 _per_user("user_agents", **AGENT_FLAGS)
+_per_user(
+    "user_agents_discovered",
+    **{
+        f"{kind}_{name}": f"max(CAST({sql} = {_text(name)} AS INTEGER))"
+        for kind, sql, names in (("device", DEVICE, AGENT_DEVICES), ("browser", BROWSER, AGENT_BROWSERS))
+        for name in sorted({*names, "Other"})
+    },
+)
+LOG_PAGES = sorted({*CLICK_PAGES, *PURCHASE_PAGES, "Error", "Help", "Settings"})
+_oracle(
+    "page_pivot_discovered",
+    "SELECT userId, "
+    + ", ".join(f"count(*) FILTER (WHERE page = {_text(p)}) AS {_name(p)}" for p in LOG_PAGES)
+    + f" FROM log WHERE {NOT_EXCLUDED} GROUP BY userId",
+)
 GAPS = """gaps AS (SELECT event_id, userId, sessionId, ts,
   (ts - lag(ts) OVER (PARTITION BY userId, sessionId ORDER BY ts, event_id)) / 10000.0 AS session_duration
   FROM log)"""
@@ -334,6 +350,19 @@ _oracle(
     )
     + " FROM user_log",
 )
+_oracle(
+    "one_hot_discovered",
+    "SELECT event_id, "
+    + ", ".join(
+        f"CAST(({sql}) = {_text(v)} AS INTEGER) AS {_name(f'{kind}_{v}')}"
+        for kind, sql, values in (
+            ("device", DEVICE, sorted({*AGENT_DEVICES, "Other"})),
+            ("level", "level", ("free", "paid")),
+        )
+        for v in values
+    )
+    + " FROM user_log",
+)
 DAYS_SINCE = "CAST(floor(((SELECT max(ts) FROM user_log) - registration) / 86400000.0) AS INTEGER)"
 _oracle(
     "registration_age",

@@ -73,9 +73,10 @@ BROWSER_FAMILIES = (
     "Chrome",
 )
 
+# Day names in the order results use.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-# Columns of the training matrix, label aside.
+# Columns of the training matrix, label aside.
 DEVICE_COLUMNS = tuple(f"device_{name}" for name in DEVICE_FAMILIES)
 BROWSER_COLUMNS = tuple(f"browser_{name}" for name in BROWSER_FAMILIES)
 MODEL_FEATURES = (

@@ -222,3 +222,24 @@ def test_flags_of_rows_without_a_user(spark):
         ("a", "Home", 1),
         ("b", "Home", 0),
     ]
+
+
+def test_discovered_agents_leave_no_user_without_a_family(spark):
+    agents = [
+        ("a", "Mozilla/5.0 (Linux; Android 9; Pixel) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/80.0 Mobile Safari/537.36"),
+        ("b", "Mozilla/5.0 (Windows NT 10.0) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/80.0 Safari/537.36 Edg/80.0"),
+        ("c", "strange robot"),
+        ("d", "Mozilla/5.0 (Android 10; Mobile; rv:68.0) Gecko/68.0 Firefox/68.0"),
+        ("e", "Mozilla/5.0 (X11; CrOS x86_64 12871.102.0) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/81.0 Safari/537.36"),
+        ("f", None),
+    ]
+    rows = f.user_agents_discovered(spark.createDataFrame(agents, "userId string, userAgent string")).collect()
+    names = {r.userId: sorted(k for k, v in r.asDict().items() if v == 1) for r in rows}
+    assert names == {
+        "a": ["browser_Chrome Mobile", "device_Android"],
+        "b": ["browser_Edge", "device_Windows"],
+        "c": ["browser_Other", "device_Other"],
+        "d": ["browser_Firefox Mobile", "device_Android"],
+        "e": ["browser_Chrome", "device_Chrome OS"],
+        "f": ["browser_Other", "device_Other"],
+    }
