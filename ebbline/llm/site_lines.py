@@ -74,6 +74,7 @@ def page_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int =
     """``(page_id, host, n_lines, n_dropped, text)`` per page of ``(page_id, url, html)``: its text without the
     host's boilerplate lines. Null pages have no lines."""
     rows = pages.select("page_id", url_host("url").alias("host"), page_lines("html").alias("lines"))
+    rows = written(rows, "page-lines")
     positions = boilerplate_positions(rows, F.col("page_id"), F.col("host"), F.col("lines"), ratio, least_pages)
     wide = rows.join(positions, F.col("page_id") == F.col("line_id"), "left")
     dropped = F.coalesce("line_positions", F.array().cast("array<int>"))
