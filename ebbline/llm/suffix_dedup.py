@@ -156,53 +156,72 @@ def stretches(texts: DataFrame, length: int) -> DataFrame:
     half = (length - GRAM) // 2
     names = ["doc", "place", "before", "after", "whole", "left", "right"]
 
+    def rows_of(doc: int, text: str, named: list[bytes]) -> list[np.ndarray]:
+        prefix = prefix_hashes(np.frombuffer(text.encode(), np.uint8))
+        place, _, first, last = anchors(prefix, length)
+        own = np.isin(place, np.concatenate([np.frombuffer(x, "<i8") for x in named]))
+        place, first, last = place[own], first[own], last[own]
+        n, halves = len(prefix) - 1, []
+        for start, stop in ((place - half, place + GRAM), (place, place + GRAM + half)):
+            halves += [span_hashes(prefix, start.clip(0), stop.clip(0, n)).view(np.int64), (start < 0) | (stop > n)]
+        whole = mixed(span_hashes(prefix, first, last + length) + (place - first).astype(np.uint64)).view(np.int64)
+        return [np.full(len(place), doc, np.int64), place, place - first, last + length - place, whole, *halves]
+
+    def joined(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        doc, place, before, after, whole, left, no_left, right, no_right = (np.concatenate(c) for c in zip(*held, strict=True))
+        columns = [pa.array(doc), pa.array(place), pa.array(before.astype(np.int16)), pa.array(after.astype(np.int16))]
+        columns += [pa.array(whole), pa.array(left, mask=no_left), pa.array(right, mask=no_right)]
+        return pa.RecordBatch.from_arrays(columns, names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text, named in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                prefix = prefix_hashes(np.frombuffer(text.encode(), np.uint8))
-                place, _, first, last = anchors(prefix, length)
-                own = np.isin(place, np.concatenate([np.frombuffer(x, "<i8") for x in named]))
-                place, first, last = place[own], first[own], last[own]
-                n = len(prefix) - 1
-                halves = []
-                for start, stop in ((place - half, place + GRAM), (place, place + GRAM + half)):
-                    inside = (start >= 0) & (stop <= n)
-                    halves.append(pa.array(span_hashes(prefix, start.clip(0), stop.clip(0, n)).view(np.int64), mask=~inside))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(place), doc, np.int64)),
-                        pa.array(place),
-                        pa.array((place - first).astype(np.int16)),
-                        pa.array((last + length - place).astype(np.int16)),
-                        pa.array(mixed(span_hashes(prefix, first, last + length) + (place - first).astype(np.uint64)).view(np.int64)),
-                        *halves,
-                    ],
-                    names,
-                )
+            held, size = [], 0
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.append(rows_of(*row))
+                size += len(row[1])
+                if size >= BATCH_BYTES:
+                    yield joined(held)
+                    held, size = [], 0
+            if held:
+                yield joined(held)
 
     schema = "doc long, place long, before short, after short, whole long, left long, right long"
     return texts.select("doc", "text", "named").mapInArrow(run, schema)
 
 
 def strings(texts: DataFrame, length: int) -> DataFrame:
-    """``(whole, doc, string, offset)``: the last digit. For each stretch its single strings, 128 bits of hash, by the
-    offset of their start from the run."""
+    """``(whole, doc, string, offset)``: the last digit. For each stretch its single strings, 96 bits of hash, by the
+    offset of their start from the run: those that cover its left half stretch if another document has this one
+    (``by_left``), those that cover the right one likewise."""
+    half = (length - GRAM) // 2
     names = ["whole", "doc", "string", "offset"]
 
+    def joined(whole: list, docs: list, hashes: list, offset: list) -> pa.RecordBatch:
+        columns = [pa.array(whole, pa.int64()), pa.array(docs, pa.int64()), pa.array(hashes, pa.binary()), pa.array(offset, pa.int16())]
+        return pa.RecordBatch.from_arrays(columns, names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held: tuple[list, list, list, list] = ([], [], [], [])
             for doc, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode()
-                whole, offset, hashes = [], [], []
+                whole, docs, hashes, offset = held
                 for row in wanted:
-                    for start in range(row["place"] - row["before"], row["place"] + row["after"] - length + 1):
-                        whole.append(row["whole"])
-                        offset.append(start - row["place"])
-                        hashes.append(hashlib.blake2b(data[start : start + length], digest_size=16).digest())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(whole, pa.int64()), pa.array([doc] * len(whole), pa.int64()), pa.array(hashes, pa.binary()), pa.array(offset, pa.int16())],
-                    names,
-                )
+                    low, high = row["place"] - row["before"], row["place"] + row["after"] - length
+                    if not row["by_right"]:
+                        high = min(high, row["place"] - half)
+                    if not row["by_left"]:
+                        low = max(low, row["place"] - (length - GRAM - half))
+                    starts = range(low, high + 1)
+                    whole += [row["whole"]] * len(starts)
+                    docs += [doc] * len(starts)
+                    offset += range(low - row["place"], high + 1 - row["place"])
+                    hashes += [hashlib.blake2b(data[k : k + length], digest_size=12).digest() for k in starts]
+                if len(whole) >= 100_000:
+                    yield joined(*held)
+                    held = ([], [], [], [])
+            if held[0]:
+                yield joined(*held)
 
     rows = texts.select("doc", "text", "wanted")
     return rows.mapInArrow(run, "whole long, doc long, string binary, offset short")
@@ -231,15 +250,21 @@ def repeated_bytes(documents: DataFrame, length: int = LENGTH, id_column: str =
     )
     first = written(first.select("whole", "f.*", (F.col("z") > F.col("f.doc")).alias("again")), "suffix-first-of")
     active = []
-    for side in ("left", "right"):
+    for side, other in (("left", "right"), ("right", "left")):
         groups = first.where(F.col(side).isNotNull()).groupBy(F.col(side).alias("key"))
         several = groups.agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a < z").select("key")
-        active.append(first.join(several, F.col(side) == F.col("key"), "left_semi"))
-    left = active[0].union(active[1]).select("whole", "doc", "place", "before", "after").distinct()
-    wanted = left.groupBy(F.col("doc").alias("d")).agg(F.collect_list(F.struct("whole", "place", "before", "after")).alias("wanted"))
+        found = first.join(several, F.col(side) == F.col("key"), "left_semi")
+        marks = [F.lit(True).alias(f"by_{side}"), F.lit(False).alias(f"by_{other}")]
+        active.append(found.select("whole", "doc", "place", "before", "after", *marks))
+    both = active[0].unionByName(active[1]).groupBy("whole", "doc", "place", "before", "after")
+    both = both.agg(F.max("by_left").alias("by_left"), F.max("by_right").alias("by_right"))
+    stretch = F.struct("whole", "place", "before", "after", "by_left", "by_right")
+    wanted = both.groupBy(F.col("doc").alias("d")).agg(F.collect_list(stretch).alias("wanted"))
     single = written(strings(texts.join(wanted, F.col("doc") == F.col("d")), length), "suffix-strings")
     release(spark)
     earliest = single.groupBy(F.col("string").alias("s")).agg(F.min("doc").alias("least"), F.max("doc").alias("z")).where("least < z")
+    earliest = written(earliest.select("s", "least"), "suffix-earliest")
+    release(spark)
     part = single.join(earliest, F.col("string") == F.col("s")).where("doc > least")
     part = part.groupBy("whole").agg(F.array_sort(F.collect_set("offset")).alias("offsets"))
     known = first.select("whole", F.col("doc").alias("of_doc"), "again").join(part.withColumnRenamed("whole", "w"), F.col("whole") == F.col("w"), "left")
