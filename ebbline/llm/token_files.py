@@ -29,6 +29,14 @@ FILE_SCHEMA = (
 _encoders: dict = {}
 
 
+def byte_marks() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: visible Latin-1 characters stand for
+    themselves, all others for the characters from 256 on in ascending order."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class IdEncoder:
     """Texts to little-endian unsigned 32-bit ids by the tokenizers library, each distinct piece once."""
 
@@ -39,7 +47,13 @@ class IdEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.pieces = PieceCache(lambda pieces: [self.library(p) for p in pieces], CACHE_SIZE)
+        model, marks = self.tokenizer.model, byte_marks()
+
+        def piece_ids(piece: str) -> bytes:
+            found = model.tokenize(piece.encode().decode("latin-1").translate(marks))
+            return np.array([token.id for token in found], "<u4").tobytes()
+
+        self.pieces = PieceCache(lambda pieces: map(piece_ids, pieces), CACHE_SIZE)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -257,7 +271,8 @@ def read_document(files: DataFrame, key, start: int = 0, stop: int | None = None
     Only blocks whose id range holds the key are read, and only the symbols that cover the wanted ids expanded.
     """
     found = []
-    rows = files.where((F.col("first_id") <= F.lit(key)) & (F.col("last_id") >= F.lit(key)))
+    low = F.col("first_id").isNull() | (F.col("first_id") <= F.lit(key))  # null ids come first
+    rows = files.where(low & (F.col("last_id") >= F.lit(key)))
     for row in rows.orderBy("shard", "block").toLocalIterator():
         symbols = np.frombuffer(row.symbols, "<u4" if row.wide else "<u2")
         rules = np.frombuffer(row.rules, "<u4").reshape(-1, 2)
