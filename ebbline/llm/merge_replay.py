@@ -15,7 +15,7 @@ from ebbline.llm.common import ship
 from ebbline.llm.pieces import PieceCache, split_byte_level
 
 #: Characters of text whose new words are replayed together, words a worker keeps.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 CACHE_SIZE = 400_000
 
 _codecs: dict = {}
@@ -50,7 +50,11 @@ class MergeReplay:
         return {int(k): p.tolist() for k, p in zip(kinds, np.split(places, starts[1:]), strict=True)} if len(kinds) else {}
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of each word; words must not be empty."""
+        """Token ids of each word; words must not be empty. Words that are tokens themselves need no merge."""
+        whole = list(map(self.ranks.get, words))
+        if any(w is not None for w in whole):
+            rest = iter(self.encode([word for word, w in zip(words, whole, strict=True) if w is None]))
+            return [next(rest) if w is None else [w] for w in whole]
         data = b"".join(words)
         n = len(data)
         if not n:
@@ -65,34 +69,36 @@ class MergeReplay:
         ranks, size, rank_of = list(waiting), self.size, self.ranks.get
         heapq.heapify(ranks)
 
-        def wait(rank: int, place: int) -> None:
-            if rank in waiting:
-                waiting[rank].append(place)
-            else:
-                waiting[rank] = [place]
-                heapq.heappush(ranks, rank)
-
         while ranks:
             rank = heapq.heappop(ranks)
-            places, length = sorted(waiting.pop(rank)), size[rank]
+            places, length = waiting.pop(rank), size[rank]
+            places.sort()
             for k, at in enumerate(places):
                 middle = end[at]
-                if not middle or first[middle] or end[middle] - at != length:
-                    continue
                 stop = at + length
+                if not middle or first[middle] or end[middle] != stop:
+                    continue
                 end[at], end[middle] = stop, 0
                 lower = False
                 if not first[stop]:
                     before[stop] = at
                     found = rank_of(data[at : end[stop]])
                     if found is not None:
-                        wait(found, at)
+                        if found in waiting:
+                            waiting[found].append(at)
+                        else:
+                            waiting[found] = [at]
+                            heapq.heappush(ranks, found)
                         lower = found < rank
                 if not first[at]:
                     left = before[at]
                     found = rank_of(data[left:stop])
                     if found is not None:
-                        wait(found, left)
+                        if found in waiting:
+                            waiting[found].append(left)
+                        else:
+                            waiting[found] = [left]
+                            heapq.heappush(ranks, found)
                         lower = lower or found < rank
                 if lower and k + 1 < len(places):
                     waiting[rank] = places[k + 1 :]
@@ -100,14 +106,11 @@ class MergeReplay:
                     break
         out = []
         for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            whole = rank_of(data[start:stop])
-            if whole is not None:
-                out.append([whole])
-                continue
             ids, at = [], start
             while at < stop:
-                ids.append(self.ranks[data[at : end[at]]])
-                at = end[at]
+                after = end[at]
+                ids.append(rank_of(data[at:after]))
+                at = after
             out.append(ids)
         return out
 
