@@ -84,12 +84,14 @@ def fit(documents: DataFrame, labels: DataFrame, seed: Column, sample_rows: int
     ship(spark)
     rows = written(labelled_rows(documents, labels, seed, sample_rows), "toxicity-sample")
 
+    names = ["f", "label", "weight"]
+
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels_of = batch.column(1).to_pylist()
-            found = [np.unique(ngrams(text or "")).astype(np.int32) for text in batch.column(0).to_pylist()]
-            arrays = pa.array(found, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([arrays, pa.array(labels_of), batch.column(2)], ["f", "label", "weight"])
+            for k in range(0, batch.num_rows, 200):
+                part = batch.slice(k, 200)
+                found = [np.unique(ngrams(text or "")).astype(np.int32) for text in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), *part.columns[1:]], names)
 
     present = rows.select("text", "label", "weight").mapInArrow(presence, "f array<int>, label double, weight double")
     counted = present.select(F.explode("f").alias("f"), "label").groupBy("f")
@@ -121,7 +123,7 @@ def fit(documents: DataFrame, labels: DataFrame, seed: Column, sample_rows: int
         at = np.sort(at[at >= 0])
         return Vectors.sparse(len(ratio), at, ratio[at])
 
-    data = present.select(F.udf(vector, VectorUDT())("f").alias("features"), "label", (F.col("weight")).alias("weight"))
+    data = present.select(F.udf(vector, VectorUDT())("f").alias("features"), "label", "weight")
     data = written(data.withColumn("weight", F.col("weight") * n / shape.w), "toxicity-vectors")
     fitted = LogisticRegression(weightCol="weight", regParam=1e-4, standardization=False, maxIter=100).fit(data)
     weights[kept] = fitted.coefficients.toArray() * ratio[kept]
