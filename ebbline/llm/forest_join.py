@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,10 +38,8 @@ def shingle_sets(documents: DataFrame, id_column: str, text_column: str, trees:
             texts = [text or "" for text in batch.column(1).to_pylist()]
             for part in batches_of(texts):
                 sets = [shingles(words) for words in word_hashes(texts[part])]
-                prefixes = [
-                    min_hashes(s, trees * length).reshape(trees, length).astype("<u4").tobytes() if len(s) else None
-                    for s in sets
-                ]
+                signed = iter(min_hashes([s for s in sets if len(s)], trees * length))
+                prefixes = [next(signed).astype("<u4").tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.start, part.stop - part.start),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +48,7 @@ def paragraph_sets(documents: DataFrame, id_column: str, text_column: str, least
                 words = word_hashes(lines)
                 kept = [k for k, w in enumerate(words) if len(w) >= least_words]
                 sets = [shingles(words[k]) for k in kept]
-                signed = np.array([min_hashes(s, bands * rows) for s in sets], np.uint32).reshape(len(sets), bands, rows)
+                signed = min_hashes(sets, bands * rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([owners[k] for k in kept], pa.int64())),

@@ -6,13 +6,12 @@ import math
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import ship, written
 from ebbline.llm.components import components
-from ebbline.llm.verify import GROUP, LINKS, NO_LINKS, comparable, links_frame, paired_blocks
+from ebbline.llm.verify import Links, compared, links_of, paired_blocks
 
 THRESHOLD = 0.93
 PROJECTIONS = 64
@@ -54,9 +53,11 @@ def collisions(queries: np.ndarray, targets: np.ndarray, width: float) -> np.nda
     return counts
 
 
-def block_cosines(blocks: pd.DataFrame, threshold: float, projections: int, least: int) -> pd.DataFrame:
-    vectors = np.stack(blocks.vector.to_list()).astype(np.float64)
-    side, node, weight = (blocks[c].to_numpy() for c in ("side", "node", "weight"))
+def block_cosines(
+    side: np.ndarray, node: np.ndarray, weight: np.ndarray, values: list, threshold: float, projections: int, least: int
+) -> Links:
+    """Links of cosine ``threshold`` or more in a pair of blocks, among pairs with ``least`` collisions."""
+    vectors = np.array(values, np.float64)
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     projected = (vectors / norms[:, None]) @ directions(vectors.shape[1], projections)
     rows = np.flatnonzero(side == 0)
@@ -68,7 +69,7 @@ def block_cosines(blocks: pd.DataFrame, threshold: float, projections: int, leas
         a, b = rows[at_row[k : k + 65_536]], columns[at_column[k : k + 65_536]]
         cosine = (vectors[a] * vectors[b]).sum(axis=1) / (norms[a] * norms[b])
         linked[at_row[k : k + 65_536], at_column[k : k + 65_536]] = (cosine >= threshold) & (a != b)
-    return links_frame(linked, rows, columns, node, weight)
+    return links_of(linked, rows, columns, node, weight)
 
 
 def near_vectors(
@@ -110,12 +111,10 @@ def near_vectors(
     cell = F.floor(along / norm / (math.sqrt(2 - 2 * threshold) * (1 + 1e-9))).cast("int")
     nodes = nodes.withColumn("size", cell).withColumn("component", F.xxhash64("label", F.size("vector")))
     nodes = written(nodes, "vector-nodes")
-    placed = paired_blocks(nodes, F.lit(1), BLOCK_VECTORS).select(*GROUP, "side", "node", "weight", "vector")
+    def compare(side, node, weight, values):
+        return block_cosines(side, node, weight, values, threshold, projections, least)
 
-    def run(blocks: pd.DataFrame) -> pd.DataFrame:
-        return block_cosines(blocks, threshold, projections, least) if comparable(blocks) else NO_LINKS
-
-    found = written(placed.groupBy(*GROUP).applyInPandas(run, LINKS), "links")
+    found = written(compared(paired_blocks(nodes, F.lit(1), BLOCK_VECTORS), "vector", compare), "links")
     counts = found.where("not link").groupBy(F.col("node").alias("n")).agg(F.sum("n").alias("links"))
     parts = components(found.where("link").select(F.col("node").alias("a"), F.col("other").alias("b")))
     named = nodes.select("label", "hash", "vector", "node", "weight")

@@ -62,17 +62,24 @@ def set_hash(shingle_set: np.ndarray) -> int:
     return int(mixed(np.array([total % (1 << 64)], np.uint64))[0].view(np.int64))
 
 
-def min_hashes(shingle_set: np.ndarray, n: int, seed: int = 1) -> np.ndarray:
-    """``n`` 32-bit min-hashes of a set that is not empty."""
+def min_hashes(sets: Sequence[np.ndarray], n: int, seed: int = 1) -> np.ndarray:
+    """``n`` 32-bit min-hashes of each set, as rows; sets must not be empty."""
     draw = np.random.default_rng(seed)
     factor = draw.integers(0, 1 << 32, n, np.uint32) | np.uint32(1)
     offset = draw.integers(0, 1 << 32, n, np.uint32)
-    low = np.full(n, 0xFFFFFFFF, np.uint32)
-    keys = (shingle_set >> np.uint64(32)).astype(np.uint32) ^ shingle_set.astype(np.uint32)
-    for k in range(0, len(keys), 256):
-        values = keys[k : k + 256, None] * factor + offset
+    out = np.full((len(sets), n), 0xFFFFFFFF, np.uint32)
+    if not len(sets):
+        return out
+    flat = np.concatenate(sets)
+    keys = (flat >> np.uint64(32)).astype(np.uint32) ^ flat.astype(np.uint32)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    for k in range(0, len(keys), 512):
+        values = keys[k : k + 512, None] * factor + offset
         values ^= values >> np.uint32(15)
         values *= np.uint32(0x2C1B3C6D)
         values ^= values >> np.uint32(13)
-        np.minimum(low, values.min(axis=0), out=low)
-    return low
+        own = owner[k : k + 512]
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
+        found = np.minimum.reduceat(values, starts, axis=0)
+        out[own[starts]] = np.minimum(out[own[starts]], found)
+    return out

@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import ship, written
 from ebbline.llm.components import components
 
-#: Shingles that one side of a compared pair of blocks holds, about.
+#: Shingles that one side of a compared pair of blocks holds, about, and how many a row counts for besides its own:
+#: blocks of short sets are bounded by their rows, whose pairs are one matrix.
 BLOCK_SHINGLES = 500_000
+ROW_SHINGLES = 400
 #: A pair of blocks, and what its comparison gives.
 GROUP = ("component", "s1", "b1", "s2", "b2")
 LINKS = "node long, n long, other long, link boolean"
-NO_LINKS = pd.DataFrame({"node": [], "n": [], "other": [], "link": []})
 
 
 def candidate_components(keys: DataFrame) -> DataFrame:
@@ -33,47 +34,52 @@ def candidate_components(keys: DataFrame) -> DataFrame:
     return components(links)
 
 
-def links_frame(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray, node: np.ndarray, weight: np.ndarray) -> pd.DataFrame:
-    """The result of one group: per linked node the weight of its partners, and links that keep the linked connected.
+Links = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def links_of(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray, node: np.ndarray, weight: np.ndarray) -> Links:
+    """``(node, n, other, link)`` of one group: per linked node the weight of its partners (``link`` false), and links
+    that keep the linked connected.
 
     ``linked`` holds rows against columns, both indices into ``node``; equal ``rows`` and ``columns`` mean one block.
     """
+    if not linked.any():
+        none = np.zeros(0, np.int64)
+        return none, none, none, none.astype(bool)
     inside = rows is columns
     partners = linked @ weight[columns]
-    counts = pd.DataFrame(
-        {
-            "node": node[rows] if inside else np.concatenate([node[rows], node[columns]]),
-            "n": partners if inside else np.concatenate([partners, linked.T @ weight[rows]]),
-        }
-    )
-    counts = counts[counts.n > 0].assign(other=np.int64(0), link=False)
+    counted = node[rows] if inside else np.concatenate([node[rows], node[columns]])
+    n = partners if inside else np.concatenate([partners, linked.T @ weight[rows]])
+    counted, n = counted[n > 0], n[n > 0]
     # Each round hangs every row under its smallest linked label; rows and columns share labels until none changes.
-    label_r, label_c = rows.copy(), columns.copy()
-    while linked.any():
-        new_c = np.minimum(label_c, np.where(linked, label_r[:, None], len(node)).min(axis=0))
+    label_r, label_c, most = rows.astype(np.int32), columns.astype(np.int32), np.int32(len(node))
+    while True:
+        new_c = np.minimum(label_c, np.where(linked, label_r[:, None], most).min(axis=0))
         if inside:
             label_r = np.minimum(label_r, new_c)
-        new_r = np.minimum(label_r, np.where(linked, new_c[None, :], len(node)).min(axis=1))
+        new_r = np.minimum(label_r, np.where(linked, new_c[None, :], most).min(axis=1))
         if inside:
             new_c = new_r
         if (new_r == label_r).all() and (new_c == label_c).all():
             break
         label_r, label_c = new_r, new_c
-    labels, members = np.concatenate([label_r, label_c]), np.concatenate([rows, columns])
+    labels, members = (label_r, rows) if inside else (np.concatenate([label_r, label_c]), np.concatenate([rows, columns]))
     hung = labels != members
-    forest = pd.DataFrame({"node": node[members[hung]], "n": np.int64(0), "other": node[labels[hung]], "link": True})
-    return pd.concat([counts, forest.drop_duplicates()], ignore_index=True)
-
+    ends, roots = node[members[hung]], node[labels[hung]]
+    zero = np.zeros(len(ends), np.int64)
+    return (
+        np.concatenate([counted, ends]),
+        np.concatenate([n, zero]),
+        np.concatenate([np.zeros(len(counted), np.int64), roots]),
+        np.repeat([False, True], [len(counted), len(ends)]),
+    )
 
-def block_links(blocks: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links of similarity ``threshold`` or more between the two sides of a pair of blocks, or inside one block.
 
-    Sides hold sets of sorted shingles. The result has per linked node the weight of its partners, and enough of
-    the links to keep the linked nodes connected.
-    """
-    sets = [np.frombuffer(x, np.uint64) for x in blocks.shingles]
+def block_links(side: np.ndarray, node: np.ndarray, weight: np.ndarray, shingles: list[bytes], threshold: float) -> Links:
+    """Links of similarity ``threshold`` or more between the two sides of a pair of blocks, or inside one block, as
+    ``links_of`` gives them; ``shingles`` holds a sorted set for each node."""
+    sets = [np.frombuffer(x, np.uint64) for x in shingles]
     sizes = np.array([len(s) for s in sets], np.int64)
-    side, weight, node = (blocks[c].to_numpy() for c in ("side", "weight", "node"))
     owner = np.repeat(np.arange(len(sets)), sizes)
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     order = np.argsort(flat, kind="stable")
@@ -105,13 +111,50 @@ def block_links(blocks: pd.DataFrame, threshold: float) -> pd.DataFrame:
     linked = common >= np.ceil(threshold * union - 1e-6)
     if inside:
         np.fill_diagonal(linked, False)
-    return links_frame(linked, rows, columns, node, weight)
+    return links_of(linked, rows, columns, node, weight)
+
 
+def compared(placed: DataFrame, payload: str, compare: Callable[..., Links]) -> DataFrame:
+    """``LINKS`` rows of ``compare(side, node, weight, payload)`` for each ``GROUP`` of ``placed``.
 
-def comparable(blocks: pd.DataFrame) -> bool:
-    """Whether both blocks of a group have rows."""
-    one = (blocks.s1.iat[0], blocks.b1.iat[0]) == (blocks.s2.iat[0], blocks.b2.iat[0])
-    return len(blocks) > 1 and (one or blocks.side.nunique() > 1)
+    Groups lie side by side in their partitions and are read one behind the other, so a task holds one group at a
+    time and many small groups cost little more than their rows. A group of bounded blocks is never split.
+    """
+    names = ["node", "n", "other", "link"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result(found: list[Links]) -> pa.RecordBatch:
+            columns = (np.concatenate(c) for c in zip(*found, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+        def links(parts: list[tuple], one: bool) -> Links | None:
+            side, node, weight = (np.concatenate([p[k] for p in parts]) for k in range(3))
+            if len(side) < 2 or not one and side.min() == side.max():
+                return None
+            return compare(side, node, weight, [x for p in parts for x in p[3]])
+
+        held, key = [], None
+        for batch in batches:
+            keys = np.stack([c.to_numpy() for c in batch.columns[: len(GROUP)]], axis=1)
+            side, node, weight = (c.to_numpy(zero_copy_only=False) for c in batch.columns[len(GROUP) : len(GROUP) + 3])
+            values = batch.column(len(GROUP) + 3).to_pylist()
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            found = []
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
+                own = tuple(keys[low].tolist())
+                if own != key and held:
+                    found.append(links(held, key[1:3] == key[3:5]))
+                    held = []
+                key = own
+                held.append((side[low:high].astype(np.int64), node[low:high], weight[low:high], values[low:high]))
+            found = [x for x in found if x is not None]
+            if found:
+                yield result(found)
+        if held and (last := links(held, key[1:3] == key[3:5])) is not None:
+            yield result([last])
+
+    rows = placed.select(*GROUP, "side", "node", "weight", payload)
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(run, LINKS)
 
 
 def paired_blocks(members: DataFrame, amount: Column, per_block: int) -> DataFrame:
@@ -160,12 +203,8 @@ def verified_links(members: DataFrame, threshold: float) -> tuple[DataFrame, Dat
     members = written(
         members.withColumn("size", F.floor(F.log("n_shingles") / -math.log(threshold)).cast("int")), "candidates"
     )
-    placed = paired_blocks(members, F.col("n_shingles"), BLOCK_SHINGLES).select(*GROUP, "side", "node", "weight", "shingles")
-
-    def run(blocks: pd.DataFrame) -> pd.DataFrame:
-        return block_links(blocks, threshold) if comparable(blocks) else NO_LINKS
-
-    found = placed.groupBy(*GROUP).applyInPandas(run, LINKS)
+    placed = paired_blocks(members, F.col("n_shingles") + ROW_SHINGLES, BLOCK_SHINGLES)
+    found = compared(placed, "shingles", lambda side, node, weight, sets: block_links(side, node, weight, sets, threshold))
     found = written(found, "links")
     counts = found.where("not link").groupBy("node").agg(F.sum("n").alias("n_links"))
     return counts, found.where("link").select(F.col("node").alias("a"), F.col("other").alias("b"))
