@@ -87,7 +87,12 @@ def test_blocks_give_counts_and_connect(copies):
     plain = jaccard_links({i: frozenset(s.tolist()) for i, s in sets.items()})
     keys = sorted(sets)
     frame = pd.DataFrame({"node": keys, "weight": 1, "side": 0, "shingles": [sets[k].tobytes() for k in keys]})
-    whole = block_links(frame, 0.8)
+
+    def links(rows):
+        found = block_links(*(rows[c].to_numpy() for c in ("side", "node", "weight")), rows.shingles.to_list(), 0.8)
+        return pd.DataFrame(dict(zip(("node", "n", "other", "link"), found, strict=True)))
+
+    whole = links(frame)
     assert {r.node: r.n for r in whole[~whole.link].itertuples()} == {k: len(v) for k, v in plain.items() if v}
     found = {k: set() for k in keys}
     for r in whole[whole.link].itertuples():
@@ -97,7 +102,7 @@ def test_blocks_give_counts_and_connect(copies):
     assert reach(found, keys) == reach(plain, keys)
     half = len(keys) // 2
     parts = [frame[:half], frame[half:].assign(side=0), pd.concat([frame[:half], frame[half:].assign(side=1)])]
-    split = pd.concat([block_links(p, 0.8) for p in parts])
+    split = pd.concat([links(p) for p in parts])
     assert split[~split.link].groupby("node").n.sum().to_dict() == {k: len(v) for k, v in plain.items() if v}
 
 
