@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ebbline.sources import materialize
 
 BROADCAST_ROWS = 200_000
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
@@ -21,8 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, whatever folder the driver was started from."""
+    """Make this package importable in Python workers, whatever folder the driver was started from, and hand them at
+    most ``BATCH_ROWS`` rows at once: a row is a whole text, and workers stay alive with what they have allocated."""
     context = spark.sparkContext
+    if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[1]

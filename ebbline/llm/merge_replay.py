@@ -16,7 +16,7 @@ from ebbline.llm.pieces import PieceCache, split_byte_level
 
 #: Characters of text whose new words are replayed together, words a worker keeps.
 BATCH_CHARS = 2_000_000
-CACHE_SIZE = 400_000
+CACHE_SIZE = 200_000
 
 _codecs: dict = {}
 

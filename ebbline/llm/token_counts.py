@@ -16,7 +16,7 @@ from ebbline.llm.pieces import PieceCache, plain, split_plain_words
 #: Rows read to fill the first tier, entries kept there, entries a worker's own cache may hold.
 SAMPLE_ROWS = 1_000
 TABLE_SIZE = 32_768
-CACHE_SIZE = 400_000
+CACHE_SIZE = 200_000
 
 _counters: dict = {}
 
