@@ -15,7 +15,7 @@ from ebbline.llm.common import ship
 from ebbline.llm.pieces import PieceCache, split_byte_level
 
 #: Characters of text whose new words are replayed together, words a worker keeps.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 CACHE_SIZE = 200_000
 
 _codecs: dict = {}
