@@ -64,23 +64,46 @@ def document_windows(documents: DataFrame, sizes: list[int]) -> DataFrame:
     return rows.select("doc", "b", F.explode(windows).alias("w")).where("b + 1 >= w.size").select("doc", "b", "w.size", "w.fp")
 
 
+def unbroken(n: Column) -> Column:
+    """Words in a row that any window of similarity 0.8 shares with an item of ``n`` words whose shingles no other item
+    holds. A changed place inside the item costs at least four of its shingles and adds five, so there are at most a
+    fortieth as many as shingles; what 0.8 leaves besides may be cut off the ends."""
+    m = n - (WIDTH - 1)
+    k = F.floor(m / 40)
+    ends = F.floor((m - 40 * k) / 5)
+    return F.ceil((m - 4 * k - ends) / (k + 1)) + (WIDTH - 1)
+
+
+def largest(words: Column) -> Column:
+    """The largest window size that fits into ``words`` words at any alignment."""
+    return F.array_max(F.filter(F.array(*map(F.lit, SIZES)), lambda s: s * STRIDE + STRIDE - 1 <= words))
+
+
 def item_windows(items: DataFrame) -> DataFrame:
-    """``(item, offset, size, fp)``: fingerprints of each item's words from each alignment of a stride. Items longer
-    than the largest window have one at each multiple of its size."""
+    """``(item, offset, size, near, same, fp)``: fingerprints of each item's windows.
+
+    ``near``: windows of the largest size that fits, from each alignment of a stride, at each multiple of that size
+    and at the item's end, so that every word is in one. ``same``: windows short enough to lie in what any match
+    leaves ``unbroken``, from every word, for documents that hold them word by word."""
     rows = items.withColumn("n", F.size("words")).where(F.col("n") >= LEAST_WORDS)
-    fits = F.floor((F.col("n") - STRIDE + 1) / STRIDE)
-    size = F.array_max(F.filter(F.array(*map(F.lit, SIZES)), lambda s: s <= fits))
-    rows = rows.withColumn("size", size)
-    step = F.col("size") * STRIDE
-    last = F.col("n") - step - (STRIDE - 1)
-    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), last, step)))
-    rows = rows.withColumn("offset", F.explode(F.sequence(F.col("part"), F.col("part") + STRIDE - 1)))
-    places = F.sequence(F.col("offset"), F.col("offset") + step - 1)
-    rows = rows.select("item", "offset", "size", F.explode(F.transform(places, lambda k: F.get("words", k))).alias("word"))
-    sums = [F.sum(lane).alias(f"l{k}") for k, lane in enumerate(lane_sums([F.col("word")]))]
-    rows = rows.groupBy("item", "offset", "size").agg(*sums)
-    fp = F.coalesce(*(F.when(F.col("size") == n, fingerprint([F.col(f"l{k}") for k in range(8)], n * STRIDE)) for n in SIZES))
-    return rows.select("item", "offset", "size", fp.alias("fp"))
+    rows = rows.withColumns({"fit": largest(F.col("n")), "piece": largest(unbroken(F.col("n")))})
+    rows = rows.select("item", "n", "fit", "piece", F.posexplode("words").alias("offset", "word"))
+    sums = [lane.alias(f"l{k}") for k, lane in enumerate(lane_sums([F.col("word")]))]
+    rows = rows.select("item", "n", "fit", "piece", "offset", *sums)
+    each = []
+    for size in SIZES:
+        frame = Window.partitionBy("item").orderBy("offset").rowsBetween(0, size * STRIDE - 1)
+        each.append(fingerprint([F.sum(f"l{k}").over(frame) for k in range(8)], size * STRIDE).alias(f"f{size}"))
+    rows = rows.select("item", "n", "fit", "piece", "offset", *each)
+    windows = F.array(*(F.struct(F.lit(size).alias("size"), F.col(f"f{size}").alias("fp")) for size in SIZES))
+    rows = rows.select("item", "n", "fit", "piece", "offset", F.explode(windows).alias("w"))
+    rows = rows.select("item", "n", "fit", "piece", "offset", "w.*")
+    last = F.col("n") - F.col("fit") * STRIDE - (STRIDE - 1)
+    beside = F.pmod(F.col("offset"), F.col("fit") * STRIDE)
+    placed = (F.col("offset") >= last) | (beside < STRIDE)
+    rows = rows.withColumn("near", (F.col("size") == F.col("fit")) & placed).withColumn("same", F.col("size") == F.col("piece"))
+    rows = rows.where((F.col("near") | F.col("same")) & (F.col("offset") + F.col("size") * STRIDE <= F.col("n")))
+    return rows.select("item", "offset", "size", "near", "same", "fp")
 
 
 def block_keys(size: Column, fp: Column, flips: bool) -> Column:
@@ -94,18 +117,32 @@ def block_keys(size: Column, fp: Column, flips: bool) -> Column:
     return F.array(*keys)
 
 
+def whole_key(size: Column, fp: Column) -> Column:
+    """The key of a fingerprint that is to be met bit by bit."""
+    return F.array(F.xxhash64(size, fp))
+
+
 def candidates(documents: DataFrame, items: DataFrame) -> DataFrame | None:
-    """``(doc, item, start)``: where an item would start so that its window's fingerprint is within the radius.
-    None if no item is long enough."""
+    """``(doc, item, start)``: where an item would start so that its window's fingerprint is within the radius, or is
+    the same for windows that are looked for word by word. None if no item is long enough."""
     index = written(item_windows(items), "item-windows")
-    sizes = sorted(row["size"] for row in index.select("size").distinct().collect())
+    used = index.groupBy("size").agg(F.max("near").alias("near"), F.max("same").alias("same")).collect()
+    sizes = sorted(row["size"] for row in used)
     if not sizes:
         return None
+    none = F.array().cast("array<long>")
+
+    def keys(near: Column, same: Column, size: Column, fp: Column, flips: bool) -> Column:
+        return F.concat(F.when(near, block_keys(size, fp, flips)).otherwise(none), F.when(same, whole_key(size, fp)).otherwise(none))
+
     index = index.withColumnRenamed("fp", "item_fp").withColumnRenamed("size", "item_size")
-    index = index.withColumn("item_key", F.explode(block_keys(F.col("item_size"), F.col("item_fp"), True)))
+    wanted = keys(F.col("near"), F.col("same"), F.col("item_size"), F.col("item_fp"), True)
+    index = index.select("item", "offset", "item_fp", F.explode(wanted).alias("item_key"))
     index = small(written(index, "item-index"))
     windows = document_windows(documents, sizes)
-    probes = windows.withColumn("key", F.explode(block_keys(F.col("size"), F.col("fp"), False)))
+    of = F.col("size")
+    near, same = (of.isin([row["size"] for row in used if row[kind]]) for kind in ("near", "same"))
+    probes = windows.withColumn("key", F.explode(keys(near, same, of, F.col("fp"), False)))
     near = (F.col("key") == F.col("item_key")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
     start = (F.col("b") + 1 - F.col("size")) * STRIDE - F.col("offset")
     return probes.join(index, near).select("doc", "item", start.alias("start")).distinct()
