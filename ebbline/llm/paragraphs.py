@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
+import math
+import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import lines_of, ship, small, without_lines, written
+from ebbline.llm.common import lines_of, ship, small, written
 from ebbline.llm.components import components
 from ebbline.llm.forest_join import sets_of
 from ebbline.llm.shingles import min_hashes, set_hash, shingles, word_hashes
 from ebbline.llm.verify import batches_of, candidate_components, verified_links
 
 THRESHOLD = 0.8
-#: Shorter paragraphs are left alone: common turns of phrase, headings, list items.
-LEAST_WORDS = 20
+#: Lines with fewer words are left alone: blank ones and those of signs only.
+LEAST_WORDS = 1
 RECALL = 0.999
 ROWS = 4
+#: Inside a line a paragraph begins at each sentence of at least so many UTF-8 bytes; shorter ones stay with the one
+#: before. Where it begins depends on its own words only, so a passage is cut alike wherever it stands.
+SENTENCE_BYTES = 60
+_END = re.compile(r"""[.!?…]+["'”’»)\]]*\s+|[。！？]+["”’」』）]*\s*""")
+#: What a row of ``paragraph_sets`` is: a line of several paragraphs, a line that is one, or one inside a line.
+LONG, LINE, PIECE = range(3)
 
 
 def bands_for(threshold: float, recall: float, rows: int = ROWS) -> int:
@@ -29,109 +38,187 @@ def bands_for(threshold: float, recall: float, rows: int = ROWS) -> int:
     return bands
 
 
-def paragraph_sets(documents: DataFrame, id_column: str, text_column: str, least_words: int, bands: int, rows: int) -> DataFrame:
-    """``(doc, at, node, bands)``: for each long enough line its place, the hash of its shingle set and
-    one hash per band."""
+def pieces_of(line: str) -> list[int]:
+    """Where the sentence-bounded paragraphs of a line begin; they follow one another without a gap."""
+    ends = [m.end() for m in _END.finditer(line)]
+    starts = [0]
+    for start, stop in zip(ends, [*ends, len(line)][1:], strict=True):
+        if start < stop and len(line[start:stop].encode()) >= SENTENCE_BYTES:
+            starts.append(start)
+    return starts
+
+
+def paragraph_sets(documents: DataFrame, id_column: str, text_column: str, least_words: int, bands: int, rows: int, threshold: float) -> DataFrame:
+    """``(doc, at, start, length, kind, line_length, line_crc, node, bands)``: for each long enough line, and each
+    paragraph inside one, its place, the hash of its shingle set and one hash per band. Sets that are too small to
+    reach the threshold with any other have no bands."""
     ship(documents.sparkSession)
-    names = ["doc", "at", "node", "bands"]
+    names = ["doc", "at", "start", "length", "kind", "line_length", "line_crc", "node", "bands"]
+    least_set = math.ceil(threshold / (1 - threshold) - 1e-9) if threshold < 1 else math.inf
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [text or "" for text in batch.column(1).to_pylist()]
             for part in batches_of(texts):
-                lines, owners, places = [], [], []
+                units, owners, places = [], [], []
                 for k in range(part.start, part.stop):
-                    found = texts[k].split("\n")
-                    lines += found
-                    owners += [k] * len(found)
-                    places += range(len(found))
-                words = word_hashes(lines)
+                    for at, line in enumerate(texts[k].split("\n")):
+                        starts = pieces_of(line)
+                        of_line = (len(line), zlib.crc32(line.encode()))
+                        spans = [(0, len(line), LONG if len(starts) > 1 else LINE)]
+                        if len(starts) > 1:
+                            spans += [(x, y - x, PIECE) for x, y in zip(starts, [*starts[1:], len(line)], strict=True)]
+                        units += [line[x : x + n] for x, n, _ in spans]
+                        owners += [k] * len(spans)
+                        places += [(at, *span, *of_line) for span in spans]
+                words = word_hashes(units)
                 kept = [k for k, w in enumerate(words) if len(w) >= least_words]
                 sets = [shingles(words[k]) for k in kept]
-                signed = min_hashes(sets, bands * rows)
+                signed = iter(min_hashes([s for s in sets if len(s) >= least_set], bands * rows))
+                numbers = zip(*(places[k] for k in kept), strict=True) if kept else [[]] * 6
+                kinds = [pa.int32()] * 5 + [pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([owners[k] for k in kept], pa.int64())),
-                        pa.array([places[k] for k in kept], pa.int32()),
+                        *(pa.array(x, kind) for x, kind in zip(numbers, kinds, strict=True)),
                         pa.array([set_hash(s) for s in sets], pa.int64()),
-                        pa.array([s.tobytes() for s in signed], pa.binary()),
+                        pa.array([next(signed).tobytes() if len(s) >= least_set else None for s in sets], pa.binary()),
                     ],
                     names,
                 )
 
     kind = documents.schema[id_column].dataType.simpleString()
     rows_of = documents.select(documents[id_column], documents[text_column]).where(documents[id_column].isNotNull())
-    return rows_of.mapInArrow(run, f"doc {kind}, at int, node long, bands binary")
-
+    return rows_of.mapInArrow(
+        run, f"doc {kind}, at int, start int, length int, kind int, line_length int, line_crc long, node long, bands binary"
+    )
 
-def repeated_paragraphs(
-    documents: DataFrame,
-    threshold: float = THRESHOLD,
-    least_words: int = LEAST_WORDS,
-    recall: float = RECALL,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """``(line_id, at, class_id, class_at)`` for every paragraph of a cluster but the first: its document and
-    0-based line, and those of the first, by document id and line.
 
-    Paragraphs are lines of at least ``least_words`` words. Those with one set of five-word shingles are copies and
-    go on as one node; nodes that collide in a band of min-hashes are candidates, all pairs of a candidate component
-    are verified by exact Jaccard similarity in blocks, and verified links are joined to clusters. Documents with a
-    null id, null and empty texts have no paragraphs here; rows that repeat an id are taken as one document.
-    """
-    bands = bands_for(threshold, recall)
-    found = paragraph_sets(documents, id_column, text_column, least_words, bands, ROWS)
-    found = written(found, "paragraphs")
+def later_copies(found: DataFrame, documents: DataFrame, threshold: float, bands: int, id_column: str, text_column: str) -> DataFrame:
+    """Rows of ``found``, a written table, for every paragraph of a cluster but the first, with ``least``: the
+    document, line and start of the first."""
     nodes = found.groupBy("node").agg(
-        F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("copies"), F.max("bands").alias("bands")
+        F.min(F.struct("doc", "at", "start", "length")).alias("first"), F.count("*").alias("copies"), F.max("bands").alias("bands")
     )
     nodes = written(nodes, "paragraph-nodes")
     width = F.lit(4 * ROWS)
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.substring("bands", b * 4 * ROWS + 1, width)))
-    candidates = written(candidate_components(nodes.select("node", F.explode(keys).alias("key"))), "components")
+    banded = nodes.where("bands is not null").select("node", F.explode(keys).alias("key"))
+    candidates = written(candidate_components(banded), "components")
     members = nodes.join(small(candidates.withColumnRenamed("node", "n")), F.col("node") == F.col("n"))
-    members = members.select(F.col("first.doc").alias("of_id"), F.struct(F.col("first.at").alias("at"), "node", "component").alias("m"))
+    place = [F.col(f"first.{name}").alias(name) for name in ("at", "start", "length")]
+    members = members.select(F.col("first.doc").alias("of_id"), F.struct(*place, "node", "component").alias("m"))
     members = small(written(members, "members"))
     texts = documents.select(documents[id_column].alias("id"), documents[text_column].alias("text"))
     texts = texts.join(members, F.col("id") == F.col("of_id"))
-    texts = texts.select("m.node", "m.component", F.lit(1).cast("long").alias("weight"), F.get(lines_of("text"), F.col("m.at")).alias("text"))
+    text = F.substr(F.get(lines_of("text"), F.col("m.at")), F.col("m.start") + 1, F.col("m.length"))
+    texts = texts.select("m.node", "m.component", F.lit(1).cast("long").alias("weight"), text.alias("text"))
     _, links = verified_links(sets_of(texts).dropDuplicates(["node"]), threshold)
     classes = components(links)
     named = nodes.join(classes.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     named = named.where("copies > 1 or component is not null")
-    named = written(named.select("node", "first", F.coalesce("component", "node").alias("class")), "classes")
-    heads = named.groupBy(F.col("class").alias("head")).agg(F.min("first").alias("least"))
-    named = named.join(heads, F.col("class") == F.col("head")).select(F.col("node").alias("k"), "least")
-    later = found.join(small(written(named, "heads")), F.col("node") == F.col("k")).where(F.struct("doc", "at") > F.col("least"))
-    return later.select(
-        F.col("doc").alias("line_id"), "at", F.col("least.doc").alias("class_id"), F.col("least.at").alias("class_at")
+    least = F.struct("first.doc", "first.at", "first.start").alias("least")
+    named = written(named.select("node", least, F.coalesce("component", "node").alias("class")), "classes")
+    heads = named.groupBy(F.col("class").alias("head")).agg(F.min("least").alias("least"))
+    named = named.drop("least").join(heads, F.col("class") == F.col("head")).select(F.col("node").alias("k"), "least")
+    later = found.join(small(written(named, "heads")), F.col("node") == F.col("k"))
+    return later.where(F.struct("doc", "at", "start") > F.col("least")).drop("k")
+
+
+def repeated_paragraphs(
+    documents: DataFrame,
+    threshold: float = THRESHOLD,
+    least_words: int = LEAST_WORDS,
+    recall: float = RECALL,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """``(line_id, at, class_id, class_at, start, length, line_length, line_crc)`` for every paragraph of a cluster
+    but the first: its document and 0-based line, and those of the first, by document id, line and place in it.
+    ``start`` is null for a whole line, else it and ``length`` tell the characters of the line that repeat.
+
+    Paragraphs are lines of at least ``least_words`` words, then sentence-bounded pieces of those lines that stay
+    (``pieces_of``), so that what keeps a cluster's first piece is never a line that goes. Those with one set of
+    five-word shingles are copies and go on as one node; nodes that collide in a band of min-hashes are candidates,
+    all pairs of a candidate component are verified by exact Jaccard similarity in blocks, and verified links are
+    joined to clusters. Documents with a null id, null and empty texts have no paragraphs here; rows that repeat an
+    id are taken as one document.
+    """
+    bands = bands_for(threshold, recall)
+    found = written(paragraph_sets(documents, id_column, text_column, least_words, bands, ROWS, threshold), "paragraphs")
+    options = (documents, threshold, bands, id_column, text_column)
+    lines = written(later_copies(found.where(F.col("kind") != PIECE), *options), "later-lines")
+    gone = lines.select(F.col("doc").alias("gone_doc"), F.col("at").alias("gone_at")).distinct()
+    stay = (F.col("doc") == F.col("gone_doc")) & (F.col("at") == F.col("gone_at"))
+    pieces = written(found.where(F.col("kind") != LONG).join(gone, stay, "left_anti"), "pieces")
+    pieces = later_copies(pieces, *options)
+    inside = F.when(F.col("kind") == PIECE, F.col("start"))
+    return lines.unionByName(pieces).select(
+        F.col("doc").alias("line_id"),
+        "at",
+        F.col("least.doc").alias("class_id"),
+        F.col("least.at").alias("class_at"),
+        inside.alias("start"),
+        "length",
+        "line_length",
+        "line_crc",
     )
 
 
+def removed_places(later: DataFrame) -> DataFrame:
+    """``(line_id, line_positions, cuts, firsts)`` per document: lines that go, ``(at, start, length, line_crc)`` of
+    what goes inside others, and the documents of the firsts. A line all of whose pieces go is a line that goes."""
+    per = later.groupBy("line_id", "at", "line_crc").agg(
+        F.max(F.col("start").isNull()).alias("whole"),
+        F.collect_set(F.when(F.col("start").isNotNull(), F.struct("at", "start", "length", "line_crc"))).alias("cuts"),
+        F.max("line_length").alias("line_length"),
+        F.collect_set("class_id").alias("firsts"),
+    )
+    cut = F.aggregate("cuts", F.lit(0), lambda n, c: n + c["length"])
+    per = per.withColumn("whole", F.col("whole") | (cut == F.col("line_length")))
+    return per.groupBy("line_id").agg(
+        F.array_sort(F.collect_set(F.when(F.col("whole"), F.col("at")))).alias("line_positions"),
+        F.sort_array(F.flatten(F.collect_list(F.when(~F.col("whole"), F.col("cuts")))), asc=False).alias("cuts"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("firsts")))).alias("firsts"),
+    )
+
+
+def kept_text(lines: Column) -> Column:
+    """The text that ``line_positions`` and ``cuts`` leave of ``lines``."""
+
+    def shorter(line: Column, at: Column) -> Column:
+        own = F.filter("cuts", lambda c: (c["at"] == at) & (c["line_crc"] == F.crc32(line)))
+        cut = lambda t, c: F.concat(F.substr(t, F.lit(1), c["start"]), F.substr(t, c["start"] + c["length"] + 1))
+        return F.when(F.exists("cuts", lambda c: c["at"] == at), F.aggregate(own, line, cut)).otherwise(line)
+
+    marked = F.transform(lines, lambda line, i: F.struct(i.alias("at"), shorter(line, i).alias("line")))
+    stay = F.filter(marked, lambda x: ~F.array_contains("line_positions", x["at"]))
+    return F.array_join(F.transform(stay, lambda x: x["line"]), "\n")
+
+
 def drop_repeated(documents: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``documents`` without all paragraphs of a cluster but its first. No row goes; other columns stay."""
     later = repeated_paragraphs(documents, threshold, id_column=id_column, text_column=text_column)
-    positions = later.groupBy("line_id").agg(F.array_sort(F.collect_set("at")).alias("line_positions"))
-    return without_lines(documents, positions, id_column, text_column)
+    wide = documents.join(removed_places(later), documents[id_column] == F.col("line_id"), "left")
+    own = documents[text_column]
+    text = F.when(F.col("line_positions").isNull() | own.isNull(), own).otherwise(kept_text(lines_of(own)))
+    return wide.select(*(text.alias(n) if n == text_column else documents[n] for n in documents.columns))
 
 
 def removals(documents: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``(id, n_lines, n_removed, removed, first_docs, kept)`` per row: how many lines, how many of them go, which,
-    the documents that keep the first of each cluster, and the text that is left."""
+    """``(id, n_lines, n_removed, removed, first_docs, n_cut, kept)`` per row: how many lines, how many of them go,
+    which, the documents that keep the first of each cluster, how many pieces go out of other lines, and the text
+    that is left."""
     later = repeated_paragraphs(documents, threshold, id_column=id_column, text_column=text_column)
-    per = later.groupBy("line_id").agg(
-        F.array_sort(F.collect_set("at")).alias("line_positions"), F.array_sort(F.collect_set("class_id")).alias("firsts")
-    )
-    wide = documents.join(per, documents[id_column] == F.col("line_id"), "left")
+    wide = documents.join(removed_places(later), documents[id_column] == F.col("line_id"), "left")
     lines = lines_of(documents[text_column])
     removed = F.coalesce("line_positions", F.array().cast("array<int>"))
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(removed, i)), "\n")
     return wide.select(
         documents[id_column],
         F.size(lines).cast("long").alias("n_lines"),
         F.size(removed).cast("long").alias("n_removed"),
         removed.alias("removed"),
         F.coalesce("firsts", F.array()).alias("first_docs"),
-        kept.alias("kept"),
+        F.coalesce(F.size("cuts"), F.lit(0)).cast("long").alias("n_cut"),
+        F.when(F.col("line_positions").isNull(), F.array_join(lines, "\n")).otherwise(kept_text(lines)).alias("kept"),
     )
