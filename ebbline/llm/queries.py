@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import decontaminate, forest_join, merge_replay, paragraphs, projection_dedup, site_lines, suffix_dedup, token_files, toxicity
+from ebbline.llm import (
+    alignment,
+    centroids,
+    decontaminate,
+    fertility,
+    forest_join,
+    merge_replay,
+    paragraphs,
+    projection_dedup,
+    site_lines,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 from ebbline.llm import token_counts as counts
 from ebbline.llm.common import table
 from ebbline.sources import scratch_path
@@ -132,3 +145,59 @@ def op6_projection_dedup(spark, sf_dir):
 def op5_suffix_dedup(spark, sf_dir):
     found = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_fertility_rules(spark, sf_dir):
+    ranks, pieces = (public_tokenizers.path(n) for n in ("byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"))
+    return fertility.quality(table(spark, sf_dir, "documents"), ranks, pieces)
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    byte_level, pieces = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), byte_level, pieces)
+
+
+@query
+def op13_centroids(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _centroid_sql(number: int, rounds: int, size: int) -> str:
+    """Plain rounds of assigning every vector to every centroid and taking floors of means."""
+    distance = "list_sum(list_transform(list_zip(a.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k, v FROM kept QUALIFY k < {number}
+)"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, a.v, min(struct_pack(d := {distance}, k := c.k)) AS best FROM kept a CROSS JOIN c{r} c GROUP BY vec_id, a.v
+)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i)::BIGINT[] AS v FROM (
+      SELECT best.k AS k, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{r}, unnest(range(1, {size + 1})) AS t(i) GROUP BY 1, 2
+    ) GROUP BY k
+  ) m ON c.k = m.k
+)"""
+            )
+    return (
+        "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, best.k::INTEGER AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.k))::BIGINT AS cluster_inertia,
+  (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.k = a.best.k
+"""
+    )
+
+
+ORACLES["op13_centroids"] = _centroid_sql(centroids.CENTROIDS, centroids.ROUNDS, 64)
