@@ -111,3 +111,24 @@ def soft_clip(column: Column, threshold: float = 3.0) -> Column:
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator``, 0 where the denominator is 0."""
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
+
+
+def double_order(value: Column) -> Column:
+    """A long that orders as the double does: equal for equal values (-0.0 is 0.0), NaN last.
+
+    It is the number's exponent and fraction in one integer, taken apart by exact operations on powers of two.
+    """
+    size = F.abs(value.cast("double"))
+    guess = F.floor(F.log2(size))
+    # The logarithm may round across a power of two.
+    exponent = guess - F.when(size < F.pow(F.lit(2.0), guess), 1).otherwise(0)
+    exponent = exponent + F.when(size >= F.pow(F.lit(2.0), exponent + 1), 1).otherwise(0)
+    fraction = ((size / F.pow(F.lit(2.0), exponent) - 1) * 2**52).cast("long")
+    least = 2.0**-1022  # below it numbers have no exponent of their own
+    image = (
+        F.when(F.isnan(value), F.lit((2047 << 52) + 1))
+        .when(size == F.lit(float("inf")), F.lit(2047 << 52))
+        .when(size < least, (size * 2.0**537 * 2.0**537).cast("long"))
+        .otherwise((exponent + 1023).cast("long") * (1 << 52) + fraction)
+    )
+    return F.when(value < 0, -image).otherwise(image)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions import flag_in
-from ebbline.operators.ranking import running_totals
+from ebbline.operators.ranking import select_ranks
 from ebbline.schema import CHURN_PAGES, USER
 
 # Columns that the cleaned log keeps.
@@ -93,17 +93,12 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return df.withColumn("_row", F.row_number().over(window)).filter("_row = 1").drop("_row")
 
 
-def index_select(df: DataFrame, positions: Sequence[int], order: str, buckets: int = 64) -> DataFrame:
+def index_select(df: DataFrame, positions: Sequence[int], order: str) -> DataFrame:
     """Rows at the given zero-based positions in ascending ``order``, a unique numeric column.
 
-    Only the ordering column is ranked; at most one value per position is joined back.
+    The positions are selected by radix, without a sort; at most one value per position is joined back.
     """
-    wanted = F.array(*(F.lit(int(p)) for p in positions))
-
-    def holds_position(before: Column, inside: Column) -> Column:
-        return F.exists(wanted, lambda p: (p >= before) & (p < before + inside))
-
-    ones = df.select(order, F.lit(1).alias("_one"))
-    ranked = running_totals(ones, order, {"_one": "_end"}, buckets=buckets, keep=holds_position)
-    picked = ranked.filter(F.array_contains(wanted, F.col("_end") - 1)).select(order)
+    values = df.select(F.col(f"`{order}`").alias("value"), F.lit(1).cast("long").alias("n")).filter("value is not null")
+    ranks = df.sparkSession.createDataFrame([(int(p),) for p in positions], "rank long")
+    picked = select_ranks(values, ranks).select(F.col("value").alias(order))
     return df.join(F.broadcast(picked), order, "left_semi").select(*df.columns)

@@ -43,11 +43,15 @@ def _latest_level_flag() -> Column:
     return F.pmod(F.max(F.coalesce(F.col("ts") * 2, no_time) + flag), F.lit(2)).cast("int")
 
 
+def _play_day() -> Column:
+    """Day of a play, null for other events; plays without a time share a day of their own."""
+    day = F.coalesce(F.floor(F.col("ts") / DAY_MS), F.lit(NO_DAY))
+    return F.when(F.col("artist").isNotNull(), day)
+
+
 def _daily_listens() -> Column:
     """Mean over play days of plays per day = plays / distinct play days."""
-    day = F.coalesce(F.floor(F.col("ts") / DAY_MS), F.lit(NO_DAY))
-    days = F.count_distinct(F.when(F.col("artist").isNotNull(), day))
-    return F.try_divide(F.count("artist"), days)
+    return F.try_divide(F.count("artist"), F.count_distinct(_play_day()))
 
 
 def _tenure_days() -> Column:

@@ -173,8 +173,7 @@ def stratified_folds(
     """
     hashed = df.withColumn("_hash", row_hash(key))
     per_hash = hashed.groupBy(label, "_hash").agg(F.count("*").alias("_n"))
-    even = F.floor(F.col("_hash") / 2**20)
-    ends = running_totals(per_hash, "_hash", {"_n": "_end"}, by=[label], bucket=even)
+    ends = running_totals(per_hash, "_hash", {"_n": "_end"}, by=[label])
     tied = Window.partitionBy(label, "_hash").orderBy(key)
     joined = hashed.withColumn("_tie", F.row_number().over(tied)).join(
         ends.withColumn("_start", F.col("_end") - F.col("_n")).drop("_end", "_n"), [label, "_hash"]

@@ -1,17 +1,18 @@
 """Every query by name: callables taking a session and a data folder."""
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline import functions as fn
 from ebbline import schema
 from ebbline.operators import breakdowns as b
-from ebbline.operators import checks, clean, metrics, neighbours, profile, transform
+from ebbline.operators import checks, clean, metrics, near_points, neighbours, profile, sketches, transform
 from ebbline.operators import correlation as corr
 from ebbline.operators import features as f
+from ebbline.plans import bayes
 from ebbline.plans import feature_matrix as fm
 from ebbline.plans import training as t
 from ebbline.schema import USER
@@ -25,6 +26,7 @@ from ebbline.sources import (
     register_view,
     sample_log,
     scratch_path,
+    write_bucketed,
 )
 
 FEATURES = (
@@ -42,6 +44,9 @@ LOG_COLUMNS = tuple(field.name for field in schema.EVENT_LOG_SCHEMA)
 POSITIONS = (0, 1, 10, 100, 500, 999)
 KNN_FEATURES = ("song_counts", "pos_interactions", "neg_interactions", "unique_sessions")
 ROUNDED = 6
+BUCKETS = 8
+#: Fits of a grid that run side by side.
+FITS_AT_ONCE = 16
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -287,6 +292,13 @@ def user_features(spark, sf_dir):
     return fm.user_features(_log(spark, sf_dir))
 
 
+@query
+def user_features_bucketed(spark, sf_dir):
+    """User features of a log that was stored in buckets of users."""
+    log = write_bucketed(_log(spark, sf_dir), f"ebbline_log_{uuid.uuid4().hex}", BUCKETS)
+    return fm.user_features(log)
+
+
 @query
 def features_outer(spark, sf_dir):
     """The core features as full outer joins of separate feature tables."""
@@ -560,6 +572,16 @@ def null_profile(spark, sf_dir):
     return profile.null_profile(_raw(spark, sf_dir))
 
 
+@query
+def null_profile_sketch(spark, sf_dir):
+    """Profile of the log from sketches per day: first all days but the last, then what is new."""
+    log, day = _raw(spark, sf_dir), fn.event_date(F.col("ts"))
+    store = scratch_path(spark, "sketches")
+    last = log.agg(F.max(day).alias("day")).scalar()
+    sketches.add_parts(log.filter(day < last), day, store)
+    return sketches.merged_profile(sketches.add_parts(log, day, store))
+
+
 @query
 def null_profile_counting_null(spark, sf_dir):
     return profile.null_profile(_raw(spark, sf_dir), count_null=True)
@@ -735,6 +757,13 @@ def knn_classify(spark, sf_dir):
     return neighbours.knn_classify(train, test, KNN_FEATURES, USER)
 
 
+@query
+def near_embeddings(spark, sf_dir):
+    """Five nearest vectors of every vector whose id is divisible by 100, among all vectors."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return near_points.near_points(vectors, vectors.filter("vec_id % 100 = 0"), "vec_id", "embedding")
+
+
 @query
 def assemble(spark, sf_dir):
     rows = transform.assemble(fm.user_features(_log(spark, sf_dir)), FEATURES)
@@ -757,7 +786,26 @@ def covariance_matrix(spark, sf_dir):
     return _round(t.covariance_matrix(_features(spark, sf_dir), FEATURES))
 
 
-# Models. Grids are small here; the full ones are the defaults of ``training.run_plan``.
+@query
+def naive_bayes_predictions(spark, sf_dir):
+    """Gaussian naive Bayes from sufficient statistics of the training side, on the test side."""
+    train, test = transform.train_test_split(_features(spark, sf_dir), USER)
+    model = bayes.fitted(bayes.statistics(train, FEATURES))
+    return _round(bayes.classify(test, model, FEATURES).select(USER, "label", "prediction", "probability"))
+
+
+@query
+def naive_bayes_folds(spark, sf_dir):
+    """Hits per fold of models of the other folds: all models come from one aggregation."""
+    rows = materialize(_features(spark, sf_dir).withColumn("fold", (transform.row_hash(USER) % 4).cast("int")), "folds")
+    parts = materialize(bayes.statistics(rows, FEATURES, by=["fold"]), "bayes-sums")
+    models = bayes.fitted(bayes.without_fold(parts, "fold"), ["fold"])
+    scored = bayes.classify(rows, models, FEATURES, ["fold"])
+    hits = F.count_if(F.col("label") == F.col("prediction")).alias("hits")
+    return scored.groupBy("fold").agg(F.count("*").alias("rows"), hits)
+
+
+# Models. Logistic and boosted plans run whole; what the other grids leave out is in the README.
 
 
 def _prepared(spark, sf_dir) -> t.Prepared:
@@ -765,41 +813,35 @@ def _prepared(spark, sf_dir) -> t.Prepared:
     return t.prepare(materialize(matrix, "matrix"), schema.MODEL_FEATURES)
 
 
-def _plan_scores(prepared: t.Prepared, name: str, grid: dict, **options) -> DataFrame:
-    model = t.run_plan(name, prepared.train, grid, **options)
+def _plan_scores(prepared: t.Prepared, name: str, grid: dict | None = None, **options) -> DataFrame:
+    model = t.run_plan(name, prepared.train, grid, key=prepared.key, **{"parallelism": FITS_AT_ONCE} | options)
     scored = t.predictions(model.bestModel, prepared.test)
     return metrics.score_metrics(scored).withColumn("model", F.lit(name))
 
 
 @query
 def train_logistic(spark, sf_dir):
-    grid = {"maxIter": [20], "regParam": [0.1, 0.01]}
-    return _plan_scores(_prepared(spark, sf_dir), "logistic_regression", grid, folds=2)
+    return _plan_scores(_prepared(spark, sf_dir), "logistic_regression")
 
 
 @query
 def train_random_forest(spark, sf_dir):
-    grid = {"numTrees": [10], "maxDepth": [5, 10], "impurity": ["gini"]}
-    return _plan_scores(_prepared(spark, sf_dir), "random_forest", grid, folds=2)
+    return _plan_scores(_prepared(spark, sf_dir), "random_forest")
 
 
 @query
 def train_gbt(spark, sf_dir):
-    grid = {"maxIter": [5], "maxDepth": [3, 5]}
-    return _plan_scores(_prepared(spark, sf_dir), "gradient_boost", grid, folds=2)
+    return _plan_scores(_prepared(spark, sf_dir), "gradient_boost")
 
 
 @query
 def train_glm_grid(spark, sf_dir):
-    grid = {"elasticNetParam": [0.0, 1.0], "regParam": [1e-3, 1e-1]}
-    options = {"folds": 2, "evaluator": t.area_evaluator()}
-    return _plan_scores(_prepared(spark, sf_dir), "glm", grid, **options)
+    return _plan_scores(_prepared(spark, sf_dir), "glm")
 
 
 @query
 def train_gbm_grid(spark, sf_dir):
-    grid = {"stepSize": [0.1, 0.2], "maxIter": [5], "maxDepth": [3]}
-    return _plan_scores(_prepared(spark, sf_dir), "gbm", grid, folds=2, evaluator=t.area_evaluator())
+    return _plan_scores(_prepared(spark, sf_dir), "gbm")
 
 
 @query
@@ -812,16 +854,13 @@ def train_drf_grid(spark, sf_dir):
         "featureSubsetStrategy": ["0.8"],
         "minInfoGain": [1e-3],
     }
-    options = {"folds": 3, "evaluator": t.area_evaluator(), "stratified": True}
-    return _plan_scores(_prepared(spark, sf_dir), "distributed_forest", grid, **options)
+    return _plan_scores(_prepared(spark, sf_dir), "distributed_forest", grid, folds=3)
 
 
 @query
 def cv_scores(spark, sf_dir):
-    grid = {"maxIter": [20], "regParam": [0.1, 0.01]}
-    train = _prepared(spark, sf_dir).train
-    evaluator = MulticlassClassificationEvaluator(labelCol="label")
-    return t.cv_scores(t.run_plan("logistic_regression", train, grid, evaluator=evaluator, folds=2))
+    prepared = _prepared(spark, sf_dir)
+    return _round(t.cv_scores(t.run_plan("logistic_regression", prepared.train, key=prepared.key)))
 
 
 @query
@@ -841,13 +880,8 @@ def train_logistic_balanced(spark, sf_dir):
 
 @query
 def train_trees(spark, sf_dir):
-    return _single(
-        spark,
-        sf_dir,
-        RandomForestClassifier=lambda train: t.random_forest(train, trees=20, depth=10),
-        GradientBoostingClassifier=lambda train: t.boosted_trees(train, rounds=5),
-        DecisionTreeClassifier=t.decision_tree,
-    )
+    names = ("RandomForestClassifier", "GradientBoostingClassifier", "DecisionTreeClassifier")
+    return _single(spark, sf_dir, **{name: t.MODEL_PLAN[name] for name in names})
 
 
 @query
@@ -857,7 +891,7 @@ def train_linear_svc(spark, sf_dir):
 
 @query
 def train_adaboost(spark, sf_dir):
-    return _single(spark, sf_dir, AdaBoostClassifier=lambda train: t.adaboost(train, rounds=6))
+    return _single(spark, sf_dir, AdaBoostClassifier=t.real_adaboost)
 
 
 @query
@@ -872,13 +906,7 @@ def train_naive_bayes(spark, sf_dir):
 
 @query
 def leaderboard(spark, sf_dir):
-    prepared = _prepared(spark, sf_dir)
-    small = {
-        "RandomForestClassifier": lambda train: t.random_forest(train, trees=10, depth=5),
-        "GradientBoostingClassifier": lambda train: t.boosted_trees(train, rounds=3),
-        "AdaBoostClassifier": lambda train: t.adaboost(train, rounds=3),
-    }
-    return t.leaderboard(t.MODEL_PLAN | small, prepared)
+    return t.leaderboard(t.MODEL_PLAN, _prepared(spark, sf_dir))
 
 
 @query

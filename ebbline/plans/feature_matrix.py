@@ -2,7 +2,7 @@
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.operators import features as f
@@ -36,23 +36,45 @@ def core_features(
     )
 
 
+def _distinct_counts(log: DataFrame, **values: Column) -> DataFrame:
+    """Distinct non-null values per user. Values ride alone as (user, kind, text), not beside the wide row of counters
+    that several distinct aggregates in one would repeat for each kind. An exchange is only needed where the log is
+    not already laid out by user."""
+    pairs = [F.struct(F.lit(i).alias("kind"), v.cast("string").alias("value")) for i, v in enumerate(values.values())]
+    rows = log.select(USER, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    counts = {name: F.count_if(F.col("kind") == i) for i, name in enumerate(values)}
+    return rows.distinct().groupBy(USER).agg(*(count.alias(name) for name, count in counts.items()))
+
+
 def user_features(
     log: DataFrame,
     label_pages: Iterable[str] = CHURN_PAGES,
     positive_pages: Iterable[str] = POSITIVE_PAGES,
 ) -> DataFrame:
     """Label and every scalar feature for every user; averages without data are null."""
-    return log.groupBy(USER).agg(
+    counters = log.groupBy(USER).agg(
         f._ever(label_pages).alias("label"),
         F.count("artist").alias("song_counts"),
-        F.round(f._daily_listens()).alias("avg_daily_listens"),
         f._latest_level_flag().alias("level_flag"),
         f._page_hits(positive_pages).alias("pos_interactions"),
         f._page_hits(NEGATIVE_PAGES).alias("neg_interactions"),
-        F.count_distinct("location").alias("unique_locations"),
-        F.count_distinct("artist").alias("distinct_artist"),
         f._tenure_days().alias("days_since_registration"),
-        F.count_distinct("sessionId").alias("unique_sessions"),
+    )
+    kinds = ("unique_locations", "distinct_artist", "unique_sessions")
+    distinct = _distinct_counts(
+        log,
+        unique_locations=F.col("location"),
+        distinct_artist=F.col("artist"),
+        unique_sessions=F.col("sessionId"),
+        _days=f._play_day(),
+    )
+    # Both sides lie by user, so joining them moves nothing.
+    joined = counters.join(distinct, USER, "left")
+    listens = F.round(F.try_divide("song_counts", "_days")).alias("avg_daily_listens")
+    counts = {name: F.coalesce(name, F.lit(0)).alias(name) for name in kinds}
+    return joined.select(
+        USER, "label", "song_counts", listens, "level_flag", "pos_interactions", "neg_interactions",
+        counts["unique_locations"], counts["distinct_artist"], "days_since_registration", counts["unique_sessions"],
     )
 
 

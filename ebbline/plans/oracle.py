@@ -835,3 +835,85 @@ _oracle(
     ),
     UF + ", distinct_rows AS (SELECT DISTINCT " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in FEATURES) + " FROM uf)",
 )
+
+
+def _jacobi(size: int, sweeps: int = 12) -> str:
+    """Eigenvalues of the symmetric matrix ``m`` (a list by rows in ``matrix``) by rotations that clear one pair at a time."""
+    pairs = [(p, q) for p in range(size) for q in range(p + 1, size)]
+    p = f"[{', '.join(str(a) for a, _ in pairs)}][step % {len(pairs)} + 1]"
+    q = f"[{', '.join(str(b) for _, b in pairs)}][step % {len(pairs)} + 1]"
+
+    def at(i: str, j: str, m: str = "m") -> str:
+        return f"{m}[({i}) * {size} + ({j}) + 1]"
+
+    cells = f"range(0, {size * size})"
+    columns = f"""list_transform({cells}, lambda k: CASE WHEN k % {size} = p THEN c * {at(f'k // {size}', 'p')} - s * {at(f'k // {size}', 'q')}
+      WHEN k % {size} = q THEN s * {at(f'k // {size}', 'p')} + c * {at(f'k // {size}', 'q')} ELSE m[k + 1] END)"""
+    rows = f"""list_transform({cells}, lambda k: CASE WHEN k // {size} = p THEN c * {at('p', f'k % {size}', 'half')} - s * {at('q', f'k % {size}', 'half')}
+      WHEN k // {size} = q THEN s * {at('p', f'k % {size}', 'half')} + c * {at('q', f'k % {size}', 'half')} ELSE half[k + 1] END)"""
+    return f"""turned AS (
+      SELECT 0 AS step, m FROM matrix
+      UNION ALL
+      SELECT step + 1, {rows} FROM (
+        SELECT step, p, q, c, s, {columns} AS half FROM (
+          SELECT *, t / sqrt(t * t + 1) AS s, 1 / sqrt(t * t + 1) AS c FROM (
+            SELECT *, CASE WHEN abs({at('p', 'q')}) < 1e-300 THEN 0.0
+              ELSE (CASE WHEN w < 0 THEN -1 ELSE 1 END) / (abs(w) + sqrt(w * w + 1)) END AS t FROM (
+              SELECT *, ({at('q', 'q')} - {at('p', 'p')}) / (2 * CASE WHEN abs({at('p', 'q')}) < 1e-300 THEN 1 ELSE {at('p', 'q')} END) AS w FROM (
+                SELECT step, m, {p} AS p, {q} AS q FROM turned WHERE step < {sweeps * len(pairs)})))))
+    )"""
+
+
+_size = len(FEATURES)
+_cells = ", ".join(
+    f"CASE WHEN stddev_pop({a}) = 0 OR stddev_pop({b}) = 0 THEN 0.0 ELSE corr({a}, {b}) END" for a in FEATURES for b in FEATURES
+)
+_oracle(
+    "pca_variance",
+    f"""SELECT CAST(row_number() OVER (ORDER BY value DESC) AS INTEGER) AS component, round(value / sum(value) OVER (), 6) AS ratio
+    FROM (SELECT greatest(m[i * {_size + 1} + 1], 0) AS value FROM turned, unnest(range(0, {_size})) AS r(i)
+      WHERE step = (SELECT max(step) FROM turned))""",
+    UF.replace("WITH", "WITH RECURSIVE", 1)
+    + ", distinct_rows AS (SELECT DISTINCT "
+    + ", ".join(f"coalesce({c}, 0) AS {c}" for c in FEATURES)
+    + f" FROM uf), matrix AS (SELECT [{_cells}] AS m FROM distinct_rows), {_jacobi(_size)}",
+)
+
+
+def _bayes(by: str) -> str:
+    """``class`` (by, label, column, prior, mean, variance) from ``rows`` (by, label, column, x): one model per ``by``."""
+    return f"""sums AS (
+      SELECT {by}, label, col, count(*) AS n, avg(x) AS mean, sum(x * x) AS squares, sum(x) AS total FROM learn GROUP BY ALL
+    ), overall AS (
+      SELECT {by}, greatest(1e-9 * max(v), 1e-9) AS least FROM (
+        SELECT {by}, col, sum(squares) / sum(n) - (sum(total) / sum(n)) ** 2 AS v FROM sums GROUP BY ALL) GROUP BY ALL
+    ), class AS (
+      SELECT {by}, label, col, n / CAST(sum(n) OVER (PARTITION BY {by}, col) AS DOUBLE) AS prior, mean,
+        greatest(squares / n - mean * mean, 0) + least AS variance FROM sums JOIN overall USING ({by})
+    ), scores AS (
+      SELECT userId, any_value(t.label) AS label, c.label AS class, max(ln(prior)) - sum(ln(2 * pi() * variance) + (x - mean) ** 2 / variance) / 2 AS score
+      FROM guess t JOIN class c USING ({by}, col) GROUP BY userId, c.label
+    ), best AS (
+      SELECT userId, any_value(label) AS label, arg_max(class, (score, -class)) AS prediction,
+        coalesce(sum(exp(score - top)) FILTER (class = 1), 0) / sum(exp(score - top)) AS probability
+      FROM (SELECT *, max(score) OVER (PARTITION BY userId) AS top FROM scores) GROUP BY userId
+    )"""
+
+
+_long = " UNION ALL ".join(f"SELECT userId, label, '{c}' AS col, coalesce(CAST({c} AS DOUBLE), 0.0) AS x FROM uf" for c in FEATURES)
+_oracle(
+    "naive_bayes_predictions",
+    "SELECT userId, label, prediction, round(probability, 6) AS probability FROM best",
+    UF
+    + f""", cells AS ({_long}), learn AS (SELECT 0 AS model, * FROM cells WHERE {SPLIT} = 'train'),
+    guess AS (SELECT 0 AS model, * FROM cells WHERE {SPLIT} = 'test'), {_bayes('model')}""",
+)
+_oracle(
+    "naive_bayes_folds",
+    f"""SELECT CAST({HASH} % 4 AS INTEGER) AS fold, count(*) AS rows, count(*) FILTER (label = prediction) AS hits FROM best GROUP BY 1""",
+    UF
+    + f""", cells AS ({_long}), guess AS (SELECT {HASH} % 4 AS model, * FROM cells),
+    learn AS (SELECT f AS model, userId, label, col, x FROM guess, unnest(range(0, 4)) AS r(f) WHERE model <> f), {_bayes('model')}""",
+)
+
+ORACLES["user_features_bucketed"] = ORACLES["user_features"]

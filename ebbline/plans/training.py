@@ -9,6 +9,8 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from math import log
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -19,8 +21,9 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, MinMaxScaler, StandardScaler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import MinMaxScaler, StandardScaler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -31,8 +34,10 @@ from pyspark.sql.types import NumericType
 from ebbline.operators.metrics import score_metrics
 from ebbline.operators.neighbours import knn_classify
 from ebbline.operators.transform import assemble, stratified_folds, train_test_split
+from ebbline.plans.search import Searched, in_partitions, run_parallel, search
 from ebbline.schema import USER
 from ebbline.sources.scratch import materialize
+from ebbline.sources.workers import ship_code
 
 LOG = logging.getLogger(__name__)
 COLUMNS = {"labelCol": "label", "featuresCol": "scaled_features"}
@@ -40,11 +45,19 @@ COLUMNS = {"labelCol": "label", "featuresCol": "scaled_features"}
 
 @dataclass(frozen=True)
 class Plan:
-    """An estimator with its parameter grid."""
+    """An estimator with its parameter grid, its fold rule and the metric that ranks the grid.
+
+    ``rounds`` names the parameter that counts boosting rounds; ``shared`` marks logistic grids, which are fitted in
+    shared passes.
+    """
 
     estimator: Callable[[], object]
     grid: Mapping[str, Sequence] = field(default_factory=dict)
     folds: int = 3
+    metric: str = "f1"
+    stratified: bool = False
+    rounds: str | None = None
+    shared: bool = False
 
 
 # Estimators and grids of the training plans.
@@ -53,6 +66,7 @@ PLANS = {
         lambda: LogisticRegression(family="binomial", standardization=True, **COLUMNS),
         {"maxIter": [20, 40, 60], "regParam": [0.0, 0.1, 0.01, 0.001]},
         4,
+        shared=True,
     ),
     "random_forest": Plan(
         lambda: RandomForestClassifier(seed=42, **COLUMNS),
@@ -66,7 +80,10 @@ PLANS = {
         4,
     ),
     "gradient_boost": Plan(
-        lambda: GBTClassifier(seed=42, **COLUMNS), {"maxIter": [10, 20], "maxDepth": [10, 20]}, 3
+        lambda: GBTClassifier(seed=42, **COLUMNS),
+        {"maxIter": [10, 20], "maxDepth": [10, 20]},
+        3,
+        rounds="maxIter",
     ),
     "glm": Plan(
         lambda: LogisticRegression(family="binomial", **COLUMNS),
@@ -74,10 +91,14 @@ PLANS = {
             "elasticNetParam": [0.0, 0.2, 0.4, 0.6, 0.8, 1.0],
             "regParam": [1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1.0],
         },
+        metric="auc",
+        shared=True,
     ),
     "gbm": Plan(
         lambda: GBTClassifier(seed=42, **COLUMNS),
         {"stepSize": [0.01, 0.1, 0.2], "maxIter": [50, 100, 200], "maxDepth": [3, 4, 5]},
+        metric="auc",
+        rounds="maxIter",
     ),
     "distributed_forest": Plan(
         lambda: RandomForestClassifier(seed=42, **COLUMNS),
@@ -90,6 +111,8 @@ PLANS = {
             "minInfoGain": [1e-4, 1e-3, 1e-2],
         },
         5,
+        metric="auc",
+        stratified=True,
     ),
 }
 
@@ -136,7 +159,7 @@ def prepare(
         share = test_percent / 100
         rows = materialize(rows, "assembled")
         test, train = rows.randomSplit([share, 1 - share], seed=random_seed)
-    train = materialize(train, "train")
+    train = materialize(in_partitions(train), "train")
     scaler = MinMaxScaler(inputCol="features", outputCol="scaled_features").fit(train)
     return Prepared(
         materialize(scaler.transform(train), "train-scaled"),
@@ -161,6 +184,7 @@ def cross_validate(
     evaluator=None,
     parallelism: int = 4,
     stratified: bool = False,
+    key: str = USER,
 ) -> CrossValidatorModel:
     """Grid search by weighted F1 unless another evaluator is given."""
     search = CrossValidator(
@@ -172,29 +196,38 @@ def cross_validate(
         seed=42,
     )
     if stratified:
-        train = materialize(stratified_folds(train, USER, "label", folds), "folds")
+        train = materialize(stratified_folds(train, key, "label", folds), "folds")
         search = search.setFoldCol("fold")
     return search.fit(train)
 
 
-def cv_scores(model: CrossValidatorModel) -> DataFrame:
+def cv_scores(model: CrossValidatorModel | Searched) -> DataFrame:
     """(parameters, mean_score, std_score) per grid point; as many rows as the grid has points."""
+    if isinstance(model, Searched):
+        points = model.points
+    else:
+        points = [{p.name: v for p, v in point.items()} for point in model.getEstimatorParamMaps()]
     rows = [
-        (
-            ", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda i: i[0].name)),
-            float(mean),
-            float(std),
-        )
-        for point, mean, std in zip(model.getEstimatorParamMaps(), model.avgMetrics, model.stdMetrics)
+        (", ".join(f"{name}={v}" for name, v in sorted(point.items())), float(mean), float(std))
+        for point, mean, std in zip(points, model.avgMetrics, model.stdMetrics)
     ]
     return SparkSession.active().createDataFrame(rows, "parameters string, mean_score double, std_score double")
 
 
-def run_plan(name: str, train: DataFrame, grid: Mapping[str, Sequence] | None = None, **options):
-    """Grid search of a named plan, over its full grid unless a smaller one is given."""
+def run_plan(
+    name: str, train: DataFrame, grid: Mapping[str, Sequence] | None = None, key: str = USER, evaluator=None, **options
+) -> Searched | CrossValidatorModel:
+    """Grid search of a named plan by its own folds and metric, over its full grid unless another one is given.
+
+    ``options`` go to ``search``; an ``evaluator`` of one's own goes through Spark's cross-validator instead.
+    """
     plan = PLANS[name]
-    options.setdefault("folds", plan.folds)
-    return cross_validate(plan.estimator(), plan.grid if grid is None else grid, train, **options)
+    grid = plan.grid if grid is None else grid
+    options = {"folds": plan.folds, "stratified": plan.stratified} | options
+    if evaluator is not None:
+        return cross_validate(plan.estimator(), grid, train, evaluator=evaluator, key=key, **options)
+    options = {"metric": plan.metric, "rounds": plan.rounds, "shared": plan.shared} | options
+    return search(plan.estimator, grid, train, key, **options)
 
 
 def area_evaluator() -> BinaryClassificationEvaluator:
@@ -321,27 +354,82 @@ def adaboost(
     return BoostedModel(trees, weights)
 
 
+class RealBoostedModel:
+    """Sum of half log odds of the trees' leaves."""
+
+    def __init__(self, trees: Sequence, rate: float):
+        self.trees, self.rate = list(trees), rate
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        scored, margin = df, F.lit(0.0)
+        for i, tree in enumerate(self.trees):
+            scored = _half_log_odds(tree, scored, f"_h{i}")
+            margin = margin + self.rate * F.col(f"_h{i}")
+        likely = 1 / (1 + F.exp(-2 * margin))
+        voted = scored.withColumn("probability", array_to_vector(F.array(1 - likely, likely)))
+        voted = voted.withColumn("prediction", (margin > 0).cast("double"))
+        return voted.drop(*(f"_h{i}" for i in range(len(self.trees))))
+
+
+def _half_log_odds(tree, df: DataFrame, name: str, least: float = 2.0**-52) -> DataFrame:
+    """``df`` with half the log odds of label 1 in the row's leaf."""
+    scored = tree.copy().setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_leaf").transform(df)
+    likely = F.greatest(F.least(vector_to_array("_leaf")[1], F.lit(1 - least)), F.lit(least))
+    return scored.withColumn(name, F.log(likely / (1 - likely)) / 2).drop("_leaf")
+
+
+def real_adaboost(
+    train: DataFrame, rounds: int = 100, rate: float = 0.1, depth: int = 3, cut_every: int = 5
+) -> RealBoostedModel:
+    """Two-class boosting on leaf probabilities instead of votes.
+
+    A row's weight falls by how sure its leaf is of the right label and grows by how sure it is of the wrong one, so
+    every round uses the margins and not only the errors. It ends with the first tree that makes no error. Row weights
+    live in a table; every ``cut_every`` rounds it is written anew, with a mean weight of one, and the driver reads
+    the rounds' errors, a handful of sums.
+    """
+    current, trees = train.select("label", "scaled_features", F.lit(1.0).alias("w")), []
+    side = 2 * F.col("label") - 1
+    for start in range(0, rounds, cut_every):
+        length = min(cut_every, rounds - start)
+        for i in range(length):
+            tree = DecisionTreeClassifier(maxDepth=depth, weightCol="w", seed=42 + start + i, **COLUMNS).fit(current)
+            trees.append(tree)
+            scored = _half_log_odds(tree, current, "_h")
+            wrong = F.when(side * F.col("_h") <= 0, F.col("w")).otherwise(0.0).alias(f"_wrong{i}")
+            moved = (F.col("w") * F.exp(-rate * side * F.col("_h"))).alias("w")
+            current = scored.select("label", "scaled_features", moved, *(f"_wrong{j}" for j in range(i)), wrong)
+        current = materialize(current, "boosting-weights")
+        *missed, mean = current.agg(*(F.sum(f"_wrong{i}") for i in range(length)), F.avg("w")).first()
+        if not all(missed):
+            return RealBoostedModel(trees[: start + 1 + [bool(m) for m in missed].index(False)], rate)
+        current = current.select("label", "scaled_features", (F.col("w") / mean).alias("w"))
+    return RealBoostedModel(trees, rate)
+
+
 class NeighbourModel:
     """Looks up the nearest training rows when asked for predictions."""
 
-    def __init__(self, train: DataFrame, k: int):
-        self.train, self.k = train, k
+    def __init__(self, train: DataFrame, k: int, key: str = USER):
+        self.train, self.k, self.key = train, k, key
 
     def transform(self, df: DataFrame) -> DataFrame:
         size = self.train.select(F.size(vector_to_array("scaled_features"))).first()[0]
         names = [f"x{i}" for i in range(size)]
 
+        key = self.key
+
         def spread(rows: DataFrame) -> DataFrame:
-            vector = rows.select(USER, "label", vector_to_array("scaled_features").alias("v"))
-            return vector.select(USER, "label", *(F.col("v")[i].alias(n) for i, n in enumerate(names)))
+            vector = rows.select(key, "label", vector_to_array("scaled_features").alias("v"))
+            return vector.select(key, "label", *(F.col("v")[i].alias(n) for i, n in enumerate(names)))
 
-        found = knn_classify(spread(self.train), spread(df), names, USER, k=self.k)
-        votes = found.select(USER, F.col("prediction").cast("double").alias("prediction"))
-        return df.join(votes, USER)
+        found = knn_classify(spread(self.train), spread(df), names, key, k=self.k)
+        votes = found.select(key, F.col("prediction").cast("double").alias("prediction"))
+        return df.join(votes, key)
 
 
-def nearest_neighbours(train: DataFrame, k: int = 5) -> NeighbourModel:
-    return NeighbourModel(train, k)
+def nearest_neighbours(train: DataFrame, k: int = 5, key: str = USER) -> NeighbourModel:
+    return NeighbourModel(train, k, key)
 
 
 # The model plan that is ranked by AUC.
@@ -352,19 +440,18 @@ MODEL_PLAN: dict[str, Callable] = {
     "SupportVectorClassifier": linear_svc,
     "KNeighborsClassifier": nearest_neighbours,
     "DecisionTreeClassifier": decision_tree,
-    "AdaBoostClassifier": adaboost,
+    "AdaBoostClassifier": real_adaboost,
     "BaggingClassifier": bagging,
     "Gaussian_Naive_Bayes": naive_bayes,
 }
 
 
-def leaderboard(models: Mapping[str, Callable], prepared: Prepared) -> DataFrame:
-    """Train each model and rank them by AUC; all are scored in one aggregation."""
+def leaderboard(models: Mapping[str, Callable], prepared: Prepared, parallelism: int = 4) -> DataFrame:
+    """Train the models, ``parallelism`` at a time, and rank them by AUC; all are scored in one aggregation."""
+    fitted = run_parallel([lambda fit=fit: fit(prepared.train) for fit in models.values()], parallelism, prepared.train.sparkSession)
     scored = None
-    for name, fit in models.items():
-        guesses = fit(prepared.train).transform(prepared.test).select(
-            F.lit(name).alias("model"), "label", "prediction"
-        )
+    for name, model in zip(models, fitted, strict=True):
+        guesses = model.transform(prepared.test).select(F.lit(name).alias("model"), "label", "prediction")
         scored = guesses if scored is None else scored.unionByName(guesses)
     return score_metrics(scored, by=["model"]).orderBy(F.desc("AUC"), "model")
 
@@ -385,25 +472,75 @@ def feature_importance(model, features: Sequence[str]) -> DataFrame:
     )
 
 
-def pca_variance(df: DataFrame, columns: Sequence[str], k: int | None = None) -> DataFrame:
-    """(component, ratio): explained-variance ratio of the standardized columns."""
-    vectors = assemble(df, columns).select("features")
+def _covariance(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Sample covariance of the distinct rows, nulls as 0, divided by population deviations.
+
+    Tasks add up products of columns; the driver sees columns x columns numbers."""
+    vectors = materialize(assemble(df.select(*columns).na.fill(0).distinct(), columns).select("features"), "vectors")
     scaler = StandardScaler(inputCol="features", outputCol="x", withMean=True).fit(vectors)
-    fitted = PCA(k=k or len(columns), inputCol="x", outputCol="pc").fit(scaler.transform(vectors))
-    rows = [(i + 1, float(v)) for i, v in enumerate(fitted.explainedVariance.toArray())]
+    scaled = MLUtils.convertVectorColumnsFromML(scaler.transform(vectors).select("x"), "x")
+    n = vectors.count()
+    return RowMatrix(scaled).computeCovariance().toArray() * (n / max(n - 1, 1))
+
+
+def pca_variance(df: DataFrame, columns: Sequence[str], k: int | None = None) -> DataFrame:
+    """(component, ratio): explained-variance ratio of the distinct rows, nulls as 0, columns standardized.
+
+    Constant columns explain nothing; without any variance all ratios are 0."""
+    values = np.linalg.eigvalsh(_covariance(df, columns))[::-1].clip(0)
+    ratios = values / values.sum() if values.sum() > 0 else values
+    rows = [(i + 1, float(v)) for i, v in enumerate(ratios[: k or len(columns)])]
     return SparkSession.active().createDataFrame(rows, "component int, ratio double")
 
 
+def leading_variance(df: DataFrame, vector: str, k: int, passes: int = 8, extra: int = 8) -> DataFrame:
+    """(component, ratio) of the first ``k`` components of wide vectors, without a columns x columns matrix.
+
+    Subspace iteration: each pass multiplies the centred, standardized rows by ``k + extra`` directions and back, so
+    a task holds columns x (k + extra) numbers. Ratios come from below and are close where the spectrum falls.
+    """
+    ship_code(df.sparkSession)
+    rows = df.select(vector_to_array(vector).alias("x"))
+    found = df.select(Summarizer.metrics("count", "mean", "std").summary(F.col(vector)).alias("m")).first().m
+    mean, deviation = found.mean.toArray(), found.std.toArray()
+    scale = np.where(deviation > 0, 1 / np.where(deviation > 0, deviation, 1), 0.0)
+    width = len(mean)
+    basis = np.linalg.qr(np.random.default_rng(42).normal(size=(width, min(width, k + extra))))[0]
+    for _ in range(passes):
+        product = _times_gram(rows, mean, scale, basis) / max(found["count"] - 1, 1)
+        values = np.linalg.eigvalsh((basis.T @ product + product.T @ basis) / 2)[::-1]
+        basis = np.linalg.qr(product)[0]
+    total = float((scale > 0).sum())
+    ratios = [(i + 1, float(v / total) if total else 0.0) for i, v in enumerate(values[:k])]
+    return SparkSession.active().createDataFrame(ratios, "component int, ratio double")
+
+
+def _times_gram(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """The Gram matrix of the standardized rows times ``basis``."""
+    width, directions = basis.shape
+
+    def run(batches):
+        total = np.zeros((width, directions))
+        for batch in batches:
+            x = (batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) - mean) * scale
+            total += x.T @ (x @ basis)
+        lists = pa.ListArray.from_arrays(np.arange(0, total.size + 1, directions, dtype=np.int32), total.ravel())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)), lists], ["column", "sums"])
+
+    parts = rows.mapInArrow(run, "column int, sums array<double>")
+    sums = parts.groupBy("column").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+    out = np.zeros((width, directions))
+    for row in sums.collect():  # one row per column
+        out[row.column] = row.sums
+    return out
+
+
 def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_1, column_2, covariance) of the standardized columns of the distinct rows, nulls as 0.
 
     Columns are divided by their population deviation, the covariance is the sample one, so that the diagonal is
     n / (n - 1)."""
-    vectors = materialize(assemble(df.select(*columns).na.fill(0).distinct(), columns).select("features"), "vectors")
-    scaler = StandardScaler(inputCol="features", outputCol="x", withMean=True).fit(vectors)
-    scaled = MLUtils.convertVectorColumnsFromML(scaler.transform(vectors).select("x"), "x")
-    n = vectors.count()
-    values = RowMatrix(scaled).computeCovariance().toArray() * (n / max(n - 1, 1))
+    values = _covariance(df, columns)
     rows = [
         (a, b, float(values[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
     ]

@@ -1,3 +1,4 @@
+from ebbline.sources.bucketed import write_bucketed
 from ebbline.sources.readers import jdbc_options, load_features, read_csv, read_jdbc, read_json
 from ebbline.sources.sample_log import sample_log
 from ebbline.sources.scratch import drop_scratch, materialize, scratch_path
@@ -16,4 +17,5 @@ __all__ = [
     "register_view",
     "sample_log",
     "scratch_path",
+    "write_bucketed",
 ]

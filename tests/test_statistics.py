@@ -1,7 +1,9 @@
 """Order statistics, distributions, correlations and metrics against plain recomputation."""
 
+import datetime
 import math
 import random
+import struct
 
 import numpy as np
 import pandas as pd
@@ -10,6 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import MinMaxScaler
 from pyspark.sql import functions as F
 
+from ebbline.functions.columns import double_order
 from ebbline.operators import clean, metrics, neighbours, profile, ranking, transform
 from ebbline.operators import correlation as corr
 
@@ -18,13 +21,13 @@ def numbers(spark, values, name="x", kind="double"):
     return spark.createDataFrame([(v,) for v in values], f"{name} {kind}")
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 64])
-def test_quantiles_for_any_bucket_count(spark, buckets):
+@pytest.mark.parametrize("group_rows", [1, 20, 1 << 16])
+def test_quantiles_for_any_group_size(spark, group_rows):
     rng = random.Random(3)
     values = [rng.choice([0.0, 1.0, rng.gauss(0, 1), rng.lognormvariate(0, 5)]) for _ in range(500)]
     counts = numbers(spark, values, "value").groupBy("value").agg(F.count("*").alias("n"))
     wanted = {"a": 0.0, "b": 0.01, "c": 0.25, "d": 0.5, "e": 0.99, "f": 1.0}
-    row = ranking.exact_quantiles(counts, wanted, buckets=buckets).first()
+    row = ranking.exact_quantiles(counts, wanted, group_rows=group_rows).first()
     for name, p in wanted.items():
         assert row[name] == pytest.approx(pd.Series(values).quantile(p), rel=1e-12)
 
@@ -35,18 +38,74 @@ def test_quantiles_when_one_value_holds_most_rows(spark):
     assert row.m == 5.0 and row.h == pytest.approx(pd.Series(values).quantile(0.97))
 
 
-def test_running_totals(spark):
-    values = random.Random(1).sample(range(10000), 300)
+@pytest.mark.parametrize("group_rows", [1, 8, 1 << 16])
+def test_running_totals(spark, group_rows):
+    values = random.Random(1).sample(range(-10000, 10000), 300)
     df = numbers(spark, values, "v", "int").withColumn("one", F.lit(1))
-    rows = ranking.running_totals(df, "v", {"one": "rank"}, buckets=8).collect()
+    rows = ranking.running_totals(df, "v", {"one": "rank"}, group_rows=group_rows).collect()
     assert [r.v for r in sorted(rows, key=lambda r: r["rank"])] == sorted(values)
     assert sorted(r["rank"] for r in rows) == list(range(1, 301))
 
 
 def test_index_select(spark):
     df = spark.range(0, 1000).select((F.col("id") * 3).alias("k"), F.lit("x").alias("s")).repartition(5)
-    got = clean.index_select(df, [0, 7, 999, 5000], "k", buckets=8).collect()
+    got = clean.index_select(df, [0, 7, 999, 5000], "k").collect()
     assert sorted(r.k for r in got) == [0, 21, 2997]
+    assert clean.index_select(df.limit(0), [0], "k").collect() == []
+
+
+def test_double_order_keeps_the_order(spark):
+    rng = random.Random(7)
+    values = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3_000)]
+    values = [v for v in values if not math.isnan(v)]
+    values += [s * 2.0**e * f for s in (1, -1) for e in range(-1074, 1024, 3) for f in (1, 1 + 2**-52, 2 - 2**-52) if math.isfinite(2.0**e * f)]
+    values += [0.0, -0.0, 5e-324, -5e-324, math.inf, -math.inf, 1.7976931348623157e308, 2.2250738585072014e-308, math.nan]
+    got = numbers(spark, values).select("x", double_order(F.col("x")).alias("k")).collect()
+    for row in got:
+        if math.isnan(row.x):
+            assert row.k > 2047 << 52
+        else:
+            bits = struct.unpack("<q", struct.pack("<d", abs(row.x)))[0]
+            assert row.k == (-bits if row.x < 0 else bits)
+
+
+def skewed(spark, rows):
+    """Nearly all values share their leading bits; some lie far away."""
+    near = spark.range(rows).select((1 + F.col("id") * 2.0**-50).alias("value"))
+    far = spark.range(200).select((F.pow(F.lit(-3.0), F.col("id"))).alias("value"))
+    return near.union(far).distinct().withColumn("n", F.lit(1).cast("long"))
+
+
+def test_no_group_is_larger_than_asked_for(spark):
+    df = skewed(spark, 40_000).cache()
+    rows = ranking.grouped(df, "value", ["n"], group_rows=500)
+    sizes = rows.groupBy("_shift", "_group").agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+    found = sizes.collect()
+    assert max(r.rows for r in found) <= 500 and sum(r.rows for r in found) == df.count()
+    # Groups do not overlap, so ordering inside them orders everything.
+    found.sort(key=lambda r: r.low)
+    assert all(a.high < b.low for a, b in zip(found, found[1:]))
+    totals = ranking.running_totals(df, "value", {"n": "rank"}, group_rows=500)
+    assert [r["rank"] for r in totals.orderBy("value").collect()] == list(range(1, df.count() + 1))
+    df.unpersist()
+
+
+def test_ranks_of_skewed_values_by_group(spark):
+    df = skewed(spark, 5_000).withColumn("g", F.pmod(F.hash("value"), F.lit(2))).cache()
+    expected = {g: sorted(r.value for r in df.filter(F.col("g") == g).collect()) for g in (0, 1)}
+    wanted = [(g, k) for g in (0, 1) for k in (0, 17, 2_000, len(expected[g]) - 1, 10**6)]
+    ranks = spark.createDataFrame(wanted, "g int, rank long")
+    for group_rows in (1, 300, 1 << 16):
+        got = {(r.g, r["rank"]): r.value for r in ranking.select_ranks(df, ranks, ["g"], group_rows).collect()}
+        assert got == {(g, k): expected[g][k] for g, k in wanted if k < len(expected[g])}
+    df.unpersist()
+
+
+def test_ranks_of_dates_and_text(spark):
+    df = spark.createDataFrame([(datetime.date(2020, 1, k),) for k in (5, 3, 9)], "d date")
+    assert [r.d.day for r in clean.index_select(df, [1], "d").collect()] == [5]
+    with pytest.raises(TypeError, match="string"):
+        clean.index_select(df.select(F.col("d").cast("string")), [0], "d")
 
 
 def test_describe_matches_pandas(spark):

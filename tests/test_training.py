@@ -1,6 +1,11 @@
 """Models on separable points and on the derived log."""
 
+import math
+
+import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from ebbline.operators import metrics
@@ -46,6 +51,7 @@ def test_random_split_option(spark):
         lambda train: t.random_forest(train, trees=5, depth=5),
         lambda train: t.boosted_trees(train, rounds=3),
         lambda train: t.adaboost(train, rounds=3),
+        lambda train: t.real_adaboost(train, rounds=3),
     ],
 )
 def test_models_separate_the_clouds(prepared, fit):
@@ -64,6 +70,34 @@ def test_boosting_beats_one_tree(spark):
     many = t.adaboost(parts.train, rounds=12, rate=1.0, depth=1, cut_every=4)
     assert len(many.trees) > 1
     assert auc(many.transform(parts.train)) > auc(one.transform(parts.train))
+    real = t.real_adaboost(parts.train, rounds=12, rate=1.0, depth=1, cut_every=4)
+    assert len(real.trees) == 12
+    assert auc(real.transform(parts.train)) > auc(many.transform(parts.train))
+
+
+def test_real_boosting_follows_its_formula(spark):
+    """Weights and margins of every round, recomputed from the trees in plain Python."""
+    rows = [(str(i), float(i % 5 < 2) if i % 7 else 1.0, Vectors.dense([float(i % 5), float(i % 3)])) for i in range(60)]
+    train = spark.createDataFrame(rows, ["userId", "label", "scaled_features"]).coalesce(1)
+    model = t.real_adaboost(train, rounds=3, rate=0.5, depth=1, cut_every=2)
+    assert len(model.trees) == 3
+    weights, margin = {r[0]: 1.0 for r in rows}, {r[0]: 0.0 for r in rows}
+    for tree in model.trees:
+        leaf = {r.userId: r.leaf for r in tree.copy().setLeafCol("leaf").transform(train).collect()}
+        for value in set(leaf.values()):
+            inside = [r for r in rows if leaf[r[0]] == value]
+            ones = sum(weights[i] for i, y, _ in inside if y == 1) / sum(weights[i] for i, _, _ in inside)
+            ones = min(max(ones, 2.0**-52), 1 - 2.0**-52)
+            for i, y, _ in inside:
+                half = math.log(ones / (1 - ones)) / 2
+                margin[i] += 0.5 * half
+                weights[i] *= math.exp(-0.5 * (2 * y - 1) * half)
+    for r in model.transform(train).select("userId", vector_to_array("probability")[1].alias("p")).collect():
+        assert r.p == pytest.approx(1 / (1 + math.exp(-2 * margin[r.userId])), abs=1e-9)
+
+
+def test_real_boosting_ends_with_a_tree_without_errors(prepared):
+    assert len(t.real_adaboost(prepared.train, rounds=10, cut_every=3).trees) == 1
 
 
 def test_grid_search(prepared):
@@ -115,6 +149,19 @@ def test_pca_ratios_sum_to_one(spark):
     ratios = [r.ratio for r in t.pca_variance(df, ["a", "b", "c"]).orderBy("component").collect()]
     assert sum(ratios) == pytest.approx(1.0) and ratios == sorted(ratios, reverse=True)
     assert t.pca_variance(df, ["a", "b", "c"], k=2).count() == 2
+    doubled = df.union(df).union(spark.createDataFrame([(None, 2.0, 0.5)], df.schema))
+    filled = df.union(spark.createDataFrame([(0.0, 2.0, 0.5)], df.schema))
+    assert t.pca_variance(doubled, ["a", "b", "c"]).collect() == t.pca_variance(filled, ["a", "b", "c"]).collect()
+
+
+def test_leading_components_of_wide_vectors(spark):
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(300, 3)) @ draw.normal(size=(3, 60)) + 0.1 * draw.normal(size=(300, 60))
+    x[:, 7] = 4.0
+    df = spark.createDataFrame([(Vectors.dense(r),) for r in x], ["v"])
+    values = np.linalg.eigvalsh(np.corrcoef(np.delete(x, 7, axis=1).T))[::-1]
+    got = [r.ratio for r in t.leading_variance(df, "v", 3).orderBy("component").collect()]
+    assert got == pytest.approx(values[:3] / values.sum(), abs=1e-4)
 
 
 def test_default_features_are_all_numeric_columns(spark, caplog):
