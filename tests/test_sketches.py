@@ -119,6 +119,7 @@ def test_odd_points(spark):
         (1, 1, 2, 0.0), (1, 2, 3, 1.0), (2, 1, 1, 0.0), (2, 2, 3, 1.0), (3, 1, 1, 1.0), (3, 2, 2, 1.0)
     ]
     assert near_points.near_points(df.limit(0), df, "id", "v").collect() == []
+    assert near_points.near_points(df, df.limit(0), "id", "v").collect() == []
 
 
 @pytest.fixture(scope="module")
