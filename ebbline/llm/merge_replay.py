@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 
@@ -152,6 +153,17 @@ def _codec(path: str) -> Codec:
     return module._codecs[path]
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and texts, null ones as empty, of about ``BATCH_CHARS`` characters at once; a longer text comes alone."""
+    start, chars = 0, 0
+    texts = [text or "" for text in batch.column(1).to_pylist()]
+    for stop, text in enumerate(texts, 1):
+        chars += len(text)
+        if chars >= BATCH_CHARS or stop == len(texts):
+            yield batch.column(0).slice(start, stop - start), texts[start:stop]
+            start, chars = stop, 0
+
+
 def encode(documents: DataFrame, rank_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Ids of every text: ``(id, n_tokens, ids)``, one row per input row, without special tokens.
 
@@ -166,21 +178,10 @@ def encode(documents: DataFrame, rank_path: str, id_column: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(rank_path)
         for batch in batches:
-            start, chars = 0, 0
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for stop, text in enumerate(texts, 1):
-                chars += len(text)
-                if chars >= BATCH_CHARS or stop == len(texts):
-                    ids = codec.encode_all(texts[start:stop])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).slice(start, stop - start),
-                            pa.array([len(i) // 4 for i in ids], pa.int64()),
-                            pa.array(ids, pa.binary()),
-                        ],
-                        names,
-                    )
-                    start, chars = stop, 0
+            for keys, texts in _parts(batch):
+                ids = codec.encode_all(texts)
+                counts = pa.array([len(i) // 4 for i in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays([keys, counts, pa.array(ids, pa.binary())], names)
 
     kind = documents.schema[id_column].dataType.simpleString()
     rows = documents.select(documents[id_column], documents[text_column])
@@ -206,8 +207,24 @@ def decode(encoded: DataFrame, rank_path: str, id_column: str = "doc_id") -> Dat
 
 
 def digests(documents: DataFrame, rank_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``(id, n_tokens, ids_sha256, decoded_sha256)`` of encoding every text and decoding its ids."""
-    decoded = decode(encode(documents, rank_path, id_column, text_column), rank_path, id_column)
-    return decoded.select(
-        id_column, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    """``(id, n_tokens, ids_sha256, decoded_sha256)`` of encoding every text and decoding its ids.
+
+    Both are done by one worker with one codec, so a core holds one vocabulary and one cache, and only digests leave
+    it. Null and empty texts have no ids and the digests of nothing; null ids stay null; repeated rows give repeated
+    results; an empty table gives an empty result; other columns are not read.
+    """
+    ship(documents.sparkSession)
+    names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(rank_path)
+        for batch in batches:
+            for keys, texts in _parts(batch):
+                ids = codec.encode_all(texts)
+                sums = [[hashlib.sha256(i).hexdigest() for i in ids], [hashlib.sha256(codec.decode(i)).hexdigest() for i in ids]]
+                counts = pa.array([len(i) // 4 for i in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays([keys, counts, *(pa.array(s, pa.string()) for s in sums)], names)
+
+    kind = documents.schema[id_column].dataType.simpleString()
+    rows = documents.select(documents[id_column], documents[text_column])
+    return rows.mapInArrow(run, f"`{id_column}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
