@@ -50,16 +50,37 @@ def lines_of(text: str | Column) -> Column:
     return F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), "\n", -1)
 
 
-def without_lines(documents: DataFrame, dropped: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``documents`` with the text's lines at the 0-based positions ``dropped(line_id, line_positions)`` removed.
+def line_key(key: Column, group: Column, text: Column) -> Column:
+    """A key of a row's lines: its id with a digest of what decides about them, so that rows that share an id but not
+    their text stay apart. Null where the id is."""
+    parts = F.concat_ws("\n", F.coalesce(group.cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
+    return F.concat(key.cast("string"), F.lit(":"), F.md5(parts))
+
+
+def without_positions(lines: Column, positions: Column) -> Column:
+    """``lines`` without those at the ascending 0-based ``positions``, in one pass: the stretches between them."""
+    held = F.struct(lines.alias("lines"), F.concat(F.array(F.lit(-1)), positions, F.array(F.size(lines))).alias("at"))
+
+    def cut(h: Column) -> Column:
+        def stretch(k: Column) -> Column:
+            return F.slice(h["lines"], h["at"][k - 1] + 2, h["at"][k] - h["at"][k - 1] - 1)
+
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(h["at"]) - 1), stretch))
+
+    # Bound by an outer lambda, so that the lines are split once and not once per stretch.
+    return F.transform(F.array(held), cut)[0]
+
+
+def without_lines(documents: DataFrame, dropped: DataFrame, key: Column, text_column: str) -> DataFrame:
+    """``documents`` with the text's lines at the ascending 0-based positions ``dropped(line_id, line_positions)``
+    removed, ``line_id`` being the row's ``key``.
 
     Texts without a dropped line, null texts among them, stay byte for byte. All columns keep their names and order.
     """
     names = documents.columns
-    wide = documents.join(dropped, documents[id_column] == dropped["line_id"], "left")
-    lines = lines_of(documents[text_column])
-    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col("line_positions"), i))
-    text = F.when(F.col("line_positions").isNull(), documents[text_column]).otherwise(F.array_join(kept, "\n"))
+    wide = documents.join(dropped, key == dropped["line_id"], "left")
+    kept = F.array_join(without_positions(lines_of(documents[text_column]), F.col("line_positions")), "\n")
+    text = F.when(F.col("line_positions").isNull(), documents[text_column]).otherwise(kept)
     return wide.select(*(text.alias(n) if n == text_column else documents[n] for n in names))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import lines_of, small, without_lines, written
+from ebbline.llm.common import line_key, lines_of, small, without_lines, without_positions, written
 
 #: A line is boilerplate on a host where more than RATIO of the pages, and at least LEAST_PAGES, hold it.
 RATIO = 0.1
@@ -19,7 +19,8 @@ def boilerplate_positions(
 
     Pages with a line, each counted once, are divided by all pages of the host. Lines are compared without white
     space at their ends; blank lines are never boilerplate. Pages with a null host belong to no site and keep all
-    lines; rows with a null key count as pages of their host but yield no positions; repeated rows count as pages.
+    lines; rows with a null key count as pages of their host but yield no positions; repeated rows count as pages and, under
+    one key, have one row of positions, the same for all of them.
     Counts are combined in each task before they are shuffled by a 128-bit digest of the line, so a host or a line
     that fills a third of the table is one row per task; the way back to the lines is a join that broadcasts the
     boilerplate if it is counted to be small and else may be split where it is skewed.
@@ -48,11 +49,12 @@ def drop_boilerplate(
     least_pages: int = LEAST_PAGES,
 ) -> DataFrame:
     """``documents`` with the boilerplate lines of each host cut from the texts. No row is dropped: a text made of
-    boilerplate only becomes empty, a null text stays null."""
-    positions = boilerplate_positions(
-        documents, documents[id_column], documents[host_column], lines_of(documents[text_column]), ratio, least_pages
-    )
-    return without_lines(documents, positions, id_column, text_column)
+    boilerplate only becomes empty, a null text stays null. Rows that share an id are cut each by its own text; rows
+    without an id stay whole; an empty table gives an empty result; extra columns stay, whatever their names."""
+    key = line_key(documents[id_column], documents[host_column], documents[text_column])
+    lines = lines_of(documents[text_column])
+    positions = boilerplate_positions(documents, key, documents[host_column], lines, ratio, least_pages)
+    return without_lines(documents, positions, key, text_column)
 
 
 def page_lines(html: str | Column) -> Column:
@@ -72,17 +74,20 @@ def url_host(url: str | Column) -> Column:
 
 def page_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``(page_id, host, n_lines, n_dropped, text)`` per page of ``(page_id, url, html)``: its text without the
-    host's boilerplate lines. Null pages have no lines."""
-    rows = pages.select("page_id", url_host("url").alias("host"), page_lines("html").alias("lines"))
-    rows = written(rows, "page-lines")
-    positions = boilerplate_positions(rows, F.col("page_id"), F.col("host"), F.col("lines"), ratio, least_pages)
-    wide = rows.join(positions, F.col("page_id") == F.col("line_id"), "left")
+    host's boilerplate lines. Null pages have no lines; pages without an id or a host keep all; pages that share an id
+    are cut each by its own lines; an empty table gives an empty result; other columns are not read."""
+    rows = pages.select(
+        pages["page_id"].alias("page_id"), url_host(pages["url"]).alias("host"), page_lines(pages["html"]).alias("lines")
+    )
+    keyed = rows.withColumn("line_key", line_key(F.col("page_id"), F.col("host"), F.array_join("lines", "\n")))
+    rows = written(keyed, "page-lines")
+    positions = boilerplate_positions(rows, F.col("line_key"), F.col("host"), F.col("lines"), ratio, least_pages)
+    wide = rows.join(positions, F.col("line_key") == F.col("line_id"), "left")
     dropped = F.coalesce("line_positions", F.array().cast("array<int>"))
-    kept = F.filter("lines", lambda _, i: ~F.array_contains(dropped, i))
     return wide.select(
         "page_id",
         "host",
         F.size("lines").cast("long").alias("n_lines"),
         F.size(dropped).cast("long").alias("n_dropped"),
-        F.array_join(kept, "\n").alias("text"),
+        F.array_join(without_positions(F.col("lines"), dropped), "\n").alias("text"),
     )

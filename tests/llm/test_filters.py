@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from pathlib import Path
 
@@ -9,6 +10,7 @@ import corpus_pipeline
 import pytest
 from brute import classes
 from compare import connect, differences
+from pyspark.sql import functions as F
 
 from ebbline.llm import decontaminate, site_lines, toxicity
 from ebbline.llm.queries import ORACLES, QUERIES
@@ -51,6 +53,31 @@ def test_lines_match_brute_force(spark):
     assert site_lines.drop_boilerplate(table.limit(0), "source").collect() == []
 
 
+def test_rows_that_share_an_id_keep_their_own_lines(spark):
+    rows = [(1, "s", "menu\nown 1"), (1, "s", "precious\nmenu"), (1, "s", "precious\nmenu"), (1, "t", "precious\nmenu")]
+    rows += [(k, "s", f"menu\nown {k}") for k in range(2, 9)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = site_lines.drop_boilerplate(table, "source", ratio=0.5, least_pages=5).collect()
+    expected = [(1, "s", "own 1"), (1, "s", "precious"), (1, "s", "precious"), (1, "t", "precious\nmenu")]
+    assert sorted((r.doc_id, r.source, r.text) for r in got) == expected + [(k, "s", f"own {k}") for k in range(2, 9)]
+    pages = table.select(
+        table.doc_id.alias("page_id"), F.concat(F.lit("http://h"), "source", F.lit("/x")).alias("url"), F.col("text").alias("html"), F.lit(1).alias("line_key")
+    )
+    kept = site_lines.page_boilerplate(pages, ratio=0.5, least_pages=5).collect()
+    assert sorted(r.text for r in kept if r.page_id == 1) == ["own 1", "precious", "precious", "precious\nmenu"]
+    assert site_lines.page_boilerplate(pages.limit(0)).collect() == []
+
+
+def test_very_long_texts_lose_lines_in_one_pass(spark):
+    lines = [f"menu {k}" if k % 2 else f"own {k}" for k in range(200_000)]
+    rows = [(1, "s", "\n".join(lines))] + [(k, "s", "\n".join(f"menu {j}" for j in range(1, 200_000, 2))) for k in range(2, 6)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    start = time.time()
+    got = {r.doc_id: r.text for r in site_lines.drop_boilerplate(table, "source", ratio=0.5, least_pages=5).collect()}
+    assert time.time() - start < 60
+    assert got == {1: "\n".join(line for line in lines if line.startswith("own"))} | {k: "" for k in range(2, 6)}
+
+
 def test_lines_of_null_ids_and_small_hosts(spark):
     rows = [(None, "s", "x"), (1, "s", "x"), (2, "s", "x"), (3, "t", "x")]
     table = spark.createDataFrame(rows, "doc_id long, source string, text string")
