@@ -10,7 +10,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ebbline.llm.common import ship
 from ebbline.llm.pieces import PieceCache, split_byte_level
