@@ -23,6 +23,7 @@ RUNS = 2
 
 HEADLINE = (
     "user_features",
+    "user_features_bucketed",
     "feature_matrix",
     "core_features",
     "churn_label",

@@ -1,6 +1,7 @@
 """Every query against its SQL form, and rows from those without one."""
 
 from dataclasses import replace
+from functools import partial
 
 import pytest
 from compare import connect, differences
@@ -28,7 +29,7 @@ def test_matches_sql(spark, database, name):
     assert differences(QUERIES[name](spark, SF_DIR), database, ORACLES[name]) == []
 
 
-#: Whole searches of these take minutes; here they have a corner of their grid, the README has the times.
+#: Whole searches and a hundred rounds take minutes; here they are a corner of theirs, the README has the times.
 CORNERS = {
     "random_forest": {"numTrees": [10, 20], "maxDepth": [10], "impurity": ["gini"]},
     "gbm": {"stepSize": [0.1], "maxIter": [5, 10], "maxDepth": [3, 4]},
@@ -39,4 +40,8 @@ CORNERS = {
 def test_gives_rows(spark, name, monkeypatch):
     for plan, grid in CORNERS.items():
         monkeypatch.setitem(training.PLANS, plan, replace(training.PLANS[plan], grid=grid))
+    boosted = partial(training.real_adaboost, rounds=5)
+    monkeypatch.setattr(training, "real_adaboost", boosted)
+    monkeypatch.setitem(training.MODEL_PLAN, "AdaBoostClassifier", boosted)
+    monkeypatch.setitem(training.MODEL_PLAN, "GradientBoostingClassifier", partial(training.boosted_trees, rounds=5))
     assert QUERIES[name](spark, SF_DIR).count() > 0
