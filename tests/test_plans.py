@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 MODELS = [n for n in QUERIES if n.startswith("train_") and n != "train_test_split"]
 GROUPED_PYTHON = ("FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas", "FlatMapGroupsInArrow", "MapInPandas", "MapInArrow")
 #: Distances of bounded blocks are computed as arrays.
-IN_BLOCKS = {"knn_classify"}
+IN_BLOCKS = {"knn_classify", "near_embeddings"}
 EAGER = {*MODELS, "leaderboard", "cv_scores", "feature_importance", "predictions"}
 
 
