@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Sequence
@@ -92,3 +93,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def pick(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Only the named columns, so that other columns cannot clash with those an operator adds."""
     return df.select(*(df[n] for n in names))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished passes: they go once the driver's references are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import lines_of, ship, small, written
+from ebbline.llm.common import lines_of, pick, release, ship, small, written
 from ebbline.llm.components import components
-from ebbline.llm.forest_join import sets_of
-from ebbline.llm.shingles import min_hashes, set_hash, shingles, word_hashes
-from ebbline.llm.verify import batches_of, candidate_components, verified_links
+from ebbline.llm.shingles import flat_min_hashes, flat_set_hashes, flat_shingles, flat_words, mixed
+from ebbline.llm.verify import batches_of, verified_links
 
 THRESHOLD = 0.8
 #: Lines with fewer words are left alone: blank ones and those of signs only.
@@ -26,7 +26,8 @@ ROWS = 4
 #: before. Where it begins depends on its own words only, so a passage is cut alike wherever it stands.
 SENTENCE_BYTES = 60
 _END = re.compile(r"""[.!?…]+["'”’»)\]]*\s+|[。！？]+["”’」』）]*\s*""")
-#: What a row of ``paragraph_sets`` is: a line of several paragraphs, a line that is one, or one inside a line.
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: What a row of ``paragraph_places`` is: a line of several paragraphs, a line that is one, or one inside a line.
 LONG, LINE, PIECE = range(3)
 
 
@@ -48,81 +49,174 @@ def pieces_of(line: str) -> list[int]:
     return starts
 
 
-def paragraph_sets(documents: DataFrame, id_column: str, text_column: str, least_words: int, bands: int, rows: int, threshold: float) -> DataFrame:
-    """``(doc, at, start, length, kind, line_length, line_crc, node, bands)``: for each long enough line, and each
-    paragraph inside one, its place, the hash of its shingle set and one hash per band. Sets that are too small to
-    reach the threshold with any other have no bands."""
+def paragraph_places(documents: DataFrame, id_column: str, text_column: str, least_words: int, threshold: float) -> DataFrame:
+    """``(doc, text_key, at, start, length, kind, line_length, node, signed)``: for each long enough line, and each
+    paragraph inside one, its place, the hash of its shingle set, and whether the set is large enough to reach the
+    threshold with any other."""
     ship(documents.sparkSession)
-    names = ["doc", "at", "start", "length", "kind", "line_length", "line_crc", "node", "bands"]
+    names = ["doc", "text_key", "at", "start", "length", "kind", "line_length", "node", "signed"]
     least_set = math.ceil(threshold / (1 - threshold) - 1e-9) if threshold < 1 else math.inf
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
+            texts = [text or "" for text in batch.column(2).to_pylist()]
             for part in batches_of(texts):
                 units, owners, places = [], [], []
                 for k in range(part.start, part.stop):
                     for at, line in enumerate(texts[k].split("\n")):
                         starts = pieces_of(line)
-                        of_line = (len(line), zlib.crc32(line.encode()))
                         spans = [(0, len(line), LONG if len(starts) > 1 else LINE)]
                         if len(starts) > 1:
                             spans += [(x, y - x, PIECE) for x, y in zip(starts, [*starts[1:], len(line)], strict=True)]
                         units += [line[x : x + n] for x, n, _ in spans]
                         owners += [k] * len(spans)
-                        places += [(at, *span, *of_line) for span in spans]
-                words = word_hashes(units)
-                kept = [k for k, w in enumerate(words) if len(w) >= least_words]
-                sets = [shingles(words[k]) for k in kept]
-                signed = iter(min_hashes([s for s in sets if len(s) >= least_set], bands * rows))
-                numbers = zip(*(places[k] for k in kept), strict=True) if kept else [[]] * 6
-                kinds = [pa.int32()] * 5 + [pa.int64()]
+                        places += [(at, *span, len(line)) for span in spans]
+                hashes, counts = flat_words(units)
+                flat, sizes = flat_shingles(hashes, counts)
+                kept = np.flatnonzero(counts >= least_words)
+                own = pa.array(np.array(owners, np.int64)[kept])
+                numbers = np.array(places, np.int32).reshape(-1, 5)[kept]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array([owners[k] for k in kept], pa.int64())),
-                        *(pa.array(x, kind) for x, kind in zip(numbers, kinds, strict=True)),
-                        pa.array([set_hash(s) for s in sets], pa.int64()),
-                        pa.array([next(signed).tobytes() if len(s) >= least_set else None for s in sets], pa.binary()),
+                        batch.column(0).take(own),
+                        batch.column(1).take(own),
+                        *(pa.array(np.ascontiguousarray(column)) for column in numbers.T),
+                        pa.array(flat_set_hashes(flat, sizes)[kept]),
+                        pa.array(sizes[kept] >= least_set),
                     ],
                     names,
                 )
 
     kind = documents.schema[id_column].dataType.simpleString()
-    rows_of = documents.select(documents[id_column], documents[text_column]).where(documents[id_column].isNotNull())
-    return rows_of.mapInArrow(
-        run, f"doc {kind}, at int, start int, length int, kind int, line_length int, line_crc long, node long, bands binary"
+    rows = documents.select(documents[id_column], text_key(documents[text_column]), documents[text_column])
+    return rows.where(documents[id_column].isNotNull()).mapInArrow(
+        run, f"doc {kind}, text_key long, at int, start int, length int, kind int, line_length int, node long, signed boolean"
     )
 
 
+def text_key(text: Column) -> Column:
+    """Tells rows apart that share an id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def units_in(texts: Sequence[str], places: Sequence[Sequence[dict]]) -> Iterator[tuple[list[str], list[dict]]]:
+    """The wanted units of many texts, some texts at a time."""
+    for part in batches_of(texts):
+        units, found = [], []
+        for text, wanted in zip(texts[part], places[part], strict=True):
+            lines = text.split("\n")
+            units += [lines[p["at"]][p["start"] : p["start"] + p["length"]] for p in wanted]
+            found += wanted
+        yield units, found
+
+
+def with_places(documents: DataFrame, nodes: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``(text, places)``: each text that holds the first unit of one of ``nodes(first, ...)``, with these units'
+    places and what else ``nodes`` has. The list of a row is bounded by its text."""
+    place = [F.col(f"first.{name}").alias(name) for name in ("at", "start", "length")]
+    others = [name for name in nodes.columns if name != "first"]
+    wanted = nodes.groupBy(F.col("first.doc").alias("of_doc"), F.col("first.text_key").alias("of_key"))
+    wanted = wanted.agg(F.collect_list(F.struct(*place, *others)).alias("places"))
+    texts = documents.select(documents[id_column].alias("id"), text_key(documents[text_column]).alias("key"), documents[text_column].alias("text"))
+    return texts.join(wanted, (F.col("id") == F.col("of_doc")) & (F.col("key") == F.col("of_key"))).select("text", "places")
+
+
+def band_links(texts: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``(a, b)``: links that join all nodes of ``texts(text, places)`` that share a band of ``rows`` min-hashes.
+
+    A task hangs the nodes that share a band among the texts it holds under the least of them and sends only that
+    one on, so a band that very many nodes share sends few rows to the task that holds it; there the rows lie in
+    order and pass one by one. A shuffled row is a key and a node.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_texts = [text or "" for text in batch.column(0).to_pylist()]
+            for units, places in units_in(all_texts, batch.column(1).to_pylist()):
+                flat, sizes = flat_shingles(*flat_words(units))
+                signed = flat_min_hashes(flat, sizes, bands * rows).astype(np.uint64).reshape(-1, bands, rows)
+                keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(signed), 1))
+                for k in range(rows):
+                    keys = mixed(keys * _STEP + signed[:, :, k])
+                key, node = keys.reshape(-1).view(np.int64), np.repeat(np.array([p["node"] for p in places], np.int64), bands)
+                order = np.lexsort((node, key))
+                key, node = key[order], node[order]
+                first = np.diff(key, prepend=key[:1] - 1) != 0
+                least = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+                sent = first | (node != least)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[sent]), pa.array(node[sent]), pa.array(least[sent], mask=first[sent])], ["key", "node", "least"]
+                )
+
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, root = None, None
+        for batch in batches:
+            settled = np.asarray(batch.column(2).is_valid())
+            done = batch.filter(pa.array(settled))
+            key, node = (c.to_numpy()[~settled] for c in batch.columns[:2])
+            if len(key):
+                first = np.diff(key, prepend=key[:1]) != 0
+                first[0] = True
+                least = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+                if key[0] == last:
+                    least[key == last] = root
+                last, root = key[-1], least[-1]
+                hung = node != least
+                yield pa.RecordBatch.from_arrays([pa.array(least[hung]), pa.array(node[hung])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([done.column(2), done.column(1)], ["a", "b"])
+
+    keyed = texts.mapInArrow(run, "key long, node long, least long")
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(stars, "a long, b long")
+
+
+def unit_sets(texts: DataFrame) -> DataFrame:
+    """``(node, component, weight, n_shingles, shingles)`` of the nodes of ``texts(text, places)``."""
+    names = ["node", "component", "weight", "n_shingles", "shingles"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_texts = [text or "" for text in batch.column(0).to_pylist()]
+            for units, places in units_in(all_texts, batch.column(1).to_pylist()):
+                flat, sizes = flat_shingles(*flat_words(units))
+                ends = np.cumsum(sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([p["node"] for p in places], pa.int64()),
+                        pa.array([p["component"] for p in places], pa.int64()),
+                        pa.array(np.ones(len(places), np.int64)),
+                        pa.array(sizes.astype(np.int64)),
+                        pa.array([flat[y - n : y].tobytes() for y, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary()),
+                    ],
+                    names,
+                )
+
+    return texts.mapInArrow(run, "node long, component long, weight long, n_shingles long, shingles binary")
+
+
 def later_copies(found: DataFrame, documents: DataFrame, threshold: float, bands: int, id_column: str, text_column: str) -> DataFrame:
     """Rows of ``found``, a written table, for every paragraph of a cluster but the first, with ``least``: the
-    document, line and start of the first."""
-    nodes = found.groupBy("node").agg(
-        F.min(F.struct("doc", "at", "start", "length")).alias("first"), F.count("*").alias("copies"), F.max("bands").alias("bands")
-    )
+    document, text, line and start of the first. Only one paragraph of each distinct set is signed."""
+    ship(documents.sparkSession)
+    place = F.struct("doc", "text_key", "at", "start", "length")
+    nodes = found.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.max("signed").alias("signed"))
     nodes = written(nodes, "paragraph-nodes")
-    width = F.lit(4 * ROWS)
-    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.substring("bands", b * 4 * ROWS + 1, width)))
-    banded = nodes.where("bands is not null").select("node", F.explode(keys).alias("key"))
-    candidates = written(candidate_components(banded), "components")
+    release(documents.sparkSession)
+    signed = with_places(documents, nodes.where("signed").select("first", "node"), id_column, text_column)
+    candidates = written(components(written(band_links(signed, bands, ROWS), "band-links")), "components")
+    release(documents.sparkSession)
     members = nodes.join(small(candidates.withColumnRenamed("node", "n")), F.col("node") == F.col("n"))
-    place = [F.col(f"first.{name}").alias(name) for name in ("at", "start", "length")]
-    members = members.select(F.col("first.doc").alias("of_id"), F.struct(*place, "node", "component").alias("m"))
-    members = small(written(members, "members"))
-    texts = documents.select(documents[id_column].alias("id"), documents[text_column].alias("text"))
-    texts = texts.join(members, F.col("id") == F.col("of_id"))
-    text = F.substr(F.get(lines_of("text"), F.col("m.at")), F.col("m.start") + 1, F.col("m.length"))
-    texts = texts.select("m.node", "m.component", F.lit(1).cast("long").alias("weight"), text.alias("text"))
-    _, links = verified_links(sets_of(texts).dropDuplicates(["node"]), threshold)
+    members = written(members.select("first", "node", "component"), "members")
+    sets = unit_sets(with_places(documents, members, id_column, text_column))
+    _, links = verified_links(sets.dropDuplicates(["node"]), threshold)
     classes = components(links)
     named = nodes.join(classes.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     named = named.where("copies > 1 or component is not null")
-    least = F.struct("first.doc", "first.at", "first.start").alias("least")
+    least = F.struct("first.doc", "first.text_key", "first.at", "first.start").alias("least")
     named = written(named.select("node", least, F.coalesce("component", "node").alias("class")), "classes")
     heads = named.groupBy(F.col("class").alias("head")).agg(F.min("least").alias("least"))
     named = named.drop("least").join(heads, F.col("class") == F.col("head")).select(F.col("node").alias("k"), "least")
     later = found.join(small(written(named, "heads")), F.col("node") == F.col("k"))
-    return later.where(F.struct("doc", "at", "start") > F.col("least")).drop("k")
+    return later.where(F.struct("doc", "text_key", "at", "start") > F.col("least")).drop("k")
 
 
 def repeated_paragraphs(
@@ -133,7 +227,7 @@ def repeated_paragraphs(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """``(line_id, at, class_id, class_at, start, length, line_length, line_crc)`` for every paragraph of a cluster
+    """``(line_id, text_key, at, class_id, class_at, start, length, line_length)`` for every paragraph of a cluster
     but the first: its document and 0-based line, and those of the first, by document id, line and place in it.
     ``start`` is null for a whole line, else it and ``length`` tell the characters of the line that repeat.
 
@@ -141,67 +235,85 @@ def repeated_paragraphs(
     (``pieces_of``), so that what keeps a cluster's first piece is never a line that goes. Those with one set of
     five-word shingles are copies and go on as one node; nodes that collide in a band of min-hashes are candidates,
     all pairs of a candidate component are verified by exact Jaccard similarity in blocks, and verified links are
-    joined to clusters. Documents with a null id, null and empty texts have no paragraphs here; rows that repeat an
-    id are taken as one document.
+    joined to clusters. Documents with a null id, null and empty texts have no paragraphs here. Rows that share an
+    id but not their text are documents of their own, in the order of ``text_key``, a hash of the text; rows that
+    repeat both are one document.
     """
     bands = bands_for(threshold, recall)
-    found = written(paragraph_sets(documents, id_column, text_column, least_words, bands, ROWS, threshold), "paragraphs")
+    found = written(paragraph_places(documents, id_column, text_column, least_words, threshold), "paragraphs")
     options = (documents, threshold, bands, id_column, text_column)
     lines = written(later_copies(found.where(F.col("kind") != PIECE), *options), "later-lines")
-    gone = lines.select(F.col("doc").alias("gone_doc"), F.col("at").alias("gone_at")).distinct()
-    stay = (F.col("doc") == F.col("gone_doc")) & (F.col("at") == F.col("gone_at"))
+    gone = lines.select(*(F.col(n).alias(f"gone_{n}") for n in ("doc", "text_key", "at"))).distinct()
+    stay = [F.col(n) == F.col(f"gone_{n}") for n in ("doc", "text_key", "at")]
     pieces = written(found.where(F.col("kind") != LONG).join(gone, stay, "left_anti"), "pieces")
-    pieces = later_copies(pieces, *options)
+    pieces = written(later_copies(pieces, *options), "later-pieces")
+    release(documents.sparkSession)
     inside = F.when(F.col("kind") == PIECE, F.col("start"))
     return lines.unionByName(pieces).select(
         F.col("doc").alias("line_id"),
+        "text_key",
         "at",
         F.col("least.doc").alias("class_id"),
         F.col("least.at").alias("class_at"),
         inside.alias("start"),
         "length",
         "line_length",
-        "line_crc",
     )
 
 
 def removed_places(later: DataFrame) -> DataFrame:
-    """``(line_id, line_positions, cuts, firsts)`` per document: lines that go, ``(at, start, length, line_crc)`` of
-    what goes inside others, and the documents of the firsts. A line all of whose pieces go is a line that goes."""
-    per = later.groupBy("line_id", "at", "line_crc").agg(
+    """``(line_id, line_key, line_positions, cuts, firsts)`` per text: lines that go, line, start and length of each
+    run that goes inside others, one behind the other, and the documents of the firsts. A line all of whose pieces go
+    is a line that goes."""
+    per = later.groupBy("line_id", "text_key", "at").agg(
         F.max(F.col("start").isNull()).alias("whole"),
-        F.collect_set(F.when(F.col("start").isNotNull(), F.struct("at", "start", "length", "line_crc"))).alias("cuts"),
+        F.collect_set(F.when(F.col("start").isNotNull(), F.struct("at", "start", "length"))).alias("cuts"),
         F.max("line_length").alias("line_length"),
         F.collect_set("class_id").alias("firsts"),
     )
     cut = F.aggregate("cuts", F.lit(0), lambda n, c: n + c["length"])
     per = per.withColumn("whole", F.col("whole") | (cut == F.col("line_length")))
-    return per.groupBy("line_id").agg(
+    cuts = F.sort_array(F.flatten(F.collect_list(F.when(~F.col("whole"), F.col("cuts")))))
+    return per.groupBy("line_id", F.col("text_key").alias("line_key")).agg(
         F.array_sort(F.collect_set(F.when(F.col("whole"), F.col("at")))).alias("line_positions"),
-        F.sort_array(F.flatten(F.collect_list(F.when(~F.col("whole"), F.col("cuts")))), asc=False).alias("cuts"),
+        F.flatten(F.transform(cuts, lambda c: F.array(c["at"], c["start"], c["length"]))).alias("cuts"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("firsts")))).alias("firsts"),
     )
 
 
-def kept_text(lines: Column) -> Column:
-    """The text that ``line_positions`` and ``cuts`` leave of ``lines``."""
+def edited(text: str, positions: Sequence[int], cuts: Sequence[int]) -> str:
+    """``text`` without the lines at ``positions`` and the runs ``cuts``: line, start and length of each, ascending."""
+    lines, gone = text.split("\n"), set(positions)
+    parts, before = {}, {}
+    for at, start, length in zip(cuts[::3], cuts[1::3], cuts[2::3], strict=True):
+        parts.setdefault(at, []).append(lines[at][before.get(at, 0) : start])
+        before[at] = start + length
+    for at, stop in before.items():
+        lines[at] = "".join([*parts[at], lines[at][stop:]])
+    return "\n".join(line for at, line in enumerate(lines) if at not in gone)
+
+
+def kept_text(text: Column) -> Column:
+    """What ``line_positions`` and ``cuts`` leave of a text; null where nothing goes."""
+
+    @F.pandas_udf("string")
+    def kept(texts: pd.Series, positions: pd.Series, cuts: pd.Series) -> pd.Series:
+        found = zip(texts, positions, cuts, strict=True)
+        return pd.Series([None if t is None else edited(t, p.tolist(), c.tolist()) for t, p, c in found], dtype=object)
+
+    return kept(F.when(F.col("line_positions").isNotNull(), text), "line_positions", "cuts")
 
-    def shorter(line: Column, at: Column) -> Column:
-        own = F.filter("cuts", lambda c: (c["at"] == at) & (c["line_crc"] == F.crc32(line)))
-        cut = lambda t, c: F.concat(F.substr(t, F.lit(1), c["start"]), F.substr(t, c["start"] + c["length"] + 1))
-        return F.when(F.exists("cuts", lambda c: c["at"] == at), F.aggregate(own, line, cut)).otherwise(line)
 
-    marked = F.transform(lines, lambda line, i: F.struct(i.alias("at"), shorter(line, i).alias("line")))
-    stay = F.filter(marked, lambda x: ~F.array_contains("line_positions", x["at"]))
-    return F.array_join(F.transform(stay, lambda x: x["line"]), "\n")
+def _with_removed(documents: DataFrame, later: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    same = (documents[id_column] == F.col("line_id")) & (text_key(documents[text_column]) == F.col("line_key"))
+    return documents.join(removed_places(later), same, "left")
 
 
 def drop_repeated(documents: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``documents`` without all paragraphs of a cluster but its first. No row goes; other columns stay."""
     later = repeated_paragraphs(documents, threshold, id_column=id_column, text_column=text_column)
-    wide = documents.join(removed_places(later), documents[id_column] == F.col("line_id"), "left")
-    own = documents[text_column]
-    text = F.when(F.col("line_positions").isNull() | own.isNull(), own).otherwise(kept_text(lines_of(own)))
+    wide = _with_removed(documents, later, id_column, text_column)
+    text = F.coalesce(kept_text(documents[text_column]), documents[text_column])
     return wide.select(*(text.alias(n) if n == text_column else documents[n] for n in documents.columns))
 
 
@@ -209,16 +321,17 @@ def removals(documents: DataFrame, threshold: float = THRESHOLD, id_column: str
     """``(id, n_lines, n_removed, removed, first_docs, n_cut, kept)`` per row: how many lines, how many of them go,
     which, the documents that keep the first of each cluster, how many pieces go out of other lines, and the text
     that is left."""
+    documents = pick(documents, [id_column, text_column])
     later = repeated_paragraphs(documents, threshold, id_column=id_column, text_column=text_column)
-    wide = documents.join(removed_places(later), documents[id_column] == F.col("line_id"), "left")
-    lines = lines_of(documents[text_column])
+    wide = _with_removed(documents, later, id_column, text_column)
+    text = documents[text_column]
     removed = F.coalesce("line_positions", F.array().cast("array<int>"))
     return wide.select(
         documents[id_column],
-        F.size(lines).cast("long").alias("n_lines"),
+        F.size(lines_of(text)).cast("long").alias("n_lines"),
         F.size(removed).cast("long").alias("n_removed"),
         removed.alias("removed"),
         F.coalesce("firsts", F.array()).alias("first_docs"),
-        F.coalesce(F.size("cuts"), F.lit(0)).cast("long").alias("n_cut"),
-        F.when(F.col("line_positions").isNull(), F.array_join(lines, "\n")).otherwise(kept_text(lines)).alias("kept"),
+        F.coalesce(F.size("cuts") / 3, F.lit(0)).cast("long").alias("n_cut"),
+        F.coalesce(kept_text(text), text, F.lit("")).alias("kept"),
     )

@@ -33,6 +33,12 @@ def powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(texts: Sequence[str]) -> list[np.ndarray]:
     """A 64-bit hash for each word of each text. Words are runs of letters a-z, digits and characters beyond ASCII,
     in lower case; all else separates them."""
+    hashes, counts = flat_words(texts)
+    return np.split(hashes, np.cumsum(counts)[:-1]) if len(counts) else []
+
+
+def flat_words(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of all texts behind one another, and how many words each has."""
     encoded = [text.lower().encode() for text in texts]
     data = np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)
     inside = _WORD[data]
@@ -42,7 +48,7 @@ def word_hashes(texts: Sequence[str]) -> list[np.ndarray]:
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1])])
     hashes = mixed((total[stops] - total[starts]) * inverse[starts] + (stops - starts).astype(np.uint64))
     ends = np.cumsum([len(e) + 1 for e in encoded])
-    return np.split(hashes, np.searchsorted(starts, ends[:-1])) if len(encoded) else []
+    return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
 def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -56,6 +62,31 @@ def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     return np.unique(mixed(total + np.uint64(width)))
 
 
+def flat_shingles(hashes: np.ndarray, counts: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """``shingles`` of many texts whose words lie behind one another, and how many each text has."""
+    per = np.where(counts > 0, np.maximum(counts - width + 1, 1), 0)
+    owner = np.repeat(np.arange(len(counts)), per)
+    at = np.arange(len(owner)) + np.repeat(np.cumsum(counts) - counts - (np.cumsum(per) - per), per)
+    wide = np.minimum(counts, width)[owner]
+    total = np.zeros(len(owner), np.uint64)
+    for k in range(width):
+        inside = wide > k
+        total[inside] = total[inside] * _BASE + hashes[at[inside] + k]
+    found = mixed(total + wide.astype(np.uint64))
+    order = np.lexsort((found, owner))
+    found, owner = found[order], owner[order]
+    first = np.ones(len(found), bool)
+    first[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
+    return found[first], np.bincount(owner[first], minlength=len(counts))
+
+
+def flat_set_hashes(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``set_hash`` of sets that lie behind one another."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(flat), dtype=np.uint64)])
+    ends = np.cumsum(sizes)
+    return mixed(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64) * _BASE).view(np.int64)
+
+
 def set_hash(shingle_set: np.ndarray) -> int:
     """One signed 64-bit number for a set of shingles."""
     total = int(mixed(shingle_set).sum(dtype=np.uint64)) + len(shingle_set) * int(_BASE)
@@ -64,15 +95,18 @@ def set_hash(shingle_set: np.ndarray) -> int:
 
 def min_hashes(sets: Sequence[np.ndarray], n: int, seed: int = 1) -> np.ndarray:
     """``n`` 32-bit min-hashes of each set, as rows; sets must not be empty."""
+    flat = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
+    return flat_min_hashes(flat, np.array([len(s) for s in sets], np.int64), n, seed)
+
+
+def flat_min_hashes(flat: np.ndarray, sizes: np.ndarray, n: int, seed: int = 1) -> np.ndarray:
+    """``min_hashes`` of sets that lie behind one another."""
     draw = np.random.default_rng(seed)
     factor = draw.integers(0, 1 << 32, n, np.uint32) | np.uint32(1)
     offset = draw.integers(0, 1 << 32, n, np.uint32)
-    out = np.full((len(sets), n), 0xFFFFFFFF, np.uint32)
-    if not len(sets):
-        return out
-    flat = np.concatenate(sets)
+    out = np.full((len(sizes), n), 0xFFFFFFFF, np.uint32)
     keys = (flat >> np.uint64(32)).astype(np.uint32) ^ flat.astype(np.uint32)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     for k in range(0, len(keys), 512):
         values = keys[k : k + 512, None] * factor + offset
         values ^= values >> np.uint32(15)

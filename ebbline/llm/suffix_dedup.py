@@ -12,7 +12,6 @@ left, stretches that are alike in part, goes on by its half stretches and at las
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import ship, written
+from ebbline.llm.common import release, ship, written
 from ebbline.llm.shingles import mixed, powers_to
 
 LENGTH = 50
@@ -227,12 +226,6 @@ def strings(texts: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "whole long, doc long, string binary, offset short")
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished passes: they go once the driver's references are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def repeated_bytes(documents: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(doc, low, high)``: stretches of bytes [low, high) under strings that also start in a document with a smaller
     id. They may overlap or touch. Documents that copy an earlier one whole are not listed: see ``dedup``."""

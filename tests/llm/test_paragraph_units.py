@@ -1,6 +1,8 @@
 """Short lines and passages inside longer lines."""
 
-from ebbline.llm import paragraphs
+from brute import jaccard_links, reach, shingle_set, words
+
+from ebbline.llm import paragraphs, shingles
 
 PASSAGE = [
     "The committee met on the first Monday of the month to hear what the surveyors had found along the river bank.",
@@ -48,3 +50,70 @@ def test_the_first_of_a_piece_is_never_in_a_line_that_goes(spark):
     kept, told = kept_of(spark, rows)
     assert told[2].n_removed == 1 and kept[2] == ""
     assert changed in kept[3]
+
+
+def test_rows_that_share_an_id_keep_their_own_lines(spark):
+    rows = [
+        (1, "a line that several of the texts here hold in just the same words"),
+        (2, "a line that several of the texts here hold in just the same words\nown line of the one row"),
+        (2, "entirely different words that only stand here\nand a second line of the other row"),
+        (3, "a text that is there twice\nwith two lines"),
+        (3, "a text that is there twice\nwith two lines"),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text) for r in paragraphs.drop_repeated(table).collect())
+    assert kept == sorted([rows[0], (2, "own line of the one row"), *rows[2:]])
+
+
+def test_very_many_lines_and_cuts_are_edited_in_one_pass():
+    lines = [f"line {k}" for k in range(200_000)]
+    cuts = [x for k in range(1, 200_000, 2) for x in (k, 0, 5)]
+    assert paragraphs.edited("\n".join(lines), range(0, 200_000, 2), cuts) == "\n".join(str(k) for k in range(1, 200_000, 2))
+    cuts = [x for k in range(0, 200_000, 2) for x in (0, k, 1)]
+    assert paragraphs.edited("ab" * 100_000, [], cuts) == "b" * 100_000
+    assert paragraphs.edited("abcdef\nx", [1], [0, 0, 1, 0, 3, 2]) == "bcf"
+
+
+def test_pieces_match_brute_force(documents):
+    rows = [(r.doc_id, r.text) for r in documents.where("doc_id is not null and text is not null").dropDuplicates(["doc_id"]).collect()]
+    long = [(k, text) for k, text in rows if any(len(paragraphs.pieces_of(x)) > 1 for x in text.split("\n"))]
+    rows += [(1_000 + k, f"Foreword of copy {k} that has some words of its own and is long enough.\n{text} {OTHER[k % 3]}") for k, text in long]
+    rows += [(2_000 + k, f"{OTHER[k]} {PASSAGE[0]} {OTHER[(k + 1) % 3]}") for k in range(3)]
+    table = spark_table(documents, rows)
+    later = paragraphs.repeated_paragraphs(table).collect()
+    whole = {(r.line_id, r.at) for r in later if r.start is None}
+    units = {}
+    for key, text in rows:
+        for at, line in enumerate(text.split("\n")):
+            starts = paragraphs.pieces_of(line)
+            for x, y in zip(starts, [*starts[1:], len(line)]):
+                if (key, at) not in whole and words(line[x:y]):
+                    units[key, at, x] = shingle_set(line[x:y])
+    first = reach(jaccard_links(units), units)
+    expected = sorted((k, f) for k, f in first.items() if k != f and len(paragraphs.pieces_of(dict(rows)[k[0]].split("\n")[k[1]])) > 1)
+    got = sorted(((r.line_id, r.at, r.start), (r.class_id, r.class_at)) for r in later if r.start is not None)
+    assert got == [(k, f[:2]) for k, f in expected] and len(got) >= 5
+
+
+def spark_table(like, rows):
+    return like.sparkSession.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_flat_shingles_are_those_of_each_text():
+    texts = ["", "one", "one two three four", "a b c d e", "a b a b a b a b a b", " ".join(map(str, range(300)))]
+    flat, sizes = shingles.flat_shingles(*shingles.flat_words(texts))
+    sets = [shingles.shingles(w) for w in shingles.word_hashes(texts)]
+    assert sizes.tolist() == [len(s) for s in sets] and flat.tolist() == [x for s in sets for x in s.tolist()]
+    assert shingles.flat_set_hashes(flat, sizes).tolist() == [shingles.set_hash(s) for s in sets]
+
+
+def test_a_band_that_very_many_nodes_share_joins_them_all(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(f"{text} tail{k}", [{"at": 0, "start": 0, "length": 400, "node": k * 31 % 997, "extra": None}]) for k in range(997)]
+    table = spark.createDataFrame(rows, "text string, places array<struct<at int, start int, length int, node long, extra long>>")
+    links = paragraphs.band_links(table.repartition(16), 14, 4).collect()
+    graph = {k: set() for k in range(997)}
+    for a, b in links:
+        graph[a].add(b)
+        graph[b].add(a)
+    assert set(reach(graph, graph).values()) == {0} and len(links) < 14 * 997
