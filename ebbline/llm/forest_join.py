@@ -1,4 +1,8 @@
-"""Similarity join of documents by a MinHash LSH forest and exact Jaccard verification."""
+"""Similarity join of documents by banded min-hashes and exact Jaccard verification.
+
+Bands have one fixed length, the longest that meets the recall: sets that share a longer run share these too, so a
+sorted trie whose prefixes are shortened down to it would name the same candidates.
+"""
 
 from __future__ import annotations
 
@@ -15,13 +19,13 @@ from ebbline.llm.verify import batches_of, candidate_components, verified_links
 
 THRESHOLD = 0.8
 RECALL = 0.999
-#: Tries in the forest and min-hashes along each of them.
+#: Bands, and the most min-hashes that one may have.
 TREES = 32
 DEPTH = 10
 
 
 def matched_depth(threshold: float, recall: float, trees: int = TREES, depth: int = DEPTH) -> int:
-    """The longest prefix at which a pair of similarity ``threshold`` shares one in some tree with ``recall``."""
+    """The longest prefix of which a pair of similarity ``threshold`` shares one of ``trees`` with ``recall``."""
     for length in range(depth, 0, -1):
         if 1 - (1 - threshold**length) ** trees >= recall:
             return length
@@ -29,7 +33,7 @@ def matched_depth(threshold: float, recall: float, trees: int = TREES, depth: in
 
 
 def shingle_sets(documents: DataFrame, id_column: str, text_column: str, trees: int, length: int) -> DataFrame:
-    """``(id, n_shingles, node, prefixes)``: the set's size and hash, and its prefix in each tree, for every text."""
+    """``(id, n_shingles, node, prefixes)``: the set's size and hash, and its bands, for every text."""
     ship(documents.sparkSession)
     names = [id_column, "n_shingles", "node", "prefixes"]
 
@@ -88,9 +92,8 @@ def similarity_classes(
     """``(id, n_links, class_id)`` for every row: how many other rows reach ``threshold`` in Jaccard similarity of
     distinct five-word shingles, and the smallest id that links lead to, its own included.
 
-    Rows with one shingle set are copies and go on as one node. Every node's signature lies in ``trees`` tries;
-    prefixes are shortened from the full depth until a pair at the threshold meets in some trie with ``recall``.
-    Nodes that share such a prefix, directly or through others, form a candidate component; inside it all pairs of
+    Rows with one shingle set are copies and go on as one node. Every node has ``trees`` bands of the
+    greatest length at which a pair at the threshold shares one with ``recall`` (``matched_depth``). Nodes that share a band, directly or through others, form a candidate component; inside it all pairs of
     compatible size are verified exactly, block by block. Texts of fewer than five words are one shingle; texts
     without words link with nothing, nor do rows with a null id, which come back with 0 links and a null class.
     Rows that repeat an id count as copies of it.

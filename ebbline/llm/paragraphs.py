@@ -42,9 +42,9 @@ def bands_for(threshold: float, recall: float, rows: int = ROWS) -> int:
 def pieces_of(line: str) -> list[int]:
     """Where the sentence-bounded paragraphs of a line begin; they follow one another without a gap."""
     ends = [m.end() for m in _END.finditer(line)]
-    starts = [0]
+    starts, ascii_only = [0], line.isascii()
     for start, stop in zip(ends, [*ends, len(line)][1:], strict=True):
-        if start < stop and len(line[start:stop].encode()) >= SENTENCE_BYTES:
+        if start < stop and (stop - start if ascii_only else len(line[start:stop].encode())) >= SENTENCE_BYTES:
             starts.append(start)
     return starts
 
