@@ -293,27 +293,28 @@ def edited(text: str, positions: Sequence[int], cuts: Sequence[int]) -> str:
     return "\n".join(line for at, line in enumerate(lines) if at not in gone)
 
 
-def kept_text(text: Column) -> Column:
-    """What ``line_positions`` and ``cuts`` leave of a text; null where nothing goes."""
+def kept_text(text: Column, removed: DataFrame) -> Column:
+    """What ``line_positions`` and ``cuts`` of ``removed`` leave of a text; null where nothing goes."""
 
     @F.pandas_udf("string")
     def kept(texts: pd.Series, positions: pd.Series, cuts: pd.Series) -> pd.Series:
         found = zip(texts, positions, cuts, strict=True)
         return pd.Series([None if t is None else edited(t, p.tolist(), c.tolist()) for t, p, c in found], dtype=object)
 
-    return kept(F.when(F.col("line_positions").isNotNull(), text), "line_positions", "cuts")
+    return kept(F.when(removed["line_positions"].isNotNull(), text), removed["line_positions"], removed["cuts"])
 
 
-def _with_removed(documents: DataFrame, later: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    same = (documents[id_column] == F.col("line_id")) & (text_key(documents[text_column]) == F.col("line_key"))
-    return documents.join(removed_places(later), same, "left")
+def _with_removed(documents: DataFrame, removed: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    same = (documents[id_column] == removed["line_id"]) & (text_key(documents[text_column]) == removed["line_key"])
+    return documents.join(removed, same, "left")
 
 
 def drop_repeated(documents: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``documents`` without all paragraphs of a cluster but its first. No row goes; other columns stay."""
     later = repeated_paragraphs(documents, threshold, id_column=id_column, text_column=text_column)
-    wide = _with_removed(documents, later, id_column, text_column)
-    text = F.coalesce(kept_text(documents[text_column]), documents[text_column])
+    gone = removed_places(later)
+    wide = _with_removed(documents, gone, id_column, text_column)
+    text = F.coalesce(kept_text(documents[text_column], gone), documents[text_column])
     return wide.select(*(text.alias(n) if n == text_column else documents[n] for n in documents.columns))
 
 
@@ -323,7 +324,8 @@ def removals(documents: DataFrame, threshold: float = THRESHOLD, id_column: str
     that is left."""
     documents = pick(documents, [id_column, text_column])
     later = repeated_paragraphs(documents, threshold, id_column=id_column, text_column=text_column)
-    wide = _with_removed(documents, later, id_column, text_column)
+    gone = removed_places(later)
+    wide = _with_removed(documents, gone, id_column, text_column)
     text = documents[text_column]
     removed = F.coalesce("line_positions", F.array().cast("array<int>"))
     return wide.select(
@@ -333,5 +335,5 @@ def removals(documents: DataFrame, threshold: float = THRESHOLD, id_column: str
         removed.alias("removed"),
         F.coalesce("firsts", F.array()).alias("first_docs"),
         F.coalesce(F.size("cuts") / 3, F.lit(0)).cast("long").alias("n_cut"),
-        F.coalesce(kept_text(text), text, F.lit("")).alias("kept"),
+        F.coalesce(kept_text(text, gone), text, F.lit("")).alias("kept"),
     )

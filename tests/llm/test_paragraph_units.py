@@ -61,7 +61,10 @@ def test_rows_that_share_an_id_keep_their_own_lines(spark):
         (3, "a text that is there twice\nwith two lines"),
     ]
     table = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = sorted((r.doc_id, r.text) for r in paragraphs.drop_repeated(table).collect())
+    clashing = table.selectExpr("*", "7 AS cuts", "8 AS line_id", "9 AS line_positions", "10 AS text_key")
+    found = paragraphs.drop_repeated(clashing)
+    assert found.columns == clashing.columns
+    kept = sorted((r.doc_id, r.text) for r in found.collect())
     assert kept == sorted([rows[0], (2, "own line of the one row"), *rows[2:]])
 
 
