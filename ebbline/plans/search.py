@@ -194,9 +194,12 @@ def run_parallel(tasks: Sequence[Callable[[], object]], parallelism: int, spark:
     def call(task):
         return task()
 
+    # Wrapped one by one: tasks wrapped together would share one set of local properties, in which the end of one
+    # query removes the execution id that another has just set.
+    own = [inheritable_thread_target(spark)(task) for task in tasks]
     pool = ThreadPool(processes=max(1, min(parallelism, len(tasks))))
     try:
-        return pool.map(inheritable_thread_target(spark)(call), tasks, chunksize=1)
+        return pool.map(call, own, chunksize=1)
     finally:
         pool.terminate()
 

@@ -1,5 +1,7 @@
 """Whole grid searches: shared passes, prefixes of boosted fits, and searches that go on after a stop."""
 
+from threading import Barrier
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -168,6 +170,21 @@ def test_whole_logistic_plans(rows):
     assert len(names) == 36 and "elasticNetParam=0.2, regParam=0.01" in names
 
 
+def test_parallel_fits_have_their_own_local_properties(spark):
+    """Fits that share them lose the id of their query when another one ends ("Cannot parse null string")."""
+    context, meet = spark.sparkContext, Barrier(3, timeout=60)
+
+    def task(i):
+        def run():
+            context.setLocalProperty("ebbline.fit", str(i))
+            meet.wait()
+            return context.getLocalProperty("ebbline.fit")
+
+        return run
+
+    assert s.run_parallel([task(i) for i in range(3)], 3, spark) == ["0", "1", "2"]
+
+
 def test_folds_follow_the_key(spark):
     df = spark.createDataFrame([(f"u{k}", float(k % 4 == 0)) for k in range(400)], "k string, label double")
     first, second = (
