@@ -58,6 +58,24 @@ def test_models_separate_the_clouds(prepared, fit):
     assert auc(fit(prepared.train).transform(prepared.test)) == 1.0
 
 
+def test_the_leaderboard_forest_never_holds_all_trees_on_the_driver(prepared, monkeypatch):
+    """Parts of few trees are written one by one, and their votes add up to those of the whole forest."""
+    asked = []
+    real = t.RandomForestClassifier
+    monkeypatch.setattr(t, "RandomForestClassifier", lambda **o: asked.append(o["numTrees"]) or real(**o))
+    model = t.random_forest(prepared.train, trees=7, depth=2, part=3)
+    assert sorted(asked) == [1, 3, 3] and len(model.paths) == 3
+    expected: dict = {}
+    for path in model.paths:
+        part = t.RandomForestClassificationModel.load(path)
+        for r in part.transform(prepared.test).collect():
+            expected[r.userId] = expected.get(r.userId, 0) + r.rawPrediction.toArray()
+    found = model.transform(prepared.test)
+    assert found.count() == len(expected) == prepared.test.count()
+    for r in found.collect():
+        assert r.probability.toArray() == pytest.approx(expected[r.userId] / 7) and r.prediction == expected[r.userId].argmax()
+
+
 def test_boosting_beats_one_tree(spark):
     """A ring inside a square needs more than one shallow cut."""
     rows = [
