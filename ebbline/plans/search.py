@@ -272,12 +272,14 @@ def search(
     shared: bool = False,
     parallelism: int = 4,
     state_path: str | None = None,
+    alike: Callable[[Mapping[str, object]], Mapping[str, object]] | None = None,
 ) -> Searched:
     """Score every grid point on every fold and fit the best one to all rows.
 
     ``shared`` solves a logistic grid in shared passes; ``rounds`` names the parameter that counts boosting rounds.
     Folds follow the row's key, so a search that is started again sees the same ones. ``state_path``, a folder that
     survives the application, makes a search resumable; without it finished fits are kept for this search only.
+    Points for which ``alike`` returns the same parameters ask for the same model and share its fits and scores.
     """
     spark = train.sparkSession
     ship_code(spark)
@@ -294,6 +296,7 @@ def search(
         "rows": fingerprint(folded),
     }
     state = State(spark, state_path or scratch_path(spark, "search"), identity)
-    scores = search_fits(estimator, folded, points, folds, metric, state, parallelism, rounds)
+    asked = [alike(point) for point in points] if alike else points
+    scores = search_fits(estimator, folded, asked, folds, metric, state, parallelism, rounds)
     best = points[int(np.argmax(scores.mean(axis=1)))]
     return Searched(points, scores, _fitted(estimator, best, folded))

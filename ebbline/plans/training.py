@@ -49,7 +49,7 @@ class Plan:
     """An estimator with its parameter grid, its fold rule and the metric that ranks the grid.
 
     ``rounds`` names the parameter that counts boosting rounds; ``shared`` marks logistic grids, which are fitted in
-    shared passes.
+    shared passes; ``alike`` names what a point asks for, where several ways to write it give the same model.
     """
 
     estimator: Callable[[], object]
@@ -59,6 +59,14 @@ class Plan:
     stratified: bool = False
     rounds: str | None = None
     shared: bool = False
+    alike: Callable[[Mapping], Mapping] | None = None
+
+
+def same_forest(point: Mapping[str, object]) -> Mapping[str, object]:
+    """The point by the features that its splits choose from: of several classifying trees "auto" is "sqrt"."""
+    if point.get("featureSubsetStrategy") == "auto" and point.get("numTrees", 20) > 1:
+        return {**point, "featureSubsetStrategy": "sqrt"}
+    return point
 
 
 # Estimators and grids of the training plans.
@@ -70,7 +78,7 @@ PLANS = {
         shared=True,
     ),
     "random_forest": Plan(
-        lambda: RandomForestClassifier(seed=42, **COLUMNS),
+        lambda: RandomForestClassifier(seed=42, cacheNodeIds=True, **COLUMNS),
         {
             "numTrees": [10, 20, 30],
             "maxDepth": [10, 20, 30],
@@ -79,6 +87,7 @@ PLANS = {
             "impurity": ["gini", "entropy"],
         },
         4,
+        alike=same_forest,
     ),
     "gradient_boost": Plan(
         lambda: GBTClassifier(seed=42, **COLUMNS),
@@ -227,7 +236,7 @@ def run_plan(
     options = {"folds": plan.folds, "stratified": plan.stratified} | options
     if evaluator is not None:
         return cross_validate(plan.estimator(), grid, train, evaluator=evaluator, key=key, **options)
-    options = {"metric": plan.metric, "rounds": plan.rounds, "shared": plan.shared} | options
+    options = {"metric": plan.metric, "rounds": plan.rounds, "shared": plan.shared, "alike": plan.alike} | options
     return search(plan.estimator, grid, train, key, **options)
 
 

@@ -150,6 +150,19 @@ def test_a_stopped_search_goes_on(rows, tmp_path, monkeypatch):
     assert len(fits) == 10 + 3 + 3
 
 
+def test_points_that_ask_for_the_same_forest_are_fitted_once(rows, monkeypatch):
+    fits = []
+    real = s._fitted
+    monkeypatch.setattr(s, "_fitted", lambda *a: fits.append(a[1]) or real(*a))
+    grid = {"numTrees": [1, 3], "maxDepth": [3], "featureSubsetStrategy": ["auto", "sqrt"]}
+    found = t.run_plan("random_forest", rows.drop("fold"), grid, key="userId", folds=2)
+    assert found.scores.shape == (4, 2) and (found.scores[2] == found.scores[3]).all()
+    # One tree sees all features by "auto"; the best point is fitted once more.
+    assert len(fits) == 3 * 2 + 1
+    auto, root = (real(t.PLANS["random_forest"].estimator, {"numTrees": 3, "featureSubsetStrategy": w}, rows) for w in ("auto", "sqrt"))
+    assert auto.toDebugString.split("\n", 1)[1] == root.toDebugString.split("\n", 1)[1]
+
+
 def test_plans_rank_by_their_own_metric_and_folds():
     assert {n: (p.metric, p.folds, p.stratified) for n, p in t.PLANS.items()} == {
         "logistic_regression": ("f1", 4, False),
