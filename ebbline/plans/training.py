@@ -440,20 +440,26 @@ def real_adaboost(
     A row's weight falls by how sure its leaf is of the right label and grows by how sure it is of the wrong one, so
     every round uses the margins and not only the errors. It ends with the first tree that makes no error. Row weights
     live in a table; every ``cut_every`` rounds it is written anew, with a mean weight of one, and the driver reads
-    the rounds' errors, a handful of sums.
+    the rounds' errors, a handful of sums. In between, the rows of a round are kept until the next ones are, since a fit
+    reads its rows several times and would run the trees before it each time.
     """
     current, trees = train.select("label", "scaled_features", F.lit(1.0).alias("w")), []
-    side = 2 * F.col("label") - 1
+    side, kept = 2 * F.col("label") - 1, None
     for start in range(0, rounds, cut_every):
         length = min(cut_every, rounds - start)
         for i in range(length):
-            tree = DecisionTreeClassifier(maxDepth=depth, weightCol="w", seed=42 + start + i, **COLUMNS).fit(current)
+            kept, last = current.persist(), kept
+            tree = DecisionTreeClassifier(maxDepth=depth, weightCol="w", seed=42 + start + i, **COLUMNS).fit(kept)
             trees.append(tree)
+            if last is not None:
+                last.unpersist()
             scored = _half_log_odds(tree, current, "_h")
             wrong = F.when(side * F.col("_h") <= 0, F.col("w")).otherwise(0.0).alias(f"_wrong{i}")
             moved = (F.col("w") * F.exp(-rate * side * F.col("_h"))).alias("w")
             current = scored.select("label", "scaled_features", moved, *(f"_wrong{j}" for j in range(i)), wrong)
         current = materialize(current, "boosting-weights")
+        kept.unpersist()
+        kept = None
         *missed, mean = current.agg(*(F.sum(f"_wrong{i}") for i in range(length)), F.avg("w")).first()
         if not all(missed):
             return RealBoostedModel(trees[: start + 1 + [bool(m) for m in missed].index(False)], rate)

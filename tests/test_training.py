@@ -114,6 +114,17 @@ def test_real_boosting_follows_its_formula(spark):
         assert r.p == pytest.approx(1 / (1 + math.exp(-2 * margin[r.userId])), abs=1e-9)
 
 
+def test_rows_of_a_boosting_round_are_kept_for_its_fit(spark, monkeypatch):
+    rows = [(float(i % 5 < 2) if i % 7 else 1.0, Vectors.dense([float(i % 5), float(i % 3)])) for i in range(60)]
+    train = spark.createDataFrame(rows, ["label", "scaled_features"]).coalesce(1)
+    seen = []
+    real = t.DecisionTreeClassifier.fit
+    monkeypatch.setattr(t.DecisionTreeClassifier, "fit", lambda self, df: seen.append((df, df.storageLevel.useMemory)) or real(self, df))
+    t.real_adaboost(train, rounds=5, rate=0.5, depth=1, cut_every=3)
+    assert [kept for _, kept in seen] == [True] * 5
+    assert not any(df.storageLevel.useMemory for df, _ in seen)
+
+
 def test_real_boosting_ends_with_a_tree_without_errors(prepared):
     assert len(t.real_adaboost(prepared.train, rounds=10, cut_every=3).trees) == 1
 
