@@ -1,21 +1,23 @@
 """Whole grid searches: shared work between grid points, parallel fits, and results that outlive the driver.
 
-Three ways to fit a grid. Logistic plans solve all points and folds in shared passes (``logistic_path``). Boosted plans
+Four ways to fit a grid. Logistic plans solve all points and folds in shared passes (``logistic_path``). Boosted plans
 fit the most rounds only, once for each of the other parameters: the first rounds of a longer fit are the shorter fit.
-Other plans fit point by point. The last two write every finished (fit, fold) as one row to a state folder; a search
-that is started again on the same rows goes on where the last one stopped.
+Where the estimator neither samples nor weighs, all these fits grow in shared rounds (``boosted_path``); else they are
+fits of their own. Other plans fit point by point. All but the logistic ones write every finished (fit, fold) as one row
+to a state folder; a search that is started again on the same rows goes on where the last one stopped. Shared rounds end
+together, so what they leave behind when stopped is nothing.
 """
 
 import hashlib
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -26,7 +28,7 @@ from pyspark.util import inheritable_thread_target
 from ebbline.functions import safe_ratio
 from ebbline.operators.metrics import threshold_table
 from ebbline.operators.transform import stratified_folds
-from ebbline.plans import logistic_path
+from ebbline.plans import boosted_path, logistic_path
 from ebbline.sources.scratch import materialize, scratch_path
 from ebbline.sources.workers import ship_code
 
@@ -116,7 +118,7 @@ METRICS: Mapping[str, Callable[[DataFrame, Sequence[str]], DataFrame]] = {"f1":
 
 
 class State:
-    """Rows ``(fit, fold, scores)`` of finished fits in a folder, one small file each.
+    """Rows ``(fit, fold, scores)`` of finished fits in a folder, one small file each, or one for fits that end together.
 
     A fit's name is a digest of the estimator, its parameters, the fold rule, the metric and the rows, so that rows of
     another search or of other data are never taken for its own. Two drivers may write to one folder: both write the
@@ -143,10 +145,13 @@ class State:
         return self.done.get((name, fold))
 
     def put(self, name: str, fold: int, scores: Sequence[float]) -> None:
-        row = self.spark.createDataFrame([(name, fold, list(scores))], self.SCHEMA).coalesce(1)
+        self.put_all([(name, fold, list(scores))])
+
+    def put_all(self, found: Sequence[tuple[str, int, list[float]]]) -> None:
+        rows = self.spark.createDataFrame(found, self.SCHEMA).coalesce(1)
         # A new folder each time, so that a stopped writer leaves no half row under a name that is read.
-        row.write.json(f"{self.path}/{name}-{fold}-{uuid.uuid4().hex}")
-        self.done[name, fold] = list(scores)
+        rows.write.json(f"{self.path}/{found[0][0]}-{found[0][1]}-{uuid.uuid4().hex}")
+        self.done |= {(name, fold): scores for name, fold, scores in found}
 
 
 def fingerprint(train: DataFrame) -> str:
@@ -260,6 +265,60 @@ def search_fits(
     return scores
 
 
+def shares_rounds(estimator, names: Sequence[str]) -> bool:
+    """Whether fits of ``estimator`` that differ in ``names`` can grow in shared rounds: all rows and features, no weights."""
+    if not isinstance(estimator, GBTClassifier) or not {"stepSize", "maxIter", "maxDepth"}.issuperset(names):
+        return False
+    plain = GBTClassifier()
+    checked = ("subsamplingRate", "featureSubsetStrategy", "minWeightFractionPerNode", "lossType", "impurity")
+    same = all(estimator.getOrDefault(name) == plain.getOrDefault(name) for name in checked)
+    return same and not any(estimator.isDefined(name) for name in ("weightCol", "validationIndicatorCol", "thresholds"))
+
+
+def search_boosted(
+    estimator, train: DataFrame, points: Sequence[Mapping[str, object]], key: str, folds: int, metric: str, state: State
+) -> tuple[np.ndarray, object]:
+    """Scores of all points on all folds and the best point's model of all rows, from shared rounds.
+
+    Folds that ``state`` has are not fitted again; new ones are added to it."""
+    rules = boosted_path.Rules(estimator.getMaxBins(), estimator.getMinInstancesPerNode(), estimator.getMinInfoGain())
+    whole = [
+        {"stepSize": estimator.getStepSize(), "maxDepth": estimator.getMaxDepth(), "maxIter": estimator.getMaxIter()} | point
+        for point in points
+    ]
+    longest: dict[tuple[float, int], int] = {}
+    for p in whole:
+        longest[p["stepSize"], p["maxDepth"]] = max(p["maxIter"], longest.get((p["stepSize"], p["maxDepth"]), 0))
+    names = [state.name({"shared": p}) for p in whole]
+    found = {(i, f): state.get(name, f)[0] for i, name in enumerate(names) for f in range(folds) if state.get(name, f)}
+    todo = {(p["stepSize"], p["maxDepth"], f) for i, p in enumerate(whole) for f in range(folds) if (i, f) not in found}
+
+    def fitted(problems: list[boosted_path.Problem], lengths: Sequence[int]):
+        label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
+        return boosted_path.fit_path(train, problems, lengths, key, FOLD, label, features, rules)
+
+    problems = [boosted_path.Problem(s, d, longest[s, d], f) for s, d, f in sorted(todo)]
+    models: dict[tuple, boosted_path.BoostedTrees] = {}
+    if problems:
+        ends = [boosted_path.Problem(s, d, n) for (s, d), n in longest.items()]
+        scored, of_all = fitted(problems + ends, sorted({p["maxIter"] for p in whole}))
+        models = {(p.step, p.depth): m for p, m in zip(ends, of_all[len(problems) :], strict=True)}
+        rows = METRICS[metric](scored, ["problem", "length"]).collect()  # one row per problem and length
+        new = {(problems[r.problem], r.length): r.score for r in rows}
+        for i, p in enumerate(whole):
+            s, d, n = p["stepSize"], p["maxDepth"], p["maxIter"]
+            for f in range(folds):
+                if (i, f) not in found:
+                    found[i, f] = new.get((boosted_path.Problem(s, d, longest[s, d], f), n), 0.0)
+        state.put_all([(names[i], f, [found[i, f]]) for i in range(len(points)) for f in range(folds)])
+    scores = np.array([[found[i, f] for f in range(folds)] for i in range(len(points))])
+    best = whole[int(np.argmax(scores.mean(axis=1)))]
+    s, d, n = best["stepSize"], best["maxDepth"], best["maxIter"]
+    if (s, d) not in models:
+        models[s, d] = fitted([boosted_path.Problem(s, d, n)], [])[1][0]
+    return scores, replace(models[s, d], trees=models[s, d].trees[:n])
+
+
 def search(
     estimator: Callable[[], object],
     grid: Mapping[str, Sequence],
@@ -296,6 +355,8 @@ def search(
         "rows": fingerprint(folded),
     }
     state = State(spark, state_path or scratch_path(spark, "search"), identity)
+    if rounds and shares_rounds(estimator(), list(grid)):
+        return Searched(points, *search_boosted(estimator(), folded, points, key, folds, metric, state))
     asked = [alike(point) for point in points] if alike else points
     scores = search_fits(estimator, folded, asked, folds, metric, state, parallelism, rounds)
     best = points[int(np.argmax(scores.mean(axis=1)))]

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from ebbline.plans import boosted_path as bp
 from ebbline.plans import logistic_path as lp
 from ebbline.plans import search as s
 from ebbline.plans import training as t
@@ -120,6 +121,70 @@ def test_boosted_grid_scores_are_those_of_own_fits(rows):
     assert found.bestModel.getNumTrees == found.best["maxIter"]
 
 
+@pytest.mark.parametrize("node_rows", [8_192, 100])
+def test_shared_rounds_give_the_trees_of_single_fits(rows, monkeypatch, node_rows):
+    """Whether nodes are grown by one task or split by sums of all tasks."""
+    monkeypatch.setattr(bp, "NODE_ROWS", node_rows)
+    monkeypatch.setattr(bp, "PARTITION_ROWS", 2_000 if node_rows > 1_200 else 300)
+    monkeypatch.setattr(bp, "CUT_EVERY", 3)
+    problems = [bp.Problem(0.1, 3, 7, 0), bp.Problem(0.3, 2, 5, 1), bp.Problem(0.3, 4, 4), bp.Problem(0.1, 0, 2)]
+    scored, models = bp.fit_path(rows, problems, [2, 4, 5, 7], "userId")
+    assert models[:2] == [None, None] and [m.getNumTrees for m in models[2:]] == [4, 2]
+
+    def single(p, length):
+        estimator = GBTClassifier(seed=42, stepSize=p.step, maxDepth=p.depth, maxIter=length, **COLUMNS)
+        return estimator.fit(rows.filter(F.col("fold") != p.held_out))
+
+    def likely(model, df):
+        scored = model.transform(df).select("userId", "prediction", vector_to_array("probability")[1].alias("p"))
+        return {r.userId: (r.p, r.prediction) for r in scored.collect()}
+
+    found = {}
+    for r in scored.collect():
+        found.setdefault((r.problem, r.length), []).append(r.probability)
+    assert set(found) == {(0, 2), (0, 4), (0, 5), (0, 7), (1, 2), (1, 4), (1, 5)}
+    for (i, length), values in found.items():
+        expected = likely(single(problems[i], length), rows.filter(F.col("fold") == problems[i].held_out))
+        assert sorted(values) == pytest.approx(sorted(p for p, _ in expected.values()), abs=1e-9)
+    for p, model in zip(problems[2:], models[2:], strict=True):
+        own = single(p, p.rounds)
+        assert model.featureImportances.toArray() == pytest.approx(own.featureImportances.toArray(), abs=1e-9)
+        got, expected = likely(model, rows), likely(own, rows)
+        assert {k: v for k, (_, v) in got.items()} == {k: v for k, (_, v) in expected.items()}
+        assert [got[k][0] for k in sorted(got)] == pytest.approx([expected[k][0] for k in sorted(got)], abs=1e-9)
+
+
+def test_thresholds_of_few_and_many_values():
+    assert bp.thresholds_of(np.array([3.0, 1.0, 1.0]), 32).tolist() == [2.0]
+    assert bp.thresholds_of(np.full(9, 2.0), 32).tolist() == []
+    assert bp.thresholds_of(np.arange(100.0), 4).tolist() == [24.5, 49.5, 74.5]
+
+
+def test_a_boosted_grid_takes_a_few_jobs_a_round_however_many_points(rows, tmp_path):
+    context, train = rows.sparkSession.sparkContext, rows.drop("fold")
+    grid = {"stepSize": [0.1, 0.2, 0.3], "maxIter": [4, 12], "maxDepth": [2, 3]}
+    context.setJobGroup("boosted-grid", "")
+    try:
+        options = {"folds": 2, "metric": "auc", "state_path": str(tmp_path / "state")}
+        found = t.run_plan("gbm", train, grid, "userId", **options)
+        first = len(context.statusTracker().getJobIdsForGroup("boosted-grid"))
+        again = t.run_plan("gbm", train, grid, "userId", **options)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    # Own fits would be 12 of 12 rounds, each of three jobs or more.
+    assert found.scores.shape == (12, 2) and first < 80
+    assert (again.scores == found.scores).all() and again.best == found.best
+
+
+def test_only_plain_boosting_grows_in_shared_rounds():
+    names = ["stepSize", "maxIter", "maxDepth"]
+    assert s.shares_rounds(GBTClassifier(seed=42, **COLUMNS), names)
+    assert not s.shares_rounds(GBTClassifier(subsamplingRate=0.5), names)
+    assert not s.shares_rounds(GBTClassifier(weightCol="w"), names)
+    assert not s.shares_rounds(GBTClassifier(), [*names, "minInfoGain"])
+    assert not s.shares_rounds(RandomForestClassifier(), ["maxDepth"])
+
+
 def test_a_stopped_search_goes_on(rows, tmp_path, monkeypatch):
     state, train = str(tmp_path / "state"), rows.drop("fold")
     grid = {"numTrees": [2, 3], "maxDepth": [2, 4]}
