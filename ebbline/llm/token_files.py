@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import ship, small
-from ebbline.llm.pieces import PieceCache, split_byte_level
+from ebbline.llm.pieces import AgingCache, byte_level_starts, plain, split_byte_level
 
 #: Ids compressed under one grammar, rounds of replacement, least count of a replaced pair, rules per round.
 BLOCK_IDS = 2_000_000
@@ -20,6 +21,8 @@ ROUNDS = 6
 LEAST_COUNT = 4
 RULES_PER_ROUND = 2_048
 CACHE_SIZE = 400_000
+#: Characters of plain texts that are cut at once.
+PLAIN_CHARS = 2_000_000
 _BUCKETS = 20  # bits of the first, coarse count of pairs
 
 FILE_SCHEMA = (
@@ -50,10 +53,10 @@ class IdEncoder:
         model, marks = self.tokenizer.model, byte_marks()
 
         def piece_ids(piece: str) -> bytes:
-            found = model.tokenize(piece.encode().decode("latin-1").translate(marks))
-            return np.array([token.id for token in found], "<u4").tobytes()
+            found = model.tokenize((piece if piece.isascii() else piece.encode().decode("latin-1")).translate(marks))
+            return pack(f"<{len(found)}I", *[token.id for token in found])
 
-        self.pieces = PieceCache(lambda pieces: map(piece_ids, pieces), CACHE_SIZE)
+        self.pieces = AgingCache(lambda pieces: map(piece_ids, pieces), CACHE_SIZE)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -63,6 +66,46 @@ class IdEncoder:
             return self.library(text)
         return b"".join(map(self.pieces.__getitem__, split_byte_level(text)))
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. Plain texts are cut and looked up together, each distinct piece once."""
+        out: list[bytes] = [b""] * len(texts)
+        held, size = [], 0
+        for k, text in enumerate(texts):
+            if not plain(text) or any(s in text for s in self.special):
+                out[k] = self.encode(text)
+                continue
+            held.append(k)
+            size += len(text)
+            if size >= PLAIN_CHARS:
+                self._encode_plain(texts, held, out)
+                held, size = [], 0
+        if held:
+            self._encode_plain(texts, held, out)
+        return out
+
+    def _encode_plain(self, texts: list[str], held: list[int], out: list[bytes]) -> None:
+        joined = "\0".join([*(texts[k] for k in held), ""])
+        points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        starts = byte_level_starts(points)
+        if not joined.isascii():
+            extra = (points >= 0x80).astype(np.int8)  # bytes beyond one
+            extra[points >= 0x800] += 1
+            starts = starts + np.cumsum(extra, dtype=np.int64)[starts] - extra[starts]
+        data = joined.encode()
+        offsets = np.append(starts, len(data)).astype(np.int64)
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        values = [b"" if p == "\0" else self.pieces[p] for p in pieces.dictionary.to_numpy(zero_copy_only=False)]
+        number = pieces.indices.to_numpy()
+        many = np.array([len(v) // 4 for v in values], np.int64)
+        sizes = many[number]
+        ends = np.cumsum(sizes)
+        place = np.repeat((np.cumsum(many) - many)[number] - (ends - sizes), sizes)
+        place += np.arange(len(place))
+        ids = np.frombuffer(b"".join(values), "<u4")[place].tobytes()
+        low = 0
+        for k, high in zip(held, (4 * ends[number == number[-1]]).tolist(), strict=True):
+            out[k], low = ids[low:high], high
+
 
 class Grammar:
     """Rules that stand for id pairs: symbol ``base + k`` expands to ``rules[k]``, ``lengths[k]`` ids in all."""
@@ -79,20 +122,17 @@ class Grammar:
 
     def sizes(self, symbols: np.ndarray) -> np.ndarray:
         """Ids that each symbol stands for."""
-        sizes = np.ones(len(symbols), np.int64)
-        inner = symbols >= self.base
-        sizes[inner] = self.lengths[symbols[inner] - self.base]
-        return sizes
+        return np.concatenate([np.ones(self.base, np.int64), self.lengths])[symbols]
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        symbols = symbols.astype(np.int64)
+        # Ids and rules alike are stretches of one table: an id of itself, a rule of its expansion.
+        table = np.concatenate([np.arange(self.base, dtype="<u4"), self.flat.astype("<u4")])
+        first = np.concatenate([np.arange(self.base), self.starts + self.base])[symbols]
         sizes = self.sizes(symbols)
         ends = np.cumsum(sizes)
-        out = np.repeat(symbols, sizes)
-        inner = np.repeat(symbols >= self.base, sizes)
-        from_start = np.arange(len(out)) - np.repeat(ends - sizes, sizes)
-        out[inner] = self.flat[self.starts[out[inner] - self.base] + from_start[inner]]
-        return out.astype("<u4")
+        place = np.repeat(first - (ends - sizes), sizes)
+        place += np.arange(len(place))
+        return table[place]
 
     def part(self, symbols: np.ndarray, start: int, stop: int) -> np.ndarray:
         """Ids ``start`` to ``stop`` of what ``symbols`` stand for, expanding only the symbols that cover them."""
@@ -102,51 +142,76 @@ class Grammar:
         return self.expand(symbols[low : high + 1])[start - before : max(stop, start) - before]
 
 
+def _distinct(keys: np.ndarray, slots: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the number of each key among them, and how often each is there.
+
+    Keys of a slot are nearly always one and the same, so that only the others are sorted."""
+    number = np.zeros((1 << _BUCKETS) + 1, np.int32)
+    number[used] = np.arange(len(used))
+    at = number[slots]
+    held = np.zeros(len(used), keys.dtype)
+    held[at] = keys
+    other = np.flatnonzero(held[at] != keys)
+    rest, inverse, often = np.unique(keys[other], return_inverse=True, return_counts=True)
+    at[other] = len(used) + inverse
+    counts = np.bincount(at, minlength=len(used) + len(rest))
+    return np.concatenate([held, rest]), at, counts
+
+
 def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[Grammar, np.ndarray, np.ndarray]:
     """A grammar for ``ids``, the remaining symbols, and which of them end a document.
 
     Each round counts all adjacent pairs, first by hash, then exactly those whose hash is frequent, gives the most
     frequent ones a symbol each and replaces them from left to right. No pair crosses a document's end.
     """
-    symbols, last = ids.astype(np.int64), last.copy()
+    # Pairs of symbols below 65,536 fit into 32 bits.
+    kind, wide, bits, factor = (np.uint16, np.uint32, 16, 0x9E3779B1) if base < 65_536 else (np.uint32, np.uint64, 32, 0x9E3779B97F4A7C15)
+    symbols, last = ids.astype(kind), last.copy()
     rules, lengths = [], []
     most = max(0, 65_536 - base) if base < 65_536 else 1 << 24
     for _ in range(ROUNDS):
         if len(symbols) < 2 or len(rules) >= most:
             break
-        keys = symbols[:-1] << 32 | symbols[1:]
-        slots = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int64)
-        slots[last[:-1]] = 1 << _BUCKETS
+        keys = symbols[:-1].astype(wide)
+        keys <<= wide(bits)
+        keys |= symbols[1:]
+        slots = ((keys * wide(factor)) >> wide(2 * bits - _BUCKETS)).astype(np.intp)
+        slots[np.flatnonzero(last[:-1])] = 1 << _BUCKETS
         counts = np.bincount(slots, minlength=(1 << _BUCKETS) + 1)
         counts[-1] = 0
-        least = max(LEAST_COUNT, int(np.partition(counts, -RULES_PER_ROUND)[-RULES_PER_ROUND]))
-        places = np.flatnonzero(counts[slots] >= least)
-        found, inverse, often = np.unique(keys[places], return_inverse=True, return_counts=True)
-        chosen = np.flatnonzero(often >= least)
+        high = counts[np.flatnonzero(counts >= LEAST_COUNT)]
+        least = int(np.partition(high, -RULES_PER_ROUND)[-RULES_PER_ROUND]) if len(high) > RULES_PER_ROUND else LEAST_COUNT
+        frequent = counts >= least
+        places = np.flatnonzero(frequent[slots])
+        found, inverse, often = _distinct(keys[places], slots[places], np.flatnonzero(frequent))
         room = min(RULES_PER_ROUND, most - len(rules))
-        chosen = chosen[np.argsort(-often[chosen], kind="stable")[:room]]
+        chosen = np.lexsort((found, -often))
+        chosen = chosen[often[chosen] >= least][:room]
         if not len(chosen):
             break
-        number = np.full(len(found), -1, np.int64)
+        number = np.full(len(found), -1, np.int32)
         number[chosen] = np.arange(len(chosen)) + base + len(rules)
         new = number[inverse]
-        places, new = places[new >= 0], new[new >= 0]
+        own = np.flatnonzero(new >= 0)
+        places, new = places[own], new[own]
         run = np.flatnonzero(np.diff(places, prepend=-2) != 1)  # neighbours overlap: every second one of a run
         offset = np.arange(len(places)) - np.repeat(run, np.diff(run, append=len(places)))
-        places, new = places[offset % 2 == 0], new[offset % 2 == 0]
+        own = np.flatnonzero(offset & 1 == 0)
+        places, new = places[own], new[own]
         for key in found[chosen].tolist():
-            left, right = key >> 32, key & 0xFFFFFFFF
+            left, right = key >> bits, key & ((1 << bits) - 1)
             rules.append((left, right))
             lengths.append(sum(1 if s < base else lengths[s - base] for s in (left, right)))
-        gone = np.zeros(len(symbols), bool)
-        gone[places + 1] = True
+        kept = np.ones(len(symbols), bool)
+        kept[places + 1] = False
         symbols[places] = new
         last[places] = last[places + 1]
-        before, symbols, last = len(symbols), symbols[~gone], last[~gone]
+        kept = np.flatnonzero(kept)
+        before, symbols, last = len(symbols), symbols[kept], last[kept]
         if before - len(symbols) < 0.01 * before:
             break
     table = np.array(rules, np.uint32).reshape(-1, 2)
-    return Grammar(base, table, np.array(lengths, np.int64)), symbols, last
+    return Grammar(base, table, np.array(lengths, np.int64)), symbols.astype(np.int64), last
 
 
 def write_tokens(
@@ -168,7 +233,7 @@ def write_tokens(
     ship(documents.sparkSession)
     kind = documents.schema[id_column].dataType.simpleString()
 
-    def pack(shard: int, block: int, ids: list, encoded: list[bytes], base: int, schema: pa.Schema) -> pa.RecordBatch:
+    def packed(shard: int, block: int, ids: list, encoded: list[bytes], base: int, schema: pa.Schema) -> pa.RecordBatch:
         end = np.array([end_id], "<u4").tobytes()
         lengths = np.array([len(e) // 4 + 1 for e in encoded], np.int64)
         flat = np.frombuffer(b"".join(x for e in encoded for x in (e, end)), "<u4")
@@ -200,15 +265,16 @@ def write_tokens(
                 + [("offsets", pa.list_(pa.int32())), ("base", pa.int32()), ("rules", pa.binary())]
                 + [("rule_lengths", pa.binary()), ("symbols", pa.binary()), ("wide", pa.bool_())]
             )
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            for key, found in zip(batch.column(0).to_pylist(), encoder.encode_all(texts), strict=True):
                 ids.append(key)
-                encoded.append(encoder.encode(text or ""))
+                encoded.append(found)
                 size += len(encoded[-1]) // 4 + 1
                 if size >= block_ids:
-                    yield pack(shard, block, ids, encoded, encoder.base, schema)
+                    yield packed(shard, block, ids, encoded, encoder.base, schema)
                     block, size, ids, encoded = block + 1, 0, [], []
         if ids:
-            yield pack(shard, block, ids, encoded, encoder.base, schema)
+            yield packed(shard, block, ids, encoded, encoder.base, schema)
 
     rows = documents.select(documents[id_column].alias("id"), documents[text_column].alias("text"))
     order = ["id", F.xxhash64("text")]
@@ -249,13 +315,18 @@ def read_tokens(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
                 keys = part.column("ids").flatten()
                 for low in range(0, len(lengths), 1_000):
                     at = slice(low, low + 1_000)
-                    pairs = zip((ends - lengths)[at].tolist(), ends[at].tolist(), strict=True)
+                    part_ends = np.append(0, np.cumsum(lengths[at]))
+                    held = flat[ends[low] - lengths[low] : ends[low] - lengths[low] + part_ends[-1]]
+                    offsets = (4 * part_ends).astype(np.int64)
+                    found = pa.LargeBinaryArray.from_buffers(
+                        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(held)]
+                    )
                     yield pa.RecordBatch.from_arrays(
                         [
                             keys[low : low + 1_000],
                             pa.array(row["start"] + (ends - lengths)[at]),
                             pa.array(lengths[at]),
-                            pa.array([flat[a:b].tobytes() for a, b in pairs], pa.binary()),
+                            found.cast(pa.binary()),
                         ],
                         names,
                     )

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ebbline.llm import merge_replay, token_counts, token_files
-from ebbline.llm.pieces import BYTE_LEVEL, split_byte_level
+from ebbline.llm.pieces import BYTE_LEVEL, AgingCache, byte_level_starts, plain, split_byte_level
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -154,3 +154,31 @@ def test_rank_file_is_base64(tmp_path):
     path = tmp_path / "ranks"
     path.write_bytes(base64.b64encode(b"ab") + b" 7\n")
     assert merge_replay.read_ranks(str(path)) == {b"ab": 7}
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab sStmdrevl'\n\t\r 19_.,!-éÉß“”—¿")), min_size=1, max_size=4))
+def test_plain_texts_are_cut_together_as_they_are_alone(texts):
+    assert all(map(plain, texts))
+    joined = "".join(text + "\0" for text in texts)
+    starts = byte_level_starts(np.array([ord(c) for c in joined], np.uint32)).tolist()
+    cut = [joined[a:b] for a, b in zip(starts, [*starts[1:], len(joined)], strict=True)]
+    assert cut == [piece for text in texts for piece in [*split_byte_level(text), "\0"]]
+
+
+def test_texts_encoded_together_have_the_ids_of_the_library(monkeypatch):
+    monkeypatch.setattr(token_files, "PLAIN_CHARS", 40)
+    library, encoder = Tokenizer.from_file(BYTES), token_files.IdEncoder(BYTES)
+    texts = ["don't\n\n we'll  see", "", "naïve — “x”", "漢字 ok", "<|endoftext|> a", "\0 b", "a  \n", "'re 're", "x" * 50, " ", "it's"]
+    for _ in range(2):
+        got = [np.frombuffer(e, "<u4").tolist() for e in encoder.encode_all(texts)]
+        assert got == [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert encoder.encode_all([]) == []
+
+
+def test_an_aging_cache_forgets_only_what_is_not_met_again():
+    asked = []
+    cache = AgingCache(lambda pieces: [asked.append(p) or p.upper() for p in pieces], 3)
+    for piece in ["a", "b", "c", "d", "a", "e", "f", "a", "g", "h", "a"]:
+        assert cache[piece] == piece.upper()
+    assert asked.count("a") == 1 and len(cache) <= 3 and len(cache.older) <= 3
