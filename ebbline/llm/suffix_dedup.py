@@ -5,14 +5,13 @@ that the passes before have left together; those equal through the last digit ar
 
 The first digit is a run of ``GRAM`` bytes inside the string, chosen by its content: the one of least hash. Equal
 strings have it at the same offset, so the first pass takes one entry for all neighbouring strings that share it,
-about one in fifteen bytes, and moves five bytes of its hash. Entries alone with their digit are done. The second
-digit is the whole stretch of bytes under strings that share the run: equal stretches are repeated as a whole. What is
-left, stretches that are alike in part, goes on by its half stretches and at last string by string.
+about one in fifteen bytes, and moves five bytes of its hash. Entries alone with their digit are done. For the others
+the stretch of bytes under all strings that share the run moves once, and the further digits are read from it in the
+run's bucket: the whole stretch, since equal ones are repeated as a whole; its halves; at last string by string.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +26,12 @@ from ebbline.llm.shingles import mixed, powers_to
 LENGTH = 50
 GRAM = 20
 BATCH_BYTES = 4_000_000
-#: Largest size of a table of removals that is broadcast.
+#: Bytes of text whose runs share a bucket, about.
+BUCKET_BYTES = 8_000_000
+#: Largest size of a table of copied texts that is broadcast.
 BROADCAST_BYTES = 32_000_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_HIGHEST = np.iinfo(np.int64).max
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
@@ -89,11 +92,9 @@ def _unplanes(data: bytes, n: int) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def first_pass(texts: DataFrame, length: int) -> DataFrame:
+def first_pass(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     """``(doc, places)``: in each document the runs that another document has too, by the low 40 bits of their hash
     inside a bucket of its high bits."""
-    spark = texts.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -147,83 +148,152 @@ def first_pass(texts: DataFrame, length: int) -> DataFrame:
     return sent.groupBy("bucket").applyInPandas(shared, "doc long, places binary")
 
 
-def stretches(texts: DataFrame, length: int) -> DataFrame:
-    """``(doc, place, before, after, whole, left, right)``: the second digits of the runs named in ``places``.
+def _classes(rows: np.ndarray) -> np.ndarray:
+    """A number for each row of bytes, equal for equal rows only: rows are grouped by hash and then compared."""
+    n = len(rows)
+    wide = np.zeros((n, -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    words = wide.view(np.uint64)
+    total = np.zeros(n, np.uint64)
+    for k in range(words.shape[1]):
+        total = mixed(total * _STEP + words[:, k])
+    order = np.argsort(total, kind="stable")
+    first = np.ones(n, bool)
+    first[1:] = total[order][1:] != total[order][:-1]
+    number = np.empty(n, np.int64)
+    number[order] = np.cumsum(first) - 1
+    if (words != words[order[first][number]]).any():  # two strings of one hash
+        return np.unique(wide.view(f"V{wide.shape[1]}").ravel(), return_inverse=True)[1]
+    return number
+
+
+def _ends(number: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest document of each row's class."""
+    ends = []
+    for best, none in ((np.minimum, _HIGHEST), (np.maximum, -_HIGHEST - 1)):
+        found = np.full(int(number.max()) + 1 if len(number) else 0, none, np.int64)
+        best.at(found, number, docs)
+        ends.append(found[number])
+    return ends[0], ends[1]
+
+
+def merged(docs: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of each document, those that overlap or touch as one."""
+    if not len(docs):
+        return docs, low, high
+    order = np.lexsort((low, docs))
+    docs, low, high = docs[order], low[order], high[order]
+    number = np.cumsum(np.diff(docs, prepend=docs[:1]) != 0)
+    step = int(high.max()) + 1
+    reach = np.maximum.accumulate(number * step + high) - number * step  # of the document so far
+    start = np.ones(len(docs), bool)
+    start[1:] = (number[1:] != number[:-1]) | (low[1:] > reach[:-1])
+    at = np.flatnonzero(start)
+    return docs[at], low[at], reach[np.append(at[1:], len(docs)) - 1]
+
+
+def repeats(docs: np.ndarray, places: np.ndarray, before: np.ndarray, after: np.ndarray, bytes_: np.ndarray, length: int):
+    """``(doc, low, high)`` of what strings of earlier documents cover, for all stretches that share their runs.
+
+    Whole stretches come first: of equal ones all but the first document's are done. The others go on if a half
+    stretch, one of which every string covers, is in two documents, and then string by string, by their place to the
+    run. Strings of a stretch overlap, so that what goes of it is in one piece."""
+    shift = length - GRAM
+    half = shift // 2
+    reach = np.stack([before, after], axis=1).astype("<i4").view(np.uint8)
+    least, _ = _ends(_classes(np.concatenate([bytes_, reach], axis=1)), docs)
+    whole = docs > least
+    out = [(docs[whole], (places - before)[whole], (places + after)[whole])]
+    docs, places, before, after, bytes_ = (x[~whole] for x in (docs, places, before, after, bytes_))
+    sides = []
+    for start, stop, inside in ((shift - half, shift + GRAM, before >= half), (shift, length + half, after >= GRAM + half)):
+        at = np.flatnonzero(inside)
+        low, high = _ends(_classes(bytes_[at, start:stop]), docs[at])
+        sides.append(np.zeros(len(docs), bool))
+        sides[-1][at[low < high]] = True
+    low, high = np.full(len(docs), _HIGHEST), np.full(len(docs), -1, np.int64)
+    for k in range(shift + 1):  # strings that start k bytes before the run
+        at = np.flatnonzero(sides[0 if k >= half else 1] & (before >= k) & (after >= length - k))
+        earlier = at[docs[at] > _ends(_classes(bytes_[at, shift - k : shift - k + length]), docs[at])[0]]
+        low[earlier] = places[earlier] - k
+        high[earlier] = np.maximum(high[earlier], places[earlier] - k + length)
+    some = high >= 0
+    out.append((docs[some], low[some], high[some]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def second_pass(texts: DataFrame, length: int, buckets: int) -> DataFrame:
+    """``(doc, low, high)`` of the stretches that earlier documents repeat, for ``texts(doc, text, named)``.
+
+    The bytes under all strings that share a run named in ``named`` go to the run's bucket once, where every further
+    digit is read from them. Of equal stretches a task sends those of its first document only; the others are known to
+    be repeated."""
+    width, shift = 2 * length - GRAM, length - GRAM
+
+    def packed(bucket: int, cuts: bool, n: int, columns: list[bytes]) -> tuple:
+        return bucket, cuts, n, pa.compress(b"".join(columns), "zstd", asbytes=True)
 
-    The stretch reaches ``before`` bytes to the left of the run and ``after`` bytes from its start; ``whole`` is its
-    hash with the run's place in it, ``left`` and ``right`` those of the half stretches, one of which every string with the run covers."""
-    half = (length - GRAM) // 2
-    names = ["doc", "place", "before", "after", "whole", "left", "right"]
-
-    def rows_of(doc: int, text: str, named: list[bytes]) -> list[np.ndarray]:
-        prefix = prefix_hashes(np.frombuffer(text.encode(), np.uint8))
-        place, _, first, last = anchors(prefix, length)
-        own = np.isin(place, np.concatenate([np.frombuffer(x, "<i8") for x in named]))
-        place, first, last = place[own], first[own], last[own]
-        n, halves = len(prefix) - 1, []
-        for start, stop in ((place - half, place + GRAM), (place, place + GRAM + half)):
-            halves += [span_hashes(prefix, start.clip(0), stop.clip(0, n)).view(np.int64), (start < 0) | (stop > n)]
-        whole = mixed(span_hashes(prefix, first, last + length) + (place - first).astype(np.uint64)).view(np.int64)
-        return [np.full(len(place), doc, np.int64), place, place - first, last + length - place, whole, *halves]
-
-    def joined(held: list[list[np.ndarray]]) -> pa.RecordBatch:
-        doc, place, before, after, whole, left, no_left, right, no_right = (np.concatenate(c) for c in zip(*held, strict=True))
-        columns = [pa.array(doc), pa.array(place), pa.array(before.astype(np.int16)), pa.array(after.astype(np.int16))]
-        columns += [pa.array(whole), pa.array(left, mask=no_left), pa.array(right, mask=no_right)]
-        return pa.RecordBatch.from_arrays(columns, names)
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(doc: int, text: str, named: list[bytes]) -> tuple:
+            data = np.frombuffer(text.encode(), np.uint8)
+            place, grams, first, last = anchors(prefix_hashes(data), length)
+            own = np.isin(place, np.concatenate([np.frombuffer(x, "<i8") for x in named]))
+            place, grams, before = place[own], grams[own], (place - first)[own]
+            after = (last + length)[own] - place
+            around = np.concatenate([np.zeros(shift, np.uint8), data, np.zeros(length, np.uint8)])
+            bytes_ = np.lib.stride_tricks.sliding_window_view(around, width)[place]
+            column = np.arange(width)
+            bytes_ = np.where((column >= (shift - before)[:, None]) & (column < (shift + after)[:, None]), bytes_, np.uint8(0))
+            return np.full(len(place), doc, np.int64), place, before, after, bytes_, grams
+
+        def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            docs, places, before, after, bytes_, grams = (np.concatenate(x) for x in zip(*held, strict=True))
+            if not len(docs):
+                return
+            reach = np.stack([before, after], axis=1).astype("<i4").view(np.uint8)
+            least, _ = _ends(_classes(np.concatenate([bytes_, reach], axis=1)), docs)
+            later = docs > least
+            cuts = merged(docs[later], (places - before)[later], (places + after)[later])
+            rows = [packed(int(docs[0]) % buckets, True, len(cuts[0]), [c.astype("<i8").tobytes() for c in cuts])]
+            bucket = ((grams >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+            order = np.flatnonzero(~later)
+            order = order[np.argsort(bucket[order], kind="stable")]
+            for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                columns = [_planes(np.diff(docs[part], prepend=np.int64(0)).view(np.uint64), 8)]
+                columns += [_planes(x[part].view(np.uint64), 4) for x in (places, before, after)]
+                rows.append(packed(int(bucket[part[0]]), False, len(part), [*columns, bytes_[part].tobytes()]))
+            kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.binary())
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "cuts", "n", "packed"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            held, size = [], 0
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.append(rows_of(*row))
+                held.append(found(*row))
                 size += len(row[1])
                 if size >= BATCH_BYTES:
-                    yield joined(held)
+                    yield from flush(held)
                     held, size = [], 0
-            if held:
-                yield joined(held)
-
-    schema = "doc long, place long, before short, after short, whole long, left long, right long"
-    return texts.select("doc", "text", "named").mapInArrow(run, schema)
-
-
-def strings(texts: DataFrame, length: int) -> DataFrame:
-    """``(whole, doc, string, offset)``: the last digit. For each stretch its single strings, 96 bits of hash, by the
-    offset of their start from the run: those that cover its left half stretch if another document has this one
-    (``by_left``), those that cover the right one likewise."""
-    half = (length - GRAM) // 2
-    names = ["whole", "doc", "string", "offset"]
-
-    def joined(whole: list, docs: list, hashes: list, offset: list) -> pa.RecordBatch:
-        columns = [pa.array(whole, pa.int64()), pa.array(docs, pa.int64()), pa.array(hashes, pa.binary()), pa.array(offset, pa.int16())]
-        return pa.RecordBatch.from_arrays(columns, names)
+        if held:
+            yield from flush(held)
+
+    def resolved(bucket: pd.DataFrame) -> pd.DataFrame:
+        cuts, held = [], []
+        for known, n, data in zip(bucket.cuts, bucket.n, bucket.packed, strict=True):
+            data = pa.decompress(data, 24 * n if known else (20 + width) * n, "zstd", asbytes=True)
+            if known:
+                cuts.append(tuple(np.frombuffer(data, "<i8").reshape(3, n)))
+                continue
+            docs = np.cumsum(_unplanes(data[: 8 * n], 8).view(np.int64))
+            numbers = [_unplanes(data[k * n : (k + 4) * n], 4).view(np.int64) for k in (8, 12, 16)]
+            held.append((docs, *numbers, np.frombuffer(data, np.uint8, offset=20 * n).reshape(n, width)))
+        if held:
+            cuts.append(merged(*repeats(*(np.concatenate(x) for x in zip(*held, strict=True)), length)))
+        doc, low, high = (np.concatenate(c) for c in zip(*cuts, strict=True))
+        return pd.DataFrame({"doc": doc, "low": low, "high": high})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held: tuple[list, list, list, list] = ([], [], [], [])
-            for doc, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = text.encode()
-                whole, docs, hashes, offset = held
-                for row in wanted:
-                    low, high = row["place"] - row["before"], row["place"] + row["after"] - length
-                    if not row["by_right"]:
-                        high = min(high, row["place"] - half)
-                    if not row["by_left"]:
-                        low = max(low, row["place"] - (length - GRAM - half))
-                    starts = range(low, high + 1)
-                    whole += [row["whole"]] * len(starts)
-                    docs += [doc] * len(starts)
-                    offset += range(low - row["place"], high + 1 - row["place"])
-                    hashes += [hashlib.blake2b(data[k : k + length], digest_size=12).digest() for k in starts]
-                if len(whole) >= 100_000:
-                    yield joined(*held)
-                    held = ([], [], [], [])
-            if held[0]:
-                yield joined(*held)
-
-    rows = texts.select("doc", "text", "wanted")
-    return rows.mapInArrow(run, "whole long, doc long, string binary, offset short")
+    sent = texts.select("doc", "text", "named").mapInArrow(entries, "bucket int, cuts boolean, n int, packed binary")
+    return sent.groupBy("bucket").applyInPandas(resolved, "doc long, low int, high int")
 
 
 def repeated_bytes(documents: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -233,41 +303,12 @@ def repeated_bytes(documents: DataFrame, length: int = LENGTH, id_column: str =
     ship(spark)
     texts = documents.select(documents[id_column].cast("long").alias("doc"), documents[text_column].alias("text"))
     texts = texts.where(F.col("doc").isNotNull() & (F.octet_length("text") >= length))
-    named = written(first_pass(texts, length), "suffix-first")
-    release(spark)
-    joined = texts.join(named.groupBy(F.col("doc").alias("d")).agg(F.collect_list("places").alias("named")), F.col("doc") == F.col("d"))
-    rows = written(stretches(joined, length), "suffix-stretches")
-    release(spark)
-    first = rows.groupBy("whole").agg(
-        F.min(F.struct("doc", "place", "before", "after", "left", "right")).alias("f"), F.max("doc").alias("z")
-    )
-    first = written(first.select("whole", "f.*", (F.col("z") > F.col("f.doc")).alias("again")), "suffix-first-of")
-    active = []
-    for side, other in (("left", "right"), ("right", "left")):
-        groups = first.where(F.col(side).isNotNull()).groupBy(F.col(side).alias("key"))
-        several = groups.agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a < z").select("key")
-        found = first.join(several, F.col(side) == F.col("key"), "left_semi")
-        marks = [F.lit(True).alias(f"by_{side}"), F.lit(False).alias(f"by_{other}")]
-        active.append(found.select("whole", "doc", "place", "before", "after", *marks))
-    both = active[0].unionByName(active[1]).groupBy("whole", "doc", "place", "before", "after")
-    both = both.agg(F.max("by_left").alias("by_left"), F.max("by_right").alias("by_right"))
-    stretch = F.struct("whole", "place", "before", "after", "by_left", "by_right")
-    wanted = both.groupBy(F.col("doc").alias("d")).agg(F.collect_list(stretch).alias("wanted"))
-    single = written(strings(texts.join(wanted, F.col("doc") == F.col("d")), length), "suffix-strings")
-    release(spark)
-    earliest = single.groupBy(F.col("string").alias("s")).agg(F.min("doc").alias("least"), F.max("doc").alias("z")).where("least < z")
-    earliest = written(earliest.select("s", "least"), "suffix-earliest")
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 64, size // BUCKET_BYTES)
+    named = written(first_pass(texts, length, buckets), "suffix-first")
     release(spark)
-    part = single.join(earliest, F.col("string") == F.col("s")).where("doc > least")
-    part = part.groupBy("whole").agg(F.array_sort(F.collect_set("offset")).alias("offsets"))
-    known = first.select("whole", F.col("doc").alias("of_doc"), "again").join(part.withColumnRenamed("whole", "w"), F.col("whole") == F.col("w"), "left")
-    known = known.where("again or offsets is not null").select(F.col("whole").alias("k"), "of_doc", "offsets")
-    hit = rows.join(written(known, "suffix-known"), F.col("whole") == F.col("k"))
-    own = F.col("doc") == F.col("of_doc")
-    full = hit.where(~own).select("doc", (F.col("place") - F.col("before")).alias("low"), (F.col("place") + F.col("after")).alias("high"))
-    some = hit.where(own & F.col("offsets").isNotNull()).select("doc", "place", F.explode("offsets").alias("o"))
-    some = some.select("doc", (F.col("place") + F.col("o")).alias("low"), (F.col("place") + F.col("o") + length).alias("high"))
-    return full.union(some)
+    places = named.groupBy(F.col("doc").alias("d")).agg(F.collect_list("places").alias("named"))
+    return second_pass(texts.join(places, F.col("doc") == F.col("d")), length, buckets)
 
 
 def dedup(documents: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -291,8 +332,8 @@ def dedup(documents: DataFrame, length: int = LENGTH, id_column: str = "doc_id",
     copy = F.coalesce(long_enough & (F.col("id") > F.col("a")), F.lit(False))
     fresh = marked.where(~copy).select("id", "text")
     cuts = repeated_bytes(fresh, length, "id", "text").groupBy(F.col("doc").alias("d"))
-    cuts = cuts.agg(F.array_distinct(F.collect_list(F.struct("low", "high"))).alias("cuts"))
-    cuts = spread(written(cuts, "suffix-cuts"), F.size("cuts") * 24 + 16)
+    # Joined alike at every size: a table that grows with the texts is no table to broadcast.
+    cuts = written(cuts.agg(F.collect_list(F.struct("low", "high")).alias("cuts")), "suffix-cuts").hint("merge")
     release(spark)
     wide = marked.select("id", "text", copy.alias("copy")).join(cuts, (F.col("id") == F.col("d")) & ~F.col("copy"), "left")
 
@@ -303,16 +344,19 @@ def dedup(documents: DataFrame, length: int = LENGTH, id_column: str = "doc_id",
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for text, copy, cuts in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+        bounds = batch.column("cuts").fill_null([])
+        lows, highs = (c.to_numpy(zero_copy_only=False) for c in bounds.flatten().flatten())
+        many = bounds.value_lengths().to_numpy()
+        ends = np.cumsum(many)
+        starts = ends - many
+        for k, (text, copy) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
             data = text.encode()
             if copy:
                 out.append((len(data), len(data), [[0, len(data)]], b""))
                 continue
-            change = np.zeros(len(data) + 1, np.int64)
-            for c in cuts or ():
-                if c["high"] <= len(data):
-                    change[c["low"]] += 1
-                    change[c["high"]] -= 1
+            low, high = lows[starts[k] : ends[k]], highs[starts[k] : ends[k]]
+            inside = high <= len(data)
+            change = np.bincount(low[inside], minlength=len(data) + 1) - np.bincount(high[inside], minlength=len(data) + 1)
             gone = np.cumsum(change[:-1]) > 0
             edge = np.diff(gone.view(np.int8), prepend=np.int8(0), append=np.int8(0))
             spans = np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], axis=1)
@@ -336,7 +380,6 @@ def dedup(documents: DataFrame, length: int = LENGTH, id_column: str = "doc_id",
     return wide.select("id", "text", "copy", "cuts").mapInArrow(run, schema)
 
 
-def spread(table: DataFrame, row_bytes) -> DataFrame:
-    """``table`` for broadcast if its rows, of ``row_bytes`` each, are summed to be small."""
-    size = table.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0] or 0
-    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+def spread(table: DataFrame, row_bytes: int) -> DataFrame:
+    """``table`` for broadcast if its rows, of ``row_bytes`` each, are small together."""
+    return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else table
