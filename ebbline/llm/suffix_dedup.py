@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import release, ship, written
+from ebbline.llm.planes import planes, unplanes
 from ebbline.llm.shingles import mixed, powers_to
 
 LENGTH = 50
@@ -80,18 +81,6 @@ def anchors(prefix: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nd
     return place, grams[place], np.maximum(change[segment], place - width + 1), np.minimum(until[segment], place)
 
 
-def _planes(values: np.ndarray, n: int) -> bytes:
-    """The low ``n`` bytes of each value, byte by byte: planes that hardly change compress to nothing."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T).tobytes()
-
-
-def _unplanes(data: bytes, n: int) -> np.ndarray:
-    rows = np.frombuffer(data, np.uint8).reshape(n, -1)
-    wide = np.zeros((rows.shape[1], 8), np.uint8)
-    wide[:, :n] = rows.T
-    return wide.view("<u8").ravel()
-
-
 def first_pass(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     """``(doc, places)``: in each document the runs that another document has too, by the low 40 bits of their hash
     inside a bucket of its high bits."""
@@ -108,7 +97,7 @@ def first_pass(texts: DataFrame, length: int, buckets: int) -> DataFrame:
             for part in np.split(order, cuts[1:]) if len(order) else []:
                 own = docs[part]
                 steps = np.diff(own, prepend=np.int64(0)).view(np.uint64)
-                rows.append((int(bucket[part[0]]), _planes(steps, 8), _planes(places[part].view(np.uint64), 5), _planes(grams[part], 5)))
+                rows.append((int(bucket[part[0]]), planes(steps, 8), planes(places[part].view(np.uint64), 5), planes(grams[part], 5)))
             if rows:
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["bucket", "docs", "places", "grams"])
@@ -126,9 +115,9 @@ def first_pass(texts: DataFrame, length: int, buckets: int) -> DataFrame:
             yield from flush()
 
     def shared(bucket: pd.DataFrame) -> pd.DataFrame:
-        docs = np.concatenate([np.cumsum(_unplanes(x, 8).view(np.int64)) for x in bucket.docs])
-        places = np.concatenate([_unplanes(x, 5) for x in bucket.places]).view(np.int64)
-        grams = np.concatenate([_unplanes(x, 5) for x in bucket.grams])
+        docs = np.concatenate([np.cumsum(unplanes(x, 8).view(np.int64)) for x in bucket.docs])
+        places = np.concatenate([unplanes(x, 5) for x in bucket.places]).view(np.int64)
+        grams = np.concatenate([unplanes(x, 5) for x in bucket.grams])
         order = np.argsort(grams, kind="stable")
         docs, places, grams = docs[order], places[order], grams[order]
         starts = np.flatnonzero(np.diff(grams, prepend=grams[:1] + np.uint64(1)) != 0)
@@ -259,8 +248,8 @@ def second_pass(texts: DataFrame, length: int, buckets: int) -> DataFrame:
             order = np.flatnonzero(~later)
             order = order[np.argsort(bucket[order], kind="stable")]
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                columns = [_planes(np.diff(docs[part], prepend=np.int64(0)).view(np.uint64), 8)]
-                columns += [_planes(x[part].view(np.uint64), 4) for x in (places, before, after)]
+                columns = [planes(np.diff(docs[part], prepend=np.int64(0)).view(np.uint64), 8)]
+                columns += [planes(x[part].view(np.uint64), 4) for x in (places, before, after)]
                 rows.append(packed(int(bucket[part[0]]), False, len(part), [*columns, bytes_[part].tobytes()]))
             kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.binary())
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -284,8 +273,8 @@ def second_pass(texts: DataFrame, length: int, buckets: int) -> DataFrame:
             if known:
                 cuts.append(tuple(np.frombuffer(data, "<i8").reshape(3, n)))
                 continue
-            docs = np.cumsum(_unplanes(data[: 8 * n], 8).view(np.int64))
-            numbers = [_unplanes(data[k * n : (k + 4) * n], 4).view(np.int64) for k in (8, 12, 16)]
+            docs = np.cumsum(unplanes(data[: 8 * n], 8).view(np.int64))
+            numbers = [unplanes(data[k * n : (k + 4) * n], 4).view(np.int64) for k in (8, 12, 16)]
             held.append((docs, *numbers, np.frombuffer(data, np.uint8, offset=20 * n).reshape(n, width)))
         if held:
             cuts.append(merged(*repeats(*(np.concatenate(x) for x in zip(*held, strict=True)), length)))

@@ -1,5 +1,6 @@
 """Short lines and passages inside longer lines."""
 
+import numpy as np
 from brute import jaccard_links, reach, shingle_set, words
 
 from ebbline.llm import paragraphs, shingles
@@ -120,3 +121,25 @@ def test_a_band_that_very_many_nodes_share_joins_them_all(spark):
         graph[a].add(b)
         graph[b].add(a)
     assert set(reach(graph, graph).values()) == {0} and len(links) < 14 * 997
+
+
+def test_distinct_shingles_are_the_sets():
+    texts = ["", "one", "a b a b a b a b a b a b", " ".join(str(k % 17) for k in range(300)), " ".join(map(str, range(50)))]
+    flat, sizes = shingles.flat_shingles(*shingles.flat_words(texts))
+    found, many = shingles.flat_distinct(*shingles.flat_words(texts))
+    assert many.tolist() == sizes.tolist() and found.tolist() != flat.tolist()
+    for part, other in zip(np.split(found, np.cumsum(many)[:-1]), np.split(flat, np.cumsum(sizes)[:-1]), strict=True):
+        assert sorted(part.tolist()) == other.tolist()
+
+
+def test_texts_are_signed_once_and_compared_from_their_words(documents, monkeypatch):
+    signed, held = [], []
+    links, written = paragraphs.band_links, paragraphs.written
+    monkeypatch.setattr(paragraphs, "band_links", lambda *a: signed.append(a) or links(*a))
+    monkeypatch.setattr(paragraphs, "written", lambda df, label: held.append((label, df.columns)) or written(df, label))
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(k, f"{text} tail{k}\n{text}. {text.upper()} tail{k}.") for k in range(5)]
+    rows.append(rows[3])  # repeats id and text
+    later = paragraphs.repeated_paragraphs(spark_table(documents, rows)).collect()
+    assert len({(r.line_id, r.at) for r in later if r.class_id == 0}) == 9
+    assert len(signed) == 1 and not any("shingles" in columns for _, columns in held)
