@@ -117,13 +117,14 @@ def fit(documents: DataFrame, labels: DataFrame, seed: Column, sample_rows: int
     number[kept] = np.arange(len(kept))
     shared = spark.sparkContext.broadcast((number, ratio[kept]))
 
-    def vector(found):
+    def vector(text):
         number, ratio = shared.value
-        at = number[np.asarray(found, np.int64)] if found else np.zeros(0, np.int64)
+        at = number[np.unique(ngrams(text or ""))]
         at = np.sort(at[at >= 0])
         return Vectors.sparse(len(ratio), at, ratio[at])
 
-    data = present.select(F.udf(vector, VectorUDT())("f").alias("features"), "label", "weight")
+    # From the texts, not from ``present``: a task that chains two Python steps keeps two workers, which stay alive.
+    data = rows.select(F.udf(vector, VectorUDT())("text").alias("features"), "label", "weight")
     data = written(data.withColumn("weight", F.col("weight") * n / shape.w), "toxicity-vectors")
     fitted = LogisticRegression(weightCol="weight", regParam=1e-4, standardization=False, maxIter=100).fit(data)
     weights[kept] = fitted.coefficients.toArray() * ratio[kept]

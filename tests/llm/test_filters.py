@@ -214,6 +214,16 @@ def test_toxicity_does_not_read_held_out_labels(spark, toxic_rows):
     assert abs(one.weights - two.weights).max() < 1e-9 and abs(one.intercept - two.intercept) < 1e-9
 
 
+def test_no_task_of_the_toxicity_fit_chains_python_steps(spark, toxic_rows, monkeypatch):
+    plans, written = {}, toxicity.written
+    monkeypatch.setattr(toxicity, "written", lambda df, label: plans.update({label: df._jdf.queryExecution().toString()}) or written(df, label))
+    documents = spark.createDataFrame([r[:3] for r in toxic_rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], 1, r[3]) for r in toxic_rows], "doc_id long, quality int, toxic int")
+    toxicity.fit(documents, labels, ~toxicity.held_out())
+    plan = plans["toxicity-vectors"].split("== Physical Plan ==")[1]
+    assert len(re.findall(r"BatchEvalPython|ArrowEvalPython|MapInArrow", plan)) == 1
+
+
 def test_toxicity_without_labels(spark, documents, no_documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.drop_toxic(documents, labels).count() == documents.count()
