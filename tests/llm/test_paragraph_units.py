@@ -1,5 +1,8 @@
 """Short lines and passages inside longer lines."""
 
+import random
+import re
+
 import numpy as np
 from brute import jaccard_links, reach, shingle_set, words
 
@@ -143,3 +146,34 @@ def test_texts_are_signed_once_and_compared_from_their_words(documents, monkeypa
     later = paragraphs.repeated_paragraphs(spark_table(documents, rows)).collect()
     assert len({(r.line_id, r.at) for r in later if r.class_id == 0}) == 9
     assert len(signed) == 1 and not any("shingles" in columns for _, columns in held)
+
+
+def test_units_of_a_text_are_signed_as_each_alone():
+    ends = ["", "One sentence of enough words to stand alone, it says. ", "日本語の文章がここにあります。続きの文章もここにありますよ。", "no sign at all "]
+    lines = [" ".join([*OTHER, *PASSAGE]), PASSAGE[0], "ΟΔΟΣ ΟΔΟΣ. " * 12, "a b c d e f g", f"{'x' * 70}. {'y' * 70}. {OTHER[0]} {OTHER[1]}"]
+    lines += ["".join(ends) * 3, f"{OTHER[0]} {OTHER[1]}　{OTHER[2]}", "。".join([*OTHER, "ende"]), "…” ".join(OTHER)]
+    texts = ["\n".join(lines), "", "\n\n", *lines]
+    units = paragraphs.Units(texts)
+    cut = [texts[k].split("\n")[at][x : x + n] for k, (at, x, n, _, _) in zip(units.owners, units.places, strict=True)]
+    flat, sizes = shingles.flat_distinct(*shingles.flat_words(cut))
+    assert units.counts.tolist() == shingles.flat_words(cut)[1].tolist() and units.counts.max() > 60
+    assert [x.tolist() for x in units.sets()] == [shingles.flat_set_hashes(flat, sizes).tolist(), sizes.tolist()]
+    long = units.counts >= shingles.WIDTH
+    assert (units.min_hashes(56)[long] == shingles.flat_min_hashes(flat, sizes, 56)[long]).all()
+    assert {0, 1, 2} == set(units.places[long, 3].tolist())
+
+
+def test_paragraph_ends_are_found_as_by_the_plain_pattern():
+    plain = re.compile(r"""[.!?…]+["'”’»)\]]*\s+|[。！？]+["”’」』）]*\s*""")
+    draw = random.Random(7)
+    for _ in range(3_000):
+        text = "".join(draw.choices(".!?…。！？\"'”)」 　ab", k=30))
+        assert [m.span() for m in paragraphs._END.finditer(text)] == [m.span() for m in plain.finditer(text)]
+
+
+def test_texts_are_signed_where_they_lie(documents, monkeypatch):
+    held, shuffled = {}, paragraphs.written
+    monkeypatch.setattr(paragraphs, "written", lambda df, label: held.update({label: df._jdf.queryExecution().toString()}) or shuffled(df, label))
+    rows = [(k, f"{OTHER[k % 3]} tail{k}\n{OTHER[0]} {PASSAGE[0]} {k}") for k in range(9)]
+    assert paragraphs.repeated_paragraphs(spark_table(documents, rows)).count() > 5
+    assert "Join" not in held["band-links"] and "SortAggregate" not in held["paragraph-nodes"] + held["members"]
