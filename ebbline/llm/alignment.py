@@ -25,6 +25,8 @@ from ebbline.llm.token_files import byte_marks
 #: Bytes of text aligned at once, and bytes of text whose links share one list of id pairs. A longer text stands alone.
 SLICE_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
+#: Writers and readers of Parquet hold a row group at a time, and count its bytes after every hundred rows only.
+ONE_BLOCK_A_GROUP = {"parquet.block.row.count.limit": "1"}
 MARK = "▁"
 _tokenizers: dict = {}
 
@@ -288,26 +290,24 @@ def align(
     repeated rows are texts of their own, an empty table gives an empty result, and other columns are not read.
     """
     ship(documents.sparkSession)
-    table = written(blocks(documents, byte_level_path, pieces_path, id_column, text_column), "aligned")
+    table = written(blocks(documents, byte_level_path, pieces_path, id_column, text_column), "aligned", ONE_BLOCK_A_GROUP)
     spread = table.select("block", F.posexplode("pairs").alias("place", "pair"))
-    ranked = spread.join(pair_counts(table), "pair").groupBy("block")
-    counted = ranked.agg(F.sort_array(F.collect_list(F.struct("place", "held_by", "best"))).alias("counts"))
-    counted = counted.select("block", F.col("counts.held_by").alias("held_by"), F.col("counts.best").alias("best"))
-    # A block without a link has no row there.
-    rows = table.drop("pairs", "holders").join(counted, "block", "left").drop("block")
+    # Rows, not a list per block: Spark sorts them by block on disk where it must, and a list would lie on the heap.
+    marked = (F.shiftleft("held_by", 1) + F.col("best").cast("long")).alias("marked")
+    counted = spread.join(pair_counts(table), "pair").select(F.col("block").alias("of_block"), "place", marked)
     kind = documents.schema[id_column].dataType.simpleString()
     names = [id_column, *COLUMNS[:4], "n_best", "count_sum", "groups_sha256"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = {name: batch.column(name)[k].values for name in batch.schema.names}
-                sums = _sums(row)
-                figures = [row["ids"], *(row[c] for c in COLUMNS[:4]), *sums, row["groups_sha256"]]
-                yield pa.RecordBatch.from_arrays(figures, names)
+    def run(counts: pa.Table, rows: pa.Table) -> pa.Table:
+        row = {name: rows[name].combine_chunks().flatten() for name in rows.column_names if name != "block"}
+        # A block without a link has no counts.
+        values = np.zeros(len(counts), np.int64)
+        values[counts["place"].to_numpy()] = counts["marked"].to_numpy()
+        row |= {"held_by": pa.array(values >> 1), "best": pa.array(values & 1)}
+        return pa.table([row["ids"], *(row[c] for c in COLUMNS[:4]), *_sums(row), row["groups_sha256"]], names)
 
     schema = f"`{id_column}` {kind}, " + ", ".join(f"{n} long" for n in names[1:7]) + ", groups_sha256 string"
-    return rows.mapInArrow(run, schema)
+    return counted.groupBy("of_block").cogroup(table.drop("pairs", "holders").groupBy("block")).applyInArrow(run, schema)
 
 
 def _sums(row: dict) -> list[pa.Array]:
@@ -317,7 +317,7 @@ def _sums(row: dict) -> list[pa.Array]:
         return [pa.array(np.zeros(len(ends) - 1, np.int64))] * 2
     times = row["times"].cast(pa.int64())
     sums = []
-    for values in (row["best"].cast(pa.int64()), row["held_by"]):
+    for values in (row["best"], row["held_by"]):
         running = pc.cumulative_sum(pc.multiply(times, pc.take(values, row["at"]))).to_numpy()
         running = np.concatenate([[0], running])
         sums.append(pa.array(running[ends[1:]] - running[ends[:-1]]))

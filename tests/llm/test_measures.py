@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from compare import connect, differences
@@ -226,6 +227,27 @@ def test_alignment_over_many_blocks(spark, sides, monkeypatch):
     assert aligned(df) == plain_alignment(sides, rows)
 
 
+def test_blocks_are_held_one_at_a_time(spark, monkeypatch):
+    """A row group is one block, and the counts of blocks reach their task as rows that Spark can spill."""
+    df = spark.createDataFrame([(i, f"text {i} of some words " * 40) for i in range(60)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(alignment, "BLOCK_BYTES", 5_000)
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 2_000)
+    tables = {}
+    real = alignment.written
+    monkeypatch.setattr(alignment, "written", lambda d, label, *o: tables.setdefault(label, real(d, label, *o)))
+    found = alignment.align(df, BYTES, PIECES)
+    assert found.count() == 60
+    groups = [
+        footer.row_group(k).num_rows
+        for file in tables["aligned"].inputFiles()
+        for footer in [pq.read_metadata(file.removeprefix("file://"))]
+        for k in range(footer.num_row_groups)
+    ]
+    assert len(groups) > 5 and set(groups) == {1}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "CoGroup" in plan
+
+
 def test_aligner_in_slices(sides):
     aligner = alignment.Aligner(BYTES, PIECES)
     texts = ["one text", "", None, "an other ▁ one", "漢字 and   spaces ", "x" * 5_000, " " * 5_000]
