@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import RDD, StorageLevel, TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.plans.logistic_path import NOBODY
@@ -257,9 +257,13 @@ def _blocks(train: DataFrame, names: Sequence[str], thresholds: Mapping[int, lis
 
 def _thresholds(train: DataFrame, held_out: int, names: Sequence[str], key: str, bins: int) -> list[np.ndarray]:
     fold, _, features = names
-    rows = train.where(F.col(fold) != held_out)
+    return thresholds_of_rows(train.where(F.col(fold) != held_out), features, [F.xxhash64(F.col(key)), F.col(key)], bins)
+
+
+def thresholds_of_rows(rows: DataFrame, features: str, order: Sequence[Column], bins: int) -> list[np.ndarray]:
+    """Thresholds of each column, from the first ``SPLIT_ROWS`` rows by ``order`` where there are more."""
     if rows.limit(SPLIT_ROWS + 1).count() > SPLIT_ROWS:
-        rows = rows.orderBy(F.xxhash64(F.col(key)), key).limit(SPLIT_ROWS)
+        rows = rows.orderBy(*order).limit(SPLIT_ROWS)
     x = rows.select(vector_to_array(features).alias("x")).toArrow().column(0).combine_chunks()  # SPLIT_ROWS rows at most
     table = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1) if len(x) else np.zeros((0, 0))
     return [thresholds_of(column, bins) for column in table.T]

@@ -1,9 +1,10 @@
 """Whole grid searches: shared work between grid points, parallel fits, and results that outlive the driver.
 
-Four ways to fit a grid. Logistic plans solve all points and folds in shared passes (``logistic_path``). Boosted plans
+Five ways to fit a grid. Logistic plans solve all points and folds in shared passes (``logistic_path``). Boosted plans
 fit the most rounds only, once for each of the other parameters: the first rounds of a longer fit are the shorter fit.
 Where the estimator neither samples nor weighs, all these fits grow in shared rounds (``boosted_path``); else they are
-fits of their own. Other plans fit point by point. All but the logistic ones write every finished (fit, fold) as one row
+fits of their own. Forests of many rows grow together, and points that differ in trees and depth alone share their trees
+(``forest_path``). Other plans fit point by point. All but the logistic ones write every finished (fit, fold) as one row
 to a state folder; a search that is started again on the same rows goes on where the last one stopped. Shared rounds end
 together, so what they leave behind when stopped is nothing.
 """
@@ -17,7 +18,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -28,7 +29,7 @@ from pyspark.util import inheritable_thread_target
 from ebbline.functions import safe_ratio
 from ebbline.operators.metrics import threshold_table
 from ebbline.operators.transform import stratified_folds
-from ebbline.plans import boosted_path, logistic_path
+from ebbline.plans import boosted_path, forest_path, logistic_path
 from ebbline.sources.scratch import materialize, scratch_path
 from ebbline.sources.workers import ship_code
 
@@ -319,6 +320,48 @@ def search_boosted(
     return scores, replace(models[s, d], trees=models[s, d].trees[:n])
 
 
+def forest_of(estimator, point: Mapping[str, object], held_out: int) -> forest_path.Forest | None:
+    """What a point asks for as a forest that can grow with others, None where it samples, weighs or stops otherwise."""
+    made = estimator.copy({estimator.getParam(name): value for name, value in point.items()})
+    plain = RandomForestClassifier()
+    checked = ("subsamplingRate", "minInfoGain", "minWeightFractionPerNode", "bootstrap", "leafCol")
+    same = all(made.getOrDefault(name) == plain.getOrDefault(name) for name in checked)
+    weighted = any(made.isDefined(name) for name in ("weightCol", "thresholds"))
+    features = {"auto": made.getNumTrees() == 1, "all": True, "sqrt": False}.get(made.getFeatureSubsetStrategy())
+    if not same or weighted or features is None:
+        return None
+    return forest_path.Forest(
+        made.getNumTrees(), made.getMaxDepth(), made.getMinInstancesPerNode(), made.getImpurity(), features,
+        made.getNumTrees() > 1, made.getSeed(), made.getMaxBins(), held_out,
+    )
+
+
+def search_forests(
+    estimator, train: DataFrame, points: Sequence[Mapping[str, object]], folds: int, metric: str, state: State
+) -> tuple[np.ndarray, object]:
+    """Scores of all points on all folds and the best point's model of all rows, from trees that grow together.
+
+    Folds that ``state`` has are not fitted again; new ones are added to it."""
+    names = [state.name({"grown": p}) for p in points]
+    found = {(i, f): state.get(name, f)[0] for i, name in enumerate(names) for f in range(folds) if state.get(name, f)}
+    problems = {(i, f): forest_of(estimator, p, f) for i, p in enumerate(points) for f in range(folds) if (i, f) not in found}
+    asked = list(dict.fromkeys(problems.values()))
+    held = sorted({p.held_out for p in asked})
+    label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
+    rows = forest_path.blocks_of(train, [*held, forest_path.NOBODY], estimator.getMaxBins(), FOLD, label, features)
+    try:
+        if problems:
+            scored = METRICS[metric](forest_path.held_out_scores(rows, train.sparkSession, asked), ["problem"])
+            new = {asked[r.problem]: r.score for r in scored.collect()}  # one row per problem
+            found |= {at: new.get(problem, 0.0) for at, problem in problems.items()}
+            state.put_all([(names[i], f, [found[i, f]]) for i, f in problems])
+        scores = np.array([[found[i, f] for f in range(folds)] for i in range(len(points))])
+        best = forest_of(estimator, points[int(np.argmax(scores.mean(axis=1)))], forest_path.NOBODY)
+        return scores, forest_path.fit(rows, train.sparkSession, best, features)
+    finally:
+        rows.state.unpersist()
+
+
 def search(
     estimator: Callable[[], object],
     grid: Mapping[str, Sequence],
@@ -357,6 +400,9 @@ def search(
     state = State(spark, state_path or scratch_path(spark, "search"), identity)
     if rounds and shares_rounds(estimator(), list(grid)):
         return Searched(points, *search_boosted(estimator(), folded, points, key, folds, metric, state))
+    if not rounds and isinstance(estimator(), RandomForestClassifier) and "maxBins" not in grid and forest_path.many(folded):
+        if all(forest_of(estimator(), point, 0) for point in points):
+            return Searched(points, *search_forests(estimator(), folded, points, folds, metric, state))
     asked = [alike(point) for point in points] if alike else points
     scores = search_fits(estimator, folded, asked, folds, metric, state, parallelism, rounds)
     best = points[int(np.argmax(scores.mean(axis=1)))]

@@ -35,6 +35,7 @@ from pyspark.sql.types import NumericType
 from ebbline.operators.metrics import score_metrics
 from ebbline.operators.neighbours import knn_classify
 from ebbline.operators.transform import assemble, stratified_folds, train_test_split
+from ebbline.plans import forest_path
 from ebbline.plans.search import Searched, in_partitions, run_parallel, search
 from ebbline.schema import USER
 from ebbline.sources.scratch import materialize, scratch_path
@@ -285,38 +286,21 @@ def linear_svc(train: DataFrame, c: float = 0.7):
     return LinearSVC(regParam=reg, standardization=False, maxIter=100, **COLUMNS).fit(train)
 
 
-class PartedForest:
-    """A forest kept as parts of few trees in the scratch folder, so that the driver holds one part and not the forest.
+class PartedForest(forest_path.Parted):
+    """Parts that Spark's forest has fitted."""
 
-    Every tree votes with the class shares of its leaf, as in Spark's own forest. Asked for predictions, each part writes
-    its votes for all rows, and Spark adds them up per row.
-    """
+    def votes(self, path: str, rows: DataFrame) -> DataFrame:
+        part = RandomForestClassificationModel.load(path).setPredictionCol("").setProbabilityCol("")
+        return part.setRawPredictionCol("_votes").transform(rows).withColumn("_raw", vector_to_array("_votes"))
 
-    def __init__(self, paths: Sequence[str]):
-        self.paths = list(paths)
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        spark = df.sparkSession
-        rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "forest-rows")
-        votes = scratch_path(spark, "forest-votes")
-        for i, path in enumerate(self.paths):
-            part = RandomForestClassificationModel.load(path).setPredictionCol("").setProbabilityCol("")
-            voted = part.setRawPredictionCol("_raw").transform(rows)
-            voted.select("_row", F.lit(i).alias("_part"), vector_to_array("_raw").alias("_raw")).write.mode("append").parquet(votes)
-        cast = spark.read.schema("_row long, _part int, _raw array<double>").parquet(votes)
-        # Added in the order of the parts, so that equal votes stay equal.
-        listed = F.transform(F.sort_array(F.collect_list(F.struct("_part", "_raw"))), lambda v: v["_raw"])
-        sums = F.reduce(F.slice("_votes", 2, len(self.paths)), F.col("_votes")[0], lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
-        added = cast.groupBy("_row").agg(listed.alias("_votes")).select("_row", sums.alias("_sums"))
-        total = F.aggregate("_sums", F.lit(0.0), lambda a, b: a + b)
-        scored = rows.join(added, "_row").withColumn("probability", array_to_vector(F.transform("_sums", lambda v: v / total)))
-        first = F.array_position("_sums", F.array_max("_sums")) - 1
-        return scored.withColumn("prediction", first.cast("double")).drop("_row", "_sums")
-
-
-def random_forest(train: DataFrame, trees: int = 300, depth: int = 25, part: int = 25, parallelism: int = 2) -> PartedForest:
-    """A forest fitted ``part`` trees at a time, each part by a seed of its own and with a bootstrap of all rows."""
+def random_forest(train: DataFrame, trees: int = 300, depth: int = 25, part: int = 25, parallelism: int = 2) -> forest_path.Parted:
+    """A forest fitted ``part`` trees at a time, each part by a seed of its own and with a bootstrap of all rows.
+
+    Many rows are not fitted by Spark's forest, which takes jobs for each level of each part (``forest_path``)."""
     spark = train.sparkSession
+    if forest_path.many(train):
+        return forest_path.fit_alone(train, forest_path.Forest(trees, depth, every_feature=trees == 1, bootstrap=trees > 1))
 
     def task(start: int):
         def run() -> str:
@@ -339,11 +323,15 @@ def boosted_trees(train: DataFrame, rounds: int = 100, rate: float = 0.1, depth:
 
 
 def decision_tree(train: DataFrame, depth: int = 30):
+    if forest_path.many(train):
+        return forest_path.fit_alone(train, forest_path.Forest(1, depth, every_feature=True, bootstrap=False))
     return DecisionTreeClassifier(maxDepth=depth, seed=42, **COLUMNS).fit(train)
 
 
 def bagging(train: DataFrame, trees: int = 10, depth: int = 30):
     """Bootstrap trees that see every feature at each split."""
+    if forest_path.many(train):
+        return forest_path.fit_alone(train, forest_path.Forest(trees, depth, every_feature=True, bootstrap=trees > 1))
     estimator = RandomForestClassifier(
         numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", bootstrap=True, seed=42,
         **COLUMNS,
