@@ -1,6 +1,7 @@
 """Forests that grow together: against Spark's trees, against themselves cut into parts, and what they ask of the driver."""
 
 from dataclasses import replace
+from time import sleep
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from ebbline.operators import metrics
 from ebbline.plans import forest_path as fp
 from ebbline.plans import search as s
 from ebbline.plans import training as t
+from ebbline.sources import workers
 
 
 @pytest.fixture(scope="module")
@@ -111,6 +113,15 @@ def test_models_of_many_rows_grow_here(rows, monkeypatch, fit):
     assert metrics.score_metrics(t.predictions(model, rows, "userId")).first().AUC > 0.85
 
 
+def test_threads_ship_the_code_once(spark, monkeypatch):
+    """Spark refuses a second file of one name from another folder."""
+    added = []
+    monkeypatch.setattr(workers, "_shipped", set())
+    monkeypatch.setattr(type(spark.sparkContext), "addPyFile", lambda self, path: sleep(0.2) or added.append(path))
+    s.run_parallel([lambda: workers.ship_code(spark)] * 4, 4, spark)
+    assert len(added) == 1
+
+
 def test_draws_are_spread(rows):
     forest = fp.Forest(1)
     block = fp.Block(7, np.ones(20_000, bool), np.arange(20_000) % 4, {}, {})
