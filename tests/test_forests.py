@@ -113,6 +113,18 @@ def test_models_of_many_rows_grow_here(rows, monkeypatch, fit):
     assert metrics.score_metrics(t.predictions(model, rows, "userId")).first().AUC > 0.85
 
 
+def test_models_of_many_rounds_start_first(rows):
+    class Constant:
+        def transform(self, df):
+            return df.withColumn("prediction", F.lit(0.0))
+
+    begun = []
+    models = {name: lambda train, name=name: begun.append(name) or Constant() for name in t.MODEL_PLAN}
+    found = t.leaderboard(models, t.Prepared(rows, rows, []), parallelism=1).collect()
+    assert begun[:2] == ["AdaBoostClassifier", "GradientBoostingClassifier"] and sorted(begun) == sorted(t.MODEL_PLAN)
+    assert [r.model for r in found] == sorted(t.MODEL_PLAN)
+
+
 def test_threads_ship_the_code_once(spark, monkeypatch):
     """Spark refuses a second file of one name from another folder."""
     added = []
